@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, mixing, quality_rules
+from . import bpe, chat, html_extract, licenses, mixing, quality_rules, vafile
 from .store import read
 
 
+def byte_bpe() -> str:
+    """The path of the byte-level vocabulary; its package is on the machine, not in the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.transcode(read(spark, sf_dir, "documents"), byte_bpe()))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link(read(spark, sf_dir, "conversations"))
 
@@ -24,12 +35,21 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract(read(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_formatting, op3_quality_rules, op4_license_scan, op7_mixing)
+    f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_quality_rules, op4_license_scan, op5_html_extraction, op7_mixing, op8_top_k)
 }
 
 OP3_SQL = r"""
@@ -67,4 +87,12 @@ e AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN floor(targ
 SELECT doc_id, size, source_size, target,
   CAST(whole * size + least(size, greatest(0, floor(target)::BIGINT - whole * source_size - before)) AS BIGINT) AS taken FROM e"""
 
-ORACLES: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op4_license_scan": licenses.oracle(), "op7_mixing": OP7_SQL}
+OP8_SQL = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0 AND len(q.v) = len(c.v)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20"""
+
+ORACLES: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op4_license_scan": licenses.oracle(), "op7_mixing": OP7_SQL, "op8_top_k": OP8_SQL}
