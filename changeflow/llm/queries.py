@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html_extract, licenses, mixing, quality_rules, vafile
+from . import bpe, chat, html_extract, licenses, mixing, ngram_join, quality_rules, vafile
 from .store import read
 
 
@@ -40,6 +40,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -49,7 +53,7 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_quality_rules, op4_license_scan, op5_html_extraction, op7_mixing, op8_top_k)
+    f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_quality_rules, op4_license_scan, op5_html_extraction, op6_ngram_join, op7_mixing, op8_top_k)
 }
 
 OP3_SQL = r"""
@@ -72,6 +76,17 @@ verdict AS (SELECT source, (f + k * m) / (n + k) > 0.5 AS rejected FROM hosts, p
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept
 FROM b JOIN verdict v ON b.source IS NOT DISTINCT FROM v.source"""
 
+OP6_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, edges.y FROM reach JOIN edges ON reach.y = edges.x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) c USING (doc_id)"""
+
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, source, CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
@@ -95,4 +110,4 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGIN
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20"""
 
-ORACLES: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op4_license_scan": licenses.oracle(), "op7_mixing": OP7_SQL, "op8_top_k": OP8_SQL}
+ORACLES: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op4_license_scan": licenses.oracle(), "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL, "op8_top_k": OP8_SQL}
