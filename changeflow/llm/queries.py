@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fitting, html_extract, licenses, mixing, ngram_join, quality_model, quality_rules, vafile
+from . import bpe, chat, fitting, html_extract, licenses, mixing, ngram_join, quality_model, quality_rules, toxicity, vafile
 from .store import read
 
 
@@ -59,8 +59,15 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = lambda i: fitting.fold(i, 5) == 0
+    out = toxicity.score(docs, labels, usable=lambda i: ~held_out(i))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_quality_rules, op4_license_scan, op5_html_extraction, op6_ngram_join, op7_mixing, op8_top_k, op9_quality_classifier)
+    f.__name__: f for f in (op1_bpe, op2_chat_formatting, op3_quality_rules, op4_license_scan, op5_html_extraction, op6_ngram_join, op7_mixing, op8_top_k, op9_quality_classifier, op10_toxicity)
 }
 
 OP3_SQL = r"""

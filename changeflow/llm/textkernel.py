@@ -52,11 +52,11 @@ def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int
         at = end
 
 
-def spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spans(buf: np.ndarray, offsets: np.ndarray, outside: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and per text the number of the first word
-    (one more entry: the number of words)."""
+    (one more entry: the number of words).  ``outside``: bytes between words."""
     n = int(offsets[-1])
-    inside = ~BLANK[buf[:n]]
+    inside = ~outside[buf[:n]]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True  # words end with their text
     start, stop = inside.copy(), inside.copy()
