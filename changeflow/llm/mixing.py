@@ -88,6 +88,11 @@ def mix(docs: DataFrame, row_id: str = "doc_id", source: str = "source", text: s
     the last, partial epoch takes.  The row at the cut gives what is left of
     the budget, so a source's sum is its target rounded down.
     """
+    return _mixed(docs, row_id, source, text, weights, share, epochs).select("doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).alias("taken"))
+
+
+def _mixed(docs: DataFrame, row_id: str, source: str, text: str, weights, share: float, epochs: int) -> DataFrame:
+    """Per row its ``whole`` epochs and the words ``part`` of the last one."""
     scratch = Scratch(docs.sparkSession, "mixing")
     sizes = scratch.save(sized(docs, row_id, source, text), "sizes")
     goal = scratch.save(targets(sizes, scratch, weights, share, epochs), "goal")
@@ -106,4 +111,29 @@ def mix(docs: DataFrame, row_id: str = "doc_id", source: str = "source", text: s
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     rest = F.floor(F.col("target")).cast("long") - whole * F.col("source_size")
     part = F.least(F.col("size"), F.greatest(F.lit(0).cast("long"), rest - (F.col("start") + F.col("inner"))))
-    return rows.select("doc_id", "source", "size", "source_size", "target", (whole * F.col("size") + part).cast("long").alias("taken"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "key", whole.alias("whole"), part.cast("long").alias("part"))
+
+
+#: Up to so many sources are broadcast to the documents; beyond, both are shuffled together.
+BROADCAST_SOURCES = 100_000
+
+
+def mix_rows(docs: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text", weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, whole.
+
+    The row at a source's cut is taken when at least half of it fits the
+    budget; rows alike in id and size share its fate.  Texts are not shuffled:
+    the cut of each source is compared with the keys of its rows.
+    """
+    scratch = Scratch(docs.sparkSession, "mix_rows")
+    mixed = _mixed(docs, row_id, source, text, weights, share, epochs)
+    taken = (F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))
+    place = F.struct("key", F.col("doc_id"), "size")
+    cuts = mixed.groupBy(F.col("source").alias("_s")).agg(F.max("whole").alias("_whole"), F.max(F.when(taken, place)).alias("_cut"))
+    cuts = scratch.save(cuts, "cuts")
+    few = cuts.count() <= BROADCAST_SOURCES
+    mine = F.struct(random_key(F.col(row_id)).alias("key"), F.col(row_id).alias("doc_id"), F.size(words(F.col(text))).cast("long").alias("size"))
+    rows = docs.join(F.broadcast(cuts) if few else cuts, docs[source].eqNullSafe(cuts["_s"]))
+    copies = F.col("_whole") + F.when(mine <= F.col("_cut"), 1).otherwise(0)
+    again = rows.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("_copy"))
+    return again.drop("_copy")

@@ -108,7 +108,11 @@ def host_rates(figures: DataFrame, host: str = "source") -> DataFrame:
     Where the rates do not vary (v = 0) or vary more than a beta law can
     (k <= 0) the prior is worth one document at the mean rate.
     """
-    hosts = figures.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
+    return shrunk(figures.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")))
+
+
+def shrunk(hosts: DataFrame) -> DataFrame:
+    """``hosts`` (host, n_docs, n_failed) with ``shrunk_rate``."""
     rate = F.col("n_failed") / F.col("n_docs")
     m, v = hosts.agg(F.avg(rate), F.var_pop(rate)).first()  # two numbers, however many hosts
     m, v = m or 0.0, v or 0.0
@@ -138,15 +142,28 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", host: str
     return joined.select(*figures.columns, rejected.alias("host_rejected"), (~F.col("base_failed") & ~rejected).alias("kept"))
 
 
+#: Up to so many rejected hosts are broadcast to the documents; beyond, hosts and documents are shuffled together.
+BROADCAST_HOSTS = 100_000
+
+
+def base_failed(text: Column, rules: Rules = Rules()) -> Column:
+    """The base verdict on a text, as one expression."""
+    return _let(words(text), lambda ws: (F.size(ws) < rules.min_words) | (100 * _repeated_words(ws, rules.window) > rules.max_repeat_percent * F.size(ws)))
+
+
 def filter_documents(docs: DataFrame, rules: Rules = Rules(), text: str = "text", host: str = "source") -> DataFrame:
     """The rows of ``docs`` whose base verdict and host verdict are both good,
     with their columns as they were.
 
-    The base rules see each text again when it is kept; only hosts' figures,
-    not documents, cross the network.
+    Texts are not shuffled: the base rules see them once for the hosts' counts
+    and again when they are filtered, and the hosts that are turned down are
+    broadcast where they are few.
     """
     scratch = Scratch(docs.sparkSession, "quality_filter")
-    columns = docs.columns
-    marked = scratch.save(docs.withColumn("_key", F.monotonically_increasing_id()), "rows")
-    verdict = judge(marked, rules, text, host, keep=("_key", host)).filter("kept").select("_key")
-    return marked.join(verdict, "_key", "left_semi").select(*columns)
+    judged = docs.select(F.col(host).alias("host"), base_failed(F.col(text), rules).alias("base_failed"))
+    counted = scratch.save(judged.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f")), "hosts")
+    figures = counted.select("host", F.col("n").alias("n_docs"), F.col("f").alias("n_failed"))
+    rejected = scratch.save(shrunk(figures).filter(F.col("shrunk_rate") > rules.max_host_rate).select("host"), "rejected")
+    good = docs.filter(~base_failed(F.col(text), rules))
+    few = rejected.count() <= BROADCAST_HOSTS
+    return good.join(F.broadcast(rejected) if few else rejected, good[host].eqNullSafe(rejected["host"]), "left_anti")
