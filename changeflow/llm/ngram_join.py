@@ -53,12 +53,19 @@ from .store import Scratch
 SMALL = 64
 #: Texts and tokens of a block, and the size from which a component has blocks of its own.
 BLOCK_TEXTS, BLOCK_TOKENS, OWN_BLOCKS = 256, 100_000, 64
+#: Blocks of a group; a task compares the blocks of two groups, so a block is sent once per group.
+GROUP_BLOCKS = 12
 #: Counters of the sketch, as powers of two, and how many it sends at once.
 LEAST_COUNTERS, MOST_COUNTERS, CHUNK = 16, 25, 1 << 15
+COUNTERS_PER_TEXT = 32
 #: Prefix tokens that a bucket holds and that a task gathers before it deals them out.
 BUCKET_TOKENS, GATHERED, LEAST_BUCKETS = 200_000, 1_000_000, 256
 #: Rows that go back to the JVM at once.
 OUT_ROWS = 100_000
+#: Up to so many ids (long numbers) are broadcast to find their texts; beyond, texts are shuffled to them.
+BROADCAST_IDS = 2_000_000
+#: Shared tokens above the threshold from which counts of 32-bit tokens decide.
+MARGIN = 4
 SEEDS = tuple(np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0))
 
 
@@ -105,7 +112,7 @@ def _profiles(rows: DataFrame, measure: Measure, bits: int) -> DataFrame:
             for _, tokens, begin in _token_sets(batch.column(2), measure):
                 waiting.append(tokens)
                 size += len(tokens)
-                if size >= 2_000_000:
+                if size >= 4_000_000:
                     add()
                 view = memoryview(tokens).cast("B") if len(tokens) else b""
                 n.extend(np.diff(begin).tolist())
@@ -206,6 +213,7 @@ def _postings(features: DataFrame, buckets: int) -> DataFrame:
                 order = np.argsort(bucket, kind="stable")
                 bucket = bucket[order]
                 cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+                n, at = (x.astype(np.uint16) if n.max() < 1 << 16 else x for x in (n, at))
                 columns = [np.split(x[order], cut[1:]) for x in (token, doc, n, at)]
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int32()), *[pa.array([x.tobytes() for x in c], pa.binary()) for c in columns]], ["bucket", "token", "doc", "n", "at"])
             held, size = [], 0
@@ -228,8 +236,9 @@ def _candidates(postings: DataFrame, measure: Measure) -> DataFrame:
     percent = measure.percent
 
     def of_bucket(parts: list[tuple[bytes, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
-        token, doc, n, at = (np.frombuffer(b"".join(p[i] for p in parts), t) for i, t in enumerate((np.uint64, np.int64, np.uint32, np.uint32)))
-        n, at = n.astype(np.int64), at.astype(np.int64)
+        token, doc = (np.frombuffer(b"".join(p[i] for p in parts), t) for i, t in enumerate((np.uint64, np.int64)))
+        # sizes and places have 16 bits where they fit, else 32
+        n, at = (np.concatenate([np.frombuffer(p[i], f"<u{len(p[i]) * 8 // len(p[0])}").astype(np.int64) for p in parts]) for i in (2, 3))
         order = np.argsort(token, kind="stable")
         token, doc, n, at = token[order], doc[order], n[order], at[order]
         begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
@@ -333,36 +342,44 @@ def _filtered(pairs: DataFrame, features: DataFrame, measure: Measure) -> DataFr
     return both.mapInArrow(run, "a long, b long")
 
 
-def _sets(texts: DataFrame, measure: Measure) -> DataFrame:
-    """(id, tokens): whole sets, sorted."""
+def _sets(texts: DataFrame, measure: Measure, bits: int = 64) -> DataFrame:
+    """(id, n, tokens): whole sets, sorted, of the first ``bits`` of each token."""
+    kind = {64: np.uint64, 32: np.uint32}[bits]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, tokens, begin in _token_sets(batch.column(1), measure):
+                tokens = (tokens >> np.uint64(64 - bits)).astype(kind)
                 packed = [tokens[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(packed)), pa.array(packed, pa.binary())], ["id", "tokens"])
 
     return texts.mapInArrow(run, "id long, tokens binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
-    """The pairs that link."""
-    percent = measure.percent
+def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure, bits: int) -> DataFrame:
+    """The pairs that link, with ``sure``.
+
+    Tokens cut to 32 bits can only seem to share more, so what falls short
+    doesn't link; what is up to ``MARGIN`` shared tokens above is not sure.
+    """
+    percent, kind, margin = measure.percent, {64: np.uint64, 32: np.uint32}[bits], MARGIN if bits < 64 else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
+            kept, sure = [], []
             for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(k)[i].as_py(), np.uint64) for k in (2, 3))
+                x, y = (np.frombuffer(batch.column(k)[i].as_py(), kind) for k in (2, 3))
                 both = np.concatenate([x, y])
                 both.sort(kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
                 kept.append(100 * shared >= percent * (len(both) - shared))
+                if kept[-1]:
+                    sure.append(100 * (shared - margin) >= percent * (len(both) - shared + margin))
             mask = pa.array(kept, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(mask) for k in (0, 1)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(k).filter(mask) for k in (0, 1)], pa.array(sure, pa.bool_())], ["a", "b", "sure"])
 
     left, right = (sets.select(F.col("id").alias(x), F.col("tokens").alias(f"{x}_tokens")) for x in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens").mapInArrow(run, "a long, b long, sure boolean")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -391,7 +408,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _block_links(large: DataFrame, roots: DataFrame, texts: DataFrame, scratch: Scratch, measure: Measure) -> DataFrame | None:
+def _block_links(large: DataFrame, roots: DataFrame, texts_of, scratch: Scratch, measure: Measure) -> DataFrame | None:
     """Links between the components that large groups still hold."""
     percent = measure.percent
     labelled = large.join(roots.select(F.col("id").alias("a"), "root"), "a", "left").select("token", "a", "n", F.coalesce("root", "a").alias("label"))
@@ -413,24 +430,50 @@ def _block_links(large: DataFrame, roots: DataFrame, texts: DataFrame, scratch:
     seen = scratch.save(rows.select("token", "a").join(placed.select("a", "block", "own"), "a").select("token", "block", "own").distinct(), "block-tokens")
     other = seen.select("token", F.col("block").alias("block2"), F.col("own").alias("own2"))
     meet = seen.join(other, "token").filter("block <= block2 AND NOT coalesce(own = own2, false)").select("block", "block2").distinct()
-    whole = _sets(texts.join(placed.select(F.col("a").alias("id")), "id", "left_semi"), measure)
+    meet = scratch.save(meet, "meet")
+    whole = _sets(texts_of(placed.select(F.col("a").alias("id")), "placed-ids"), measure)
     packed = placed.select(F.col("a").alias("id"), "label", "block").join(whole, "id").groupBy("block").agg(F.collect_list(F.struct("label", "tokens")).alias("texts"))
     packed = scratch.save(packed.select("block", F.col("texts.label").alias("labels"), F.col("texts.tokens").alias("tokens")), "blocks")
 
+    n_groups = -(-packed.count() // GROUP_BLOCKS) or 1
+    group = [F.pmod(F.xxhash64(x, F.lit(7)), F.lit(n_groups)).cast("int") for x in ("block", "block2")]
+    meet = meet.withColumns({"g": F.least(*group), "h": F.greatest(*group)})
+    lists = meet.groupBy("g", "h").agg(F.collect_list("block").alias("left"), F.collect_list("block2").alias("right"))
+    needed = meet.select("g", "h", "block").unionByName(meet.select("g", "h", F.col("block2").alias("block"))).distinct()
+    # the list of a pair of groups comes before its blocks
+    sent = needed.join(packed, "block").select("g", "h", "block", "labels", "tokens", F.lit(None).cast("array<long>").alias("right"))
+    sent = sent.unionByName(lists.select("g", "h", F.lit(None).cast("long").alias("block"), F.col("left").alias("labels"), F.lit(None).cast("array<binary>").alias("tokens"), "right"))
+
+    def compared(pairs: list[tuple[int, int]], held: dict[int, tuple[np.ndarray, list[np.ndarray]]]) -> pa.RecordBatch:
+        found = [np.zeros((0, 2), np.int64)]
+        for x, y in pairs:
+            (labels, left), (labels2, right) = held[x], held[y]
+            shared = _overlaps(left, right)
+            sizes = [np.array([len(t) for t in side], np.float64) for side in (left, right)]
+            union = sizes[0][:, None] + sizes[1][None, :] - shared
+            i, j = np.nonzero((100.0 * shared >= percent * union) & (labels[:, None] != labels2[None, :]))
+            found.append(np.unique(np.stack([labels[i], labels2[j]], 1), axis=0))
+        links = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(links[:, 0], pa.int64()), pa.array(links[:, 1], pa.int64())], ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, pairs, held = None, [], {}
         for batch in batches:
             for i in range(batch.num_rows):
-                labels = [np.array(batch.column(k)[i].as_py()) for k in (0, 2)]
-                sides = [[np.frombuffer(x, np.uint64) for x in batch.column(k)[i].as_py()] for k in (1, 3)]
-                shared = _overlaps(*sides)
-                sizes = [np.array([len(x) for x in s], np.float64) for s in sides]
-                union = sizes[0][:, None] + sizes[1][None, :] - shared
-                x, y = np.nonzero((100.0 * shared >= percent * union) & (labels[0][:, None] != labels[1][None, :]))
-                links = np.unique(np.stack([labels[0][x], labels[1][y]], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(links[:, 0], pa.int64()), pa.array(links[:, 1], pa.int64())], ["a", "b"])
-
-    pairs = meet.join(packed, "block").join(packed.select(F.col("block").alias("block2"), F.col("labels").alias("labels2"), F.col("tokens").alias("tokens2")), "block2")
-    return scratch.save(pairs.select("labels", "tokens", "labels2", "tokens2").mapInArrow(run, "a long, b long"), "block-links")
+                g, h, block, labels, tokens, right = (batch.column(k)[i].as_py() for k in range(6))
+                if (g, h) != at:
+                    if held:
+                        yield compared(pairs, held)
+                    at, pairs, held = (g, h), [], {}
+                if block is None:
+                    pairs = list(zip(labels, right, strict=True))
+                else:
+                    held[block] = np.array(labels), [np.frombuffer(x, np.uint64) for x in tokens]
+        if held:
+            yield compared(pairs, held)
+
+    dealt = sent.repartition("g", "h").sortWithinPartitions("g", "h", F.col("block").asc_nulls_first())
+    return scratch.save(dealt.mapInArrow(run, "a long, b long"), "block-links")
 
 
 def join(docs: DataFrame, measure: Measure = Measure(), row_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -450,14 +493,29 @@ def join(docs: DataFrame, measure: Measure = Measure(), row_id: str = "doc_id",
         rows = docs.select(F.col(row_id).alias("ref"), F.col(row_id).cast("long").alias("id"), F.col(text).alias("text"))
     else:
         rows = scratch.save(docs.select(F.col(row_id).alias("ref"), F.monotonically_increasing_id().alias("id"), F.col(text).alias("text")), "rows")
-    bits = int(np.clip(np.ceil(np.log2(max(n_docs, 1) * 8)), LEAST_COUNTERS, MOST_COUNTERS))
+    bits = int(np.clip(np.ceil(np.log2(max(n_docs, 1) * COUNTERS_PER_TEXT)), LEAST_COUNTERS, MOST_COUNTERS))
     profiles = scratch.save(_profiles(rows, measure, bits), "profiles")
     counts = _sketch(profiles, bits)
     profiles = profiles.filter("chunk IS NULL").drop("chunk", "counts")
-    frequent = 32 + int(2 * counts.mean())
+    # what shares counters counts along with a token, so their mean load is in the threshold
+    frequent = 24 + int(2 * counts.mean())
     classes = scratch.save(profiles.filter("n > 0").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     texts = rows.select("id", "text")
-    of_reps = texts.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
+    reps = classes.select(F.col("rep").alias("id"))
+    n_copies = profiles.filter("n > 0").count() - classes.count()
+    if n_copies <= BROADCAST_IDS:
+        copies = profiles.filter("n > 0").select("id").join(reps, "id", "left_anti")
+        of_reps = texts.join(F.broadcast(copies), "id", "left_anti")
+    else:
+        of_reps = texts.join(reps, "id", "left_semi")
+
+    def texts_of(ids: DataFrame, name: str) -> DataFrame:
+        ids = scratch.save(ids.select("id").distinct(), name)
+        return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+    def both_ids(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+
     features = scratch.save(_features(of_reps, measure, spark.sparkContext.broadcast(counts), bits, frequent), "features")
     settle()
     n_rare = features.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
@@ -469,17 +527,21 @@ def join(docs: DataFrame, measure: Measure = Measure(), row_id: str = "doc_id",
     pairs = raw.filter("token IS NULL").select("a", "b").unionByName(_star_pairs(large, scratch, measure)).distinct()
     likely = scratch.save(_filtered(pairs, features, measure), "likely")
     settle()
-    asked = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
-    sets = scratch.save(_sets(texts.join(asked, "id", "left_semi"), measure), "sets")
-    links = scratch.save(_verified(likely, sets, measure), "links")
-    scratch.drop("raw", "sets", "likely")
+    scratch.drop("raw", "features")
+    sets = scratch.save(_sets(texts_of(both_ids(likely), "likely-ids"), measure, 32), "sets")
+    links = scratch.save(_verified(likely, sets, measure, 32), "links")
+    scratch.drop("sets", "likely")
+    settle()
+    unsure = links.filter("NOT sure").select("a", "b")
+    exact = _verified(unsure, scratch.save(_sets(texts_of(both_ids(unsure), "unsure-ids"), measure), "exact-sets"), measure, 64)
+    links = scratch.save(links.filter("sure").select("a", "b").unionByName(exact.select("a", "b")), "all-links")
     settle()
     roots = components(links, scratch, "first")
-    more = _block_links(large, roots, texts, scratch, measure)
+    more = _block_links(large, roots, texts_of, scratch, measure)
     if more is not None:
         roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more), scratch, "second")
         scratch.drop("blocks")
-    scratch.drop("features", "large", "links")
+    scratch.drop("large", "links", "all-links", "exact-sets")
     settle()
     known = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("component"))
     known = scratch.save(known, "components")
@@ -497,8 +559,18 @@ def join(docs: DataFrame, measure: Measure = Measure(), row_id: str = "doc_id",
 
 
 def one_of_each(docs: DataFrame, measure: Measure = Measure(), row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; of
-    rows that share that id all stay."""
-    found = join(docs, measure, row_id, text)
-    kept = found.filter(F.col(row_id).eqNullSafe(F.col("component_id"))).select(row_id).distinct()
-    return docs.join(kept, docs[row_id].eqNullSafe(kept[row_id]), "left_semi")
+    """One row of each component, that with the smallest id, with its columns.
+
+    Where ids are null, repeated or no integers, the first row of the
+    component stays.
+    """
+    scratch = Scratch(docs.sparkSession, "one_of_each")
+    columns = docs.columns
+    n, n_ids, n_distinct = docs.agg(F.count(F.lit(1)), F.count(row_id), F.count_distinct(row_id)).first()
+    if not (n == n_ids == n_distinct and isinstance(docs.schema[row_id].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))):
+        docs = scratch.save(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        row_id = "_row"
+    gone = join(docs, measure, row_id, text).filter(F.col(row_id) != F.col("component_id")).select(row_id)
+    gone = scratch.save(gone, "gone")
+    few = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, row_id, "left_anti").select(*columns)
