@@ -246,7 +246,7 @@ def snapshot_after_log(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select("id", "version", F.get_json_object("doc", "$.event_type").alias("event_type"))
 
 
-@query("""WITH s AS (SELECT o_orderkey, o_custkey % 7 AS version, o_orderstatus AS doc FROM orders WHERE o_orderkey % 2 = 0), i AS (SELECT o_orderkey, 3 AS version, 'new' AS doc FROM orders WHERE o_orderkey % 3 = 0)
+@query("""WITH s AS (SELECT o_orderkey, o_custkey % 7 AS version, o_orderstatus AS doc FROM orders WHERE o_orderstatus <> 'O'), i AS (SELECT o_orderkey, 3 AS version, 'new' AS doc FROM orders WHERE o_orderstatus <> 'F')
   SELECT coalesce(s.o_orderkey, i.o_orderkey)::VARCHAR AS id, CASE WHEN s.version IS NULL OR i.version > s.version THEN i.version ELSE s.version END::BIGINT AS version,
   CASE WHEN s.version IS NULL OR i.version > s.version THEN i.doc ELSE s.doc END AS doc FROM s FULL JOIN i USING (o_orderkey)""")
 def versioned_merge(spark: SparkSession, folder: str) -> DataFrame:
@@ -256,8 +256,8 @@ def versioned_merge(spark: SparkSession, folder: str) -> DataFrame:
     def stored(df: DataFrame, version, doc) -> DataFrame:
         return df.select(F.lit("ns").alias("namespace"), F.lit("uint").alias("id_kind"), F.col("o_orderkey").cast("string").alias("id"), version.cast("long").alias("version"), F.lit(False).alias("deleted"), doc.alias("doc"), F.lit(None).cast("string").alias("distance_metric"))
 
-    old = stored(rows.filter("o_orderkey % 2 = 0"), F.col("o_custkey") % 7, F.col("o_orderstatus"))
-    new = stored(rows.filter("o_orderkey % 3 = 0"), F.lit(3), F.lit("new"))
+    old = stored(rows.filter("o_orderstatus <> 'O'"), F.col("o_custkey") % 7, F.col("o_orderstatus"))
+    new = stored(rows.filter("o_orderstatus <> 'F'"), F.lit(3), F.lit("new"))
     return merge.merge(old, new).select("id", "version", "doc")
 
 
@@ -423,9 +423,9 @@ def lsn_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select("event_id", lsn.format_lsn(n).alias("shown"), lsn.parse_lsn(lsn.format_lsn(n)).alias("back"))
 
 
-@query("SELECT event_id, strftime(make_timestamp(event_id * 86400000123 + 946684800000000), '%Y-%m-%dT%H:%M:%S.%fZ') AS shown FROM events WHERE event_id < 5000")
+@query("SELECT event_id, strftime(make_timestamp(event_id * 86400123 + 946684800000000), '%Y-%m-%dT%H:%M:%S.%fZ') AS shown FROM events")
 def server_timestamps(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").filter("event_id < 5000").select("event_id", lsn.server_timestamp(F.col("event_id") * 86400000123).alias("shown"))
+    return table(spark, folder, "events").select("event_id", lsn.server_timestamp(F.col("event_id") * 86400123).alias("shown"))
 
 
 @query("SELECT doc_id, sha256(replace(text, chr(13) || chr(10), chr(10))) AS hash FROM documents")
@@ -476,10 +476,10 @@ def dlq_newest(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").filter("event_type = 'error'").orderBy(F.col("ts").desc(), "event_id").limit(50).select("event_id", "event_type")
 
 
-@query("""SELECT s_suppkey::INT AS version, s_name AS mapping_name, CASE WHEN s_suppkey % 3 = 0 THEN 'pending' WHEN s_suppkey % 3 = 1 THEN 'applied' ELSE 'mismatched' END AS state FROM supplier""")
+@query("""SELECT s_suppkey::INT AS version, s_name AS mapping_name, CASE WHEN s_acctbal < 0 THEN 'pending' WHEN s_nationkey < 12 THEN 'applied' ELSE 'mismatched' END AS state FROM supplier""")
 def migration_status(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "supplier").select(F.col("s_suppkey").cast("int").alias("version"), F.col("s_name").alias("mapping_name"), F.sha2("s_name", 256).alias("content_hash"))
-    applied = rows.filter("version % 3 <> 0").withColumn("content_hash", F.when(F.col("version") % 3 == 1, F.col("content_hash")).otherwise("changed"))
+    rows = table(spark, folder, "supplier").select(F.col("s_suppkey").cast("int").alias("version"), F.col("s_name").alias("mapping_name"), F.sha2("s_name", 256).alias("content_hash"), "s_acctbal", "s_nationkey")
+    applied = rows.filter("s_acctbal >= 0").withColumn("content_hash", F.when(F.col("s_nationkey") < 12, F.col("content_hash")).otherwise("changed"))
     return migrations.status(rows, applied)
 
 
@@ -496,10 +496,10 @@ def distinct_namespaces(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select(F.concat(F.lit("ns_"), "source").alias("namespace")).distinct()
 
 
-@query("SELECT n_name AS path FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_custkey < 10)")
+@query("SELECT n_name AS path FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900)")
 def unreferenced_transforms(spark: SparkSession, folder: str) -> DataFrame:
     nation = table(spark, folder, "nation")
-    used = table(spark, folder, "customer").filter("c_custkey < 10").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("path"))
+    used = table(spark, folder, "customer").filter("c_acctbal > 9900").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("path"))
     return migrations.unreferenced(nation.select(F.col("n_name").alias("path")), used)
 
 
