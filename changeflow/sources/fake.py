@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,47 +58,43 @@ class _Maker:
         return self.draw(2) == 1
 
 
-def value(m: _Maker, name: str, kind: str) -> Column:
+#: What a column's name says about its values, the first that matches; then what its type says.
+BY_NAME = (
+    (r"(^|_)(uuid|guid)$", "uuid"), (r"(^|_)id$", "number"), (r"e-?mail", "email"), (r"^(given|first)_?name$", "first"), (r"^(family|last)_?name$", "last"),
+    (r"^(full_?)?name$", "person"), (r"^(user_?name|login|handle)$", "handle"), (r"phone|mobile", "phone"), (r"address|street", "street"), (r"^(city|town)$", "place"),
+    (r"^country$", "country"), (r"^(zip|postal)_?(code)?$", "postcode"), (r"avatar|image|photo", "picture"), (r"url|website|homepage", "link"), (r"^(title|subject|headline)$", "sentence"),
+    (r"^(description|bio|about|summary)$", "paragraph"), (r"^(content|body|text)$", "paragraphs"), (r"status$", "status"), (r"^(type|category|kind)$", "category"),
+    (r"price|amount|cost", "money"), (r"quantity|count$", "small"), (r"(_at|timestamp)$", "moment"), (r"date|day$", "date"), (r"^(is|has|was|can)_|^(active|enabled|deleted)$", "flag"), (r"^(tags|labels)$", "words"),
+)
+BY_TYPE = (
+    (r"\[\]|^_|^array", "words"), (r"uuid", "uuid"), (r"bool", "flag"), (r"int|long|serial", "number"), (r"real|float|double|numeric|decimal", "decimal"), (r"json", "object"),
+    (r"^timestamp", "moment"), (r"^date", "date"), (r"^time", "time"), (r"text|char", "sentence"),
+)
+
+
+def kind_of(name: str, declared: str) -> str:
+    """What to make for a column of this name and type."""
+    for rules, text in ((BY_NAME, name.lower()), (BY_TYPE, declared.lower())):
+        for pattern, kind in rules:
+            if re.search(pattern, text):
+                return kind
+    return "word"
+
+
+def value(m: _Maker, name: str, declared: str) -> Column:
     """A value that suits a column."""
-    n, t = name.lower(), kind.lower()
-    rules = [
-        (n == "id" or n.endswith("_id"), lambda: m.whole(1, 100_000)),
-        (n == "uuid" or n.endswith("_uuid"), m.uuid),
-        ("email" in n, lambda: F.concat(m.word(), F.lit("@example.com"))),
-        (n in ("name", "full_name", "fullname"), m.name),
-        (n in ("first_name", "firstname"), lambda: m.pick(FIRST)),
-        (n in ("last_name", "lastname"), lambda: m.pick(LAST)),
-        (n in ("username", "user_name"), lambda: F.concat(m.word(), m.whole(1, 99).cast("string"))),
-        ("phone" in n, lambda: F.concat(F.lit("555-"), m.whole(1000, 9999).cast("string"))),
-        ("address" in n, lambda: F.concat(m.whole(1, 999).cast("string"), F.lit(" "), F.initcap(m.word()), F.lit(" Street"))),
-        (n == "city", lambda: F.initcap(m.word())),
-        (n == "country", lambda: m.pick(("France", "Germany", "Japan", "Kenya", "Peru"))),
-        (n in ("zip", "zipcode", "postal_code"), lambda: m.whole(10_000, 99_999).cast("string")),
-        ("url" in n or n == "website", lambda: F.concat(F.lit("https://"), m.word(), F.lit(".example.com"))),
-        (n in ("avatar", "image"), lambda: F.concat(F.lit("https://example.com/"), m.word(), F.lit(".png"))),
-        (n in ("description", "bio", "about"), m.paragraph),
-        (n in ("title", "subject"), m.sentence),
-        (n in ("content", "body", "text"), lambda: F.concat_ws("\n", m.paragraph(), m.paragraph())),
-        (n == "status", lambda: m.pick(("active", "inactive", "pending", "archived"))),
-        (n in ("type", "category"), lambda: m.pick(("type_a", "type_b", "type_c"))),
-        (n in ("price", "amount", "cost"), lambda: F.format_string("%.2f", (m.whole(100, 100_000) / 100).cast("double"))),
-        (n in ("quantity", "count"), lambda: m.whole(1, 100)),
-        (n.endswith("_at"), m.iso),
-        ("date" in n, lambda: m.iso().substr(1, 10)),
-        (n == "active" or n.startswith(("is_", "has_")), m.flag),
-        (n in ("tags", "labels"), lambda: F.array(m.word(), m.word(), m.word())),
-        (t == "uuid", m.uuid),
-        (t in ("boolean", "bool"), m.flag),
-        (t in ("integer", "int", "int2", "int4", "int8", "bigint", "smallint", "long"), lambda: m.whole(1, 10_000)),
-        (t in ("real", "float4", "float8", "double", "double precision", "numeric", "decimal"), lambda: m.whole(0, 100_000) / 100),
-        (t in ("text", "varchar", "character varying", "char", "character"), m.sentence),
-        (t in ("timestamp", "timestamp with time zone", "timestamptz"), m.iso),
-        (t == "date", lambda: m.iso().substr(1, 10)),
-        (t in ("time", "time with time zone", "timetz"), lambda: m.iso().substr(12, 13)),
-        (t in ("json", "jsonb"), lambda: F.to_json(F.struct(m.word().alias("key"), m.sentence().alias("value")))),
-        (t.startswith("_") or "[]" in t or t == "array", lambda: F.array(m.word(), m.word())),
-    ]
-    return next((make() for fits, make in rules if fits), None) if any(fits for fits, _ in rules) else m.word()
+    makers = {
+        "uuid": m.uuid, "number": lambda: m.whole(1, 100_000), "small": lambda: m.whole(1, 100), "decimal": lambda: m.whole(0, 100_000) / 100,
+        "money": lambda: F.format_string("%.2f", (m.whole(100, 100_000) / 100).cast("double")), "flag": m.flag, "word": m.word, "sentence": m.sentence, "paragraph": m.paragraph,
+        "paragraphs": lambda: F.concat_ws("\n", m.paragraph(), m.paragraph()), "words": lambda: F.array(m.word(), m.word(), m.word()), "email": lambda: F.concat(m.word(), F.lit("@example.com")),
+        "first": lambda: m.pick(FIRST), "last": lambda: m.pick(LAST), "person": m.name, "handle": lambda: F.concat(m.word(), m.whole(1, 99).cast("string")),
+        "phone": lambda: F.concat(F.lit("555-"), m.whole(1000, 9999).cast("string")), "street": lambda: F.concat(m.whole(1, 999).cast("string"), F.lit(" "), F.initcap(m.word()), F.lit(" Street")),
+        "place": lambda: F.initcap(m.word()), "country": lambda: m.pick(("France", "Germany", "Japan", "Kenya", "Peru")), "postcode": lambda: m.whole(10_000, 99_999).cast("string"),
+        "link": lambda: F.concat(F.lit("https://"), m.word(), F.lit(".example.com")), "picture": lambda: F.concat(F.lit("https://example.com/"), m.word(), F.lit(".png")),
+        "status": lambda: m.pick(("active", "inactive", "pending", "archived")), "category": lambda: m.pick(("red", "green", "blue")), "moment": m.iso, "date": lambda: m.iso().substr(1, 10),
+        "time": lambda: m.iso().substr(12, 13), "object": lambda: F.to_json(F.struct(m.word().alias("key"), m.sentence().alias("value"))),
+    }
+    return makers[kind_of(name, declared)]()
 
 
 def identity(m: _Maker, id_type: str) -> Column:
