@@ -134,6 +134,6 @@ def mix_rows(docs: DataFrame, row_id: str = "doc_id", source: str = "source", te
     few = cuts.count() <= BROADCAST_SOURCES
     mine = F.struct(random_key(F.col(row_id)).alias("key"), F.col(row_id).alias("doc_id"), F.size(words(F.col(text))).cast("long").alias("size"))
     rows = docs.join(F.broadcast(cuts) if few else cuts, docs[source].eqNullSafe(cuts["_s"]))
-    copies = F.col("_whole") + F.when(mine <= F.col("_cut"), 1).otherwise(0)
-    again = rows.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("_copy"))
-    return again.drop("_copy")
+    copies = cuts["_whole"] + F.when(mine <= cuts["_cut"], 1).otherwise(0)
+    row = F.struct(*[docs[c] for c in docs.columns])
+    return rows.select(F.explode(F.array_repeat(row, copies.cast("int"))).alias("row")).select("row.*")

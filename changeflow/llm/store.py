@@ -45,6 +45,11 @@ class Scratch:
     def __init__(self, spark: SparkSession, operator: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{operator}-{uuid.uuid4().hex}"
+        # what is still there when the driver ends is deleted then
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

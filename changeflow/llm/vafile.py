@@ -14,15 +14,17 @@ number of rows, however vectors are distributed.
 
 Vectors that are null or empty, hold null or non-finite components, or differ
 in length from the query take no part (a query of that kind has no rows).
-Scores are exact integers; beyond 64 bits they count as the largest or
-smallest of 64 bits.  Ties go to the smaller id.  Repeated ids are rows of
+Scores are exact integers; beyond 64 bits they count, and are ranked, as the
+largest or smallest of 64 bits.  Ties go to the smaller id.  Repeated ids are rows of
 their own; a query never meets rows of its own id.  An empty table gives an
 empty result, and extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +49,10 @@ def usable(vector: Column) -> Column:
 
 def _integers(values: np.ndarray, scale: float) -> np.ndarray:
     """floor(scale * x): int64, or Python integers where these don't fit."""
-    scaled = np.floor(values * scale)
-    if scaled.size == 0 or np.abs(scaled).max() < 2**40:
-        return scaled.astype(np.int64)
-    return np.array([[int(x) for x in row] for row in scaled], dtype=object)
+    if values.size == 0 or np.abs(values).max() < 2**40 / abs(scale):
+        return np.floor(values * scale).astype(np.int64)
+    factor = Fraction(scale)
+    return np.array([[math.floor(Fraction(x) * factor) for x in row] for row in values.tolist()], dtype=object)
 
 
 class Approximation:
@@ -75,7 +77,7 @@ class Approximation:
         ``bounds`` are corner * query of every distinct vector.
         """
         if bounds is None:  # numbers too large for floating point bounds: everything is read
-            scores = [sum(int(a) * int(b) for a, b in zip(row, query, strict=True)) for row in self.exact]
+            scores = [max(min(sum(int(a) * int(b) for a, b in zip(row, query, strict=True)), LONG_MAX), LONG_MIN) for row in self.exact]
             order, upper = sorted(range(len(scores)), key=lambda i: -scores[i]), None
         else:
             width = (1 << CELL_BITS) - 1
@@ -148,7 +150,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, row_id: str = "vec_i
                 out: list[tuple[int, int, int]] = []
                 for i, query_id in enumerate(numbers[0]):
                     found = block.search(int(query_id), asked_for[i], bounds[i] if small else None, k)
-                    out.extend((int(query_id), x, min(max(s, LONG_MIN), LONG_MAX)) for s, x in found)
+                    out.extend((int(query_id), x, s) for s, x in found)
                 columns = zip(*out, strict=True) if out else ([], [], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "id", "score"])
 
