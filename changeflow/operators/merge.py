@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 #: that an older upsert that comes late does not bring it back.
 STORED = "namespace string, id_kind string, id string, version long, deleted boolean, doc string, distance_metric string"
 
+#: The same with when a row was stored and whether its version counts.
+ARRIVED = STORED + ", arrived long, versioned boolean"
+
 
 def net_change(actions: DataFrame) -> DataFrame:
     """The last action of each document, by (lsn, seq): a partial aggregate
@@ -49,6 +52,19 @@ def merge(stored: DataFrame, incoming: DataFrame, versioned: bool = True, preser
     return out.select("namespace", "id_kind", "id", "_best.version", "_best.deleted", doc.alias("doc"), "_best.distance_metric")
 
 
+def best(rows: DataFrame) -> DataFrame:
+    """The row that counts of each document, of all that were stored.
+
+    With versions the newest, and of equal versions the one stored first;
+    a row stored without versions replaces all that were there before.
+    """
+    order = F.struct(
+        F.when(F.col("versioned"), F.col("version")).otherwise(F.lit(2**63 - 1)).alias("v"), F.when(F.col("versioned"), -F.col("arrived")).otherwise(F.col("arrived")).alias("a")
+    )
+    found = rows.groupBy("namespace", "id_kind", "id").agg(F.max_by(F.struct("version", "deleted", "doc", "distance_metric", "arrived", "versioned"), order).alias("b"))
+    return found.select("namespace", "id_kind", "id", "b.version", "b.deleted", "b.doc", "b.distance_metric", "b.arrived", "b.versioned")
+
+
 def exit_deletes(events: DataFrame, was: str, now: str) -> DataFrame:
     """Extension: deletes for updates whose old image belonged and whose new one does not."""
     left = (F.col("op") == "update") & F.expr(was) & ~F.expr(now)

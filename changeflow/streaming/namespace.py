@@ -1,9 +1,15 @@
 """Namespaces: stored documents by namespace, and writers to other stores.
 
-A namespace store is a Parquet snapshot in buckets by a hash of the id, so a
-merge rewrites only the buckets that a change touches.  ``Writer`` is what a
-remote store needs: chunks of write requests, sent from the executors with
-retries.
+A namespace store is a set of Parquet folders.  A change is appended as a
+folder of its own, so its cost is that of the change and not of the store;
+what counts is found when the store is read, by the best row of each document.
+When ``FANOUT`` folders of one level are there they are merged into one of the
+next level, so a row is rewritten as often as the logarithm of the changes.
+A folder counts once its marker file is there; folders whose merge was not
+finished are read along with it, which changes nothing.
+
+``Writer`` is what a remote store needs: chunks of write requests, sent from
+the executors with retries.
 """
 
 from __future__ import annotations
@@ -13,12 +19,13 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import batch, merge
 
-BUCKETS = 64
+#: Folders of one level that are merged.
+FANOUT = 8
 
 
 class Writer(Protocol):
@@ -81,15 +88,11 @@ def _window(group: list[str]):
     return Window.partitionBy(*group)
 
 
-def _bucket(column: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
-
-
 class Store:
     """Namespaces as Parquet, with tombstones and versions."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, root: str, fanout: int = FANOUT):
+        self.spark, self.root, self.fanout = spark, root.rstrip("/"), fanout
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -99,25 +102,31 @@ class Store:
         p, fs = self._fs(path)
         return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
 
-    def _versions(self, namespace: str) -> dict[int, str]:
-        """Of each bucket its latest complete folder."""
-        out: dict[int, str] = {}
-        for name in self._names(f"{self.root}/{namespace}"):
-            if name.endswith(".done"):
-                at = name.removesuffix(".done")
-                for b in self._names(f"{self.root}/{namespace}/{at}"):
-                    if b.startswith("bucket="):
-                        out[int(b.removeprefix("bucket="))] = f"{self.root}/{namespace}/{at}/{b}"
-        return out
+    def _folders(self, namespace: str) -> list[str]:
+        """Complete folders, named by level and time."""
+        return [n.removesuffix(".done") for n in self._names(f"{self.root}/{namespace}") if n.endswith(".done")]
+
+    def _write(self, namespace: str, level: int, rows: DataFrame, instead_of: list[str] = []) -> None:  # noqa: B006
+        name = f"{level:03d}-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        rows.sortWithinPartitions("id").write.parquet(f"{self.root}/{namespace}/{name}")
+        p, fs = self._fs(f"{self.root}/{namespace}/{name}.done")
+        fs.create(p).close()
+        for old in instead_of:
+            for path in (f"{self.root}/{namespace}/{old}.done", f"{self.root}/{namespace}/{old}"):
+                p, fs = self._fs(path)
+                fs.delete(p, True)
+
+    def _read(self, namespace: str, folders: list[str]) -> DataFrame:
+        schema = merge.ARRIVED
+        paths = [f"{self.root}/{namespace}/{f}" for f in folders]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def namespaces(self) -> list[str]:
         return [n for n in self._names(self.root) if not n.startswith((".", "_"))]
 
-    def rows(self, namespace: str, buckets: set[int] | None = None) -> DataFrame:
+    def rows(self, namespace: str) -> DataFrame:
         """The stored form, tombstones included."""
-        paths = [p for b, p in self._versions(namespace).items() if buckets is None or b in buckets]
-        schema = merge.STORED
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return merge.best(self._read(namespace, self._folders(namespace))).drop("arrived", "versioned")
 
     def documents(self, namespace: str) -> DataFrame:
         return merge.live(self.rows(namespace)).select("id_kind", "id", "version", "doc", "distance_metric")
@@ -133,43 +142,43 @@ class Store:
         return [r.k for r in keys.collect()]
 
     def apply(self, changes: DataFrame, versioned: bool = True, preserve_missing: bool = False) -> dict[str, int]:
-        """Merge net changes (in the stored form); rows that came, by namespace.
+        """Append net changes (in the stored form); rows that came, by namespace.
 
-        Only the buckets with changes are read and rewritten; the new ones
-        count as soon as the marker file behind them is there.
+        ``preserve_missing`` keeps attributes of the stored documents that the
+        new ones lack; only the stored rows of changed ids are read for it.
         """
         changes = changes.persist()
         try:
             came = {r.namespace: r.n for r in changes.groupBy("namespace").agg(F.count(F.lit(1)).alias("n")).collect()}
             for namespace in came:
-                own = changes.filter(F.col("namespace") == namespace).withColumn("bucket", _bucket(F.col("id"), self.buckets))
-                touched = {r.bucket for r in own.select("bucket").distinct().collect()}
-                merged = merge.merge(self.rows(namespace, touched), own.drop("bucket"), versioned, preserve_missing)
-                name = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-                target = f"{self.root}/{namespace}/{name}"
-                old = self._versions(namespace)
-                merged.withColumn("bucket", _bucket(F.col("id"), self.buckets)).repartition("bucket").write.partitionBy("bucket").parquet(target)
-                p, fs = self._fs(f"{target}.done")
-                fs.create(p).close()
-                for b, path in old.items():
-                    if b in touched:
-                        p, fs = self._fs(path)
-                        fs.delete(p, True)
+                own = changes.filter(F.col("namespace") == namespace)
+                if preserve_missing:
+                    before = self.rows(namespace).join(own.select("id_kind", "id"), ["id_kind", "id"], "left_semi")
+                    own = merge.merge(before.select(*own.columns), own, versioned, True)
+                arrived = F.lit(time.time_ns()).cast("long")
+                self._write(namespace, 0, own.withColumn("arrived", arrived).withColumn("versioned", F.lit(versioned)))
+                self.compact(namespace)
             return came
         finally:
             changes.unpersist()
 
+    def compact(self, namespace: str) -> None:
+        """Merge folders of a level that has enough of them, level by level."""
+        level = 0
+        while True:
+            own = [f for f in self._folders(namespace) if f.startswith(f"{level:03d}-")]
+            if len(own) < self.fanout:
+                return
+            self._write(namespace, level + 1, merge.best(self._read(namespace, own)), own)
+            level += 1
+
     def drop_tombstones(self, namespace: str, before: int) -> None:
-        """Forget deletes older than an lsn that no late event can precede."""
-        rows = self.rows(namespace).filter(~F.col("deleted") | (F.col("version") >= before))
-        name = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        old = self._versions(namespace)
-        rows.withColumn("bucket", _bucket(F.col("id"), self.buckets)).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.root}/{namespace}/{name}")
-        p, fs = self._fs(f"{self.root}/{namespace}/{name}.done")
-        fs.create(p).close()
-        for path in old.values():
-            p, fs = self._fs(path)
-            fs.delete(p, True)
+        """Merge everything and forget deletes older than an lsn that no late event can precede."""
+        folders = self._folders(namespace)
+        if folders:
+            level = max(int(f[:3]) for f in folders)
+            rows = merge.best(self._read(namespace, folders)).filter(~F.col("deleted") | (F.col("version") >= before))
+            self._write(namespace, level, rows, folders)
 
     def delete_namespace(self, namespace: str) -> None:
         p, fs = self._fs(f"{self.root}/{namespace}")

@@ -30,7 +30,7 @@ def expected(spark, log):
 @pytest.mark.parametrize("files", [1, 3])
 def test_mirror(spark, log, expected, tmp_path, files):
     changelog.write_log(log, str(tmp_path / "log"), files)
-    store, state = namespace.Store(spark, str(tmp_path / "store"), buckets=4), State(spark, str(tmp_path / "state"))
+    store, state = namespace.Store(spark, str(tmp_path / "store"), fanout=2), State(spark, str(tmp_path / "state"))
     row = log.schema["new"].dataType
     for _ in range(2):  # the second start finds nothing new
         stream = changelog.read_log(spark, str(tmp_path / "log"), row, stream=True, max_files=1)
@@ -40,7 +40,7 @@ def test_mirror(spark, log, expected, tmp_path, files):
 
 
 def test_redelivery_and_disorder(spark, log, expected, tmp_path):
-    store, state = namespace.Store(spark, str(tmp_path / "store"), buckets=4), State(spark, str(tmp_path / "state"))
+    store, state = namespace.Store(spark, str(tmp_path / "store"), fanout=2), State(spark, str(tmp_path / "state"))
     parts = [log.filter((F.col("txid") % 3) == i) for i in (2, 0, 1, 0)]  # one part twice, late parts first
     for p in parts:
         run.apply_batch(p, [USERS], store, state)
@@ -53,7 +53,7 @@ def test_redelivery_and_disorder(spark, log, expected, tmp_path):
 
 def test_interrupted_backfill(spark, tmp_path):
     table = spark.range(1, 1201).select(F.col("id").alias("user_id"), F.lit("x").alias("event_type"))
-    whole, parted = (namespace.Store(spark, str(tmp_path / n), 2) for n in ("whole", "parted"))
+    whole, parted = (namespace.Store(spark, str(tmp_path / n)) for n in ("whole", "parted"))
     state = State(spark, str(tmp_path / "state"))
     assert run.backfill(table, USERS, whole, state).upserted == 1200
     state.save_backfill("users", None, None, 0, "in_progress")
@@ -66,12 +66,28 @@ def test_column_versions(spark, tmp_path):
     m = Mapping("users", "users", "public", "users", "user_id", columns=("user_id", "value"), versioning=Versioning("column", "value"))
     row = "user_id long, value long"
     table = spark.createDataFrame([(1, 9), (2, 1)], row)
-    store, state = namespace.Store(spark, str(tmp_path / "s"), 1), State(spark, str(tmp_path / "t"))
+    store, state = namespace.Store(spark, str(tmp_path / "s")), State(spark, str(tmp_path / "t"))
     for df in (table, spark.createDataFrame([(1, 5), (2, 2)], row)):
         run.apply_batch(changelog.inserts(df, "public", "users"), [m], store, state)
     assert [(r.id, r.version) for r in store.documents("users").orderBy("id").collect()] == [("1", 9), ("2", 2)]
 
 
+def test_store_levels(spark, tmp_path):
+    """Changes are appended and merged by level; reading gives the same at any time."""
+    store = namespace.Store(spark, str(tmp_path / "s"), fanout=3)
+    row = lambda i, v, doc, d=False: ("n", "uint", str(i), v, d, doc, None)
+    schema = "namespace string, id_kind string, id string, version long, deleted boolean, doc string, distance_metric string"
+    for v in range(1, 11):
+        store.apply(spark.createDataFrame([row(1, v, f'{{"v":"{v}"}}'), row(2, 20 - v, f'{{"v":"{v}"}}'), row(3, 5, f'{{"v":"{v}"}}')], schema))
+        got = {r.id: r.doc for r in store.documents("n").collect()}
+        assert got == {"1": f'{{"v":"{v}"}}', "2": '{"v":"1"}', "3": '{"v":"1"}'}
+    assert len(store._folders("n")) <= 4
+    store.apply(spark.createDataFrame([row(1, 99, None, True), row(2, 99, '{"w":"x"}')], schema), preserve_missing=True)
+    assert {r.id: r.doc for r in store.documents("n").collect()} == {"2": '{"v":"1","w":"x"}', "3": '{"v":"1"}'}
+    store.apply(spark.createDataFrame([row(3, 0, '{"v":"last"}')], schema), versioned=False)
+    assert {r.id: r.doc for r in store.documents("n").collect()}["3"] == '{"v":"last"}'
+
+
 class Recorder:
     """A remote store that fails at first, on files so that workers share it."""
 
