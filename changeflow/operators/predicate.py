@@ -259,3 +259,42 @@ def compile(predicate: Predicate | str, schema: T.StructType, get: Callable[[str
 
     found = made(predicate)
     return F.lit(found) if isinstance(found, bool) else found
+
+
+def compile_mixed(predicate: Predicate | str, row: Column) -> Column:
+    """The same for rows of any relation, as maps of column name to JSON text.
+
+    The kind of each value is found row by row: a column that is not in the
+    map is missing, ``null`` is a null that is there.
+    """
+    if isinstance(predicate, str):
+        predicate = parse(predicate)
+    integer, number = r"^-?[0-9]+$", r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+
+    def equal(raw: Column, literal: object) -> Column:
+        if literal is None:
+            return raw == "null"
+        if isinstance(literal, bool):
+            return raw == ("true" if literal else "false")
+        if isinstance(literal, str):
+            return raw.startswith('"') & (F.get_json_object(F.concat(F.lit('{"v":'), raw, F.lit("}")), "$.v") == literal)
+        close = raw.rlike(number) & (F.abs(raw.try_cast("double") - F.lit(float(literal))) < EPSILON)
+        if isinstance(literal, int):
+            return F.when(raw.rlike(integer), raw.try_cast("decimal(38,0)") == F.lit(literal)).otherwise(close)
+        return close
+
+    def made(p: Predicate) -> Column:
+        if isinstance(p, Always):
+            return F.lit(p.value)
+        if isinstance(p, (Equals, IsNull)):
+            raw = F.try_element_at(row, F.lit(p.column))
+            hit = F.coalesce(equal(raw, p.literal), F.lit(False)) if isinstance(p, Equals) else raw.isNull() | (raw == "null")
+            return ~hit if p.negated else hit
+        if isinstance(p, Not):
+            return ~made(p.inner)
+        out = made(p.parts[0])
+        for part in p.parts[1:]:
+            out = out & made(part) if isinstance(p, Both) else out | made(part)
+        return out
+
+    return made(predicate)

@@ -118,6 +118,12 @@ def row_wise(function: Callable) -> Callable:
     return lambda rows, context: [function(row, context) for row in rows]
 
 
+def cut_to_tokens(text: str, most: int, encode: Callable[[str], list], decode: Callable[[list], str]) -> str:
+    """A text of at most ``most`` tokens of a tokenizer, unchanged if it has no more."""
+    tokens = encode(text)
+    return text if len(tokens) <= most else decode(tokens[:most])
+
+
 def with_lookup(events: DataFrame, table: DataFrame, key: str, event_key: str, name: str) -> DataFrame:
     """Each event with the matching row of another relation as a struct ``name``."""
     right = table.select(F.col(key).alias("_lookup_key"), F.struct(*table.columns).alias(name))

@@ -42,17 +42,39 @@ def log_of_events(events: DataFrame, schema: str = "public", name: str = "users"
     )
 
 
-def write_log(events: DataFrame, path: str, files: int = 1) -> None:
-    """A log as Parquet, whole transactions in a file, in partitions by relation."""
-    events.repartitionByRange(files, "txid").sortWithinPartitions("lsn", "seq").write.partitionBy("schema", "table").mode("append").parquet(path)
+def write_log(events: DataFrame, path: str, files: int = 1, form: str = "parquet") -> None:
+    """A log as Parquet or JSON, whole transactions in a file, in partitions by relation."""
+    events.repartitionByRange(files, "txid").sortWithinPartitions("lsn", "seq").write.partitionBy("schema", "table").mode("append").format(form).save(path)
 
 
-def read_log(spark: SparkSession, path: str, row: T.StructType, stream: bool = False, max_files: int | None = None) -> DataFrame:
+def read_log(spark: SparkSession, path: str, row: T.StructType, stream: bool = False, max_files: int | None = None, form: str = "parquet") -> DataFrame:
     """A written log, whole or as a stream in which a file is never split."""
-    reader = (spark.readStream if stream else spark.read).schema(event_schema(row))
+    reader = (spark.readStream if stream else spark.read).schema(event_schema(row)).format(form)
     if stream and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path).select(*EVENT_COLUMNS)
+    return reader.load(path).select(*EVENT_COLUMNS)
+
+
+#: A polled message: one transaction's changes.
+POLLED = "xid long, change array<struct<kind:string,schema:string,table:string,columnnames:array<string>,columnvalues:array<variant>,oldkeys:struct<keynames:array<string>,keyvalues:array<variant>>>>"
+
+
+def polled_events(messages: DataFrame) -> DataFrame:
+    """Events of polled JSON messages (lsn, data), rows as maps of JSON values.
+
+    The messages are what the server's JSON output plugin sends: one object
+    per transaction with names and values of new rows and of old keys.
+    """
+    read = messages.select("lsn", F.from_json("data", POLLED).alias("m")).filter("m IS NOT NULL")
+    rows = read.select("lsn", "m.xid", F.posexplode("m.change").alias("seq", "c"))
+
+    def pairs(names: str, values: str):
+        return F.map_from_arrays(F.col(names), F.transform(values, lambda v: F.coalesce(F.to_json(v), F.lit("null"))))
+
+    return rows.filter(F.col("c.kind").isin("insert", "update", "delete")).select(
+        F.col("c.kind").alias("op"), F.col("c.schema").alias("schema"), F.col("c.table").alias("table"), pairs("c.columnnames", "c.columnvalues").alias("new"),
+        pairs("c.oldkeys.keynames", "c.oldkeys.keyvalues").alias("old"), F.col("lsn").cast("long").alias("lsn"), "seq", F.col("xid").alias("txid"), F.array().cast("array<string>").alias("missing"),
+    )
 
 
 def between(log: DataFrame, start: int | None = None, stop: int | None = None) -> DataFrame:

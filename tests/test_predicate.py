@@ -104,3 +104,19 @@ def test_reaches_the_scan(spark, data):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "EqualNullSafe(o_orderstatus,O)" in plan and "Not(EqualNullSafe(o_custkey,7))" in plan
     assert "o_totalprice" not in plan.split("ReadSchema")[1]
+
+
+def test_mixed_rows_equal_evaluated(spark):
+    """Rows of any relation: the kind of a value is found row by row."""
+    import json
+
+    from pyspark.sql import functions as F
+
+    draw = random.Random(8)
+    options = [0, 1, -3, 10**12, 0.0, 1.0, 0.1 + 0.2, 2.5, "", "x", "it", "1", 'q"', True, False, None]
+    rows = [{c: draw.choice(options) for c in draw.sample("abfst", draw.randrange(6))} for _ in range(80)]
+    df = spark.createDataFrame([(i, {k: json.dumps(v) for k, v in r.items()}) for i, r in enumerate(rows)], "_n int, m map<string,string>")
+    trees = [tree(draw, 2) for _ in range(80)]
+    for r in df.select("_n", *[p.compile_mixed(t, F.col("m")).alias(f"p{i}") for i, t in enumerate(trees)]).collect():
+        for i, t in enumerate(trees):
+            assert r[f"p{i}"] is evaluate(t, rows[r._n], []), (t, rows[r._n])

@@ -164,3 +164,26 @@ def test_fake_rows(spark):
 def test_log_between(spark, data):
     log = changelog.log_of_events(spark.read.parquet(f"{data}/events.parquet"))
     assert changelog.between(log, 10, 20).count() == 10
+
+
+def test_log_as_json(spark, data, tmp_path):
+    log = changelog.log_of_events(spark.read.parquet(f"{data}/events.parquet"))
+    changelog.write_log(log, str(tmp_path), 2, "json")
+    back = changelog.read_log(spark, str(tmp_path), log.schema["new"].dataType, form="json")
+    assert back.exceptAll(log).count() == 0 and back.count() == log.count()
+
+
+def test_polled_messages(spark):
+    import json
+
+    new = {"kind": "insert", "schema": "public", "table": "users", "columnnames": ["id", "note"], "columnvalues": [1, None]}
+    gone = {"kind": "delete", "schema": "public", "table": "users", "oldkeys": {"keynames": ["id"], "keyvalues": ["x"]}}
+    rows = [(5, json.dumps({"xid": 3, "change": [new, gone, {"kind": "truncate"}]})), (6, "not json"), (7, json.dumps({"xid": 4, "change": []}))]
+    got = changelog.polled_events(spark.createDataFrame(rows, "lsn long, data string")).orderBy("lsn", "seq").collect()
+    assert [(r.op, r.lsn, r.seq, r.txid, r.new, r.old) for r in got] == [("insert", 5, 0, 3, {"id": "1", "note": "null"}, None), ("delete", 5, 1, 3, None, {"id": '"x"'})]
+
+
+def test_cut_to_tokens():
+    from changeflow.operators.transform import cut_to_tokens
+
+    assert cut_to_tokens("a b c", 2, str.split, " ".join) == "a b" and cut_to_tokens("a  b", 2, str.split, " ".join) == "a  b"
