@@ -36,8 +36,8 @@ def identity_document(mapping: Mapping, row: T.StructType, get, missing: Column
     return F.when(F.coalesce(F.size(missing), F.lit(0)) <= 0, whole).otherwise(F.concat(F.lit("{"), F.array_join(inner, ","), F.lit("}")))
 
 
-def identify(events: DataFrame, mapping: Mapping) -> DataFrame:
-    """``events`` with ``id`` and ``id_error``."""
+def _identity(events: DataFrame, mapping: Mapping) -> tuple[Column, Column]:
+    """(id, error) of events under a mapping."""
     row: T.StructType = events.schema["new"].dataType
     whole = image(events)
     dtype = row[mapping.id_column].dataType if mapping.id_column in row.names else None
@@ -46,30 +46,50 @@ def identify(events: DataFrame, mapping: Mapping) -> DataFrame:
     if "missing" in events.columns and dtype is not None:
         gone = F.coalesce(F.array_contains("missing", mapping.id_column), F.lit(False)) & whole.isNotNull()
         found, error = F.when(~gone, found), F.when(gone, "MissingColumn").otherwise(error)
+    return found, error
+
+
+def identify(events: DataFrame, mapping: Mapping) -> DataFrame:
+    """``events`` with ``id`` and ``id_error``."""
+    found, error = _identity(events, mapping)
     return events.withColumn("id", found).withColumn("id_error", error)
 
 
-def identity_actions(events: DataFrame, mapping: Mapping) -> DataFrame:
-    """The actions of events that were routed to ``mapping``."""
+def _made(events: DataFrame, mapping: Mapping) -> dict[str, Column]:
+    """The columns of a mapping's identity actions that depend on the mapping."""
     row: T.StructType = events.schema["new"].dataType
-    seen = identify(events, mapping)
+    found, id_error = _identity(events, mapping)
     missing = F.col("missing") if "missing" in events.columns else None
     document = identity_document(mapping, row, lambda c: F.col(f"new.`{c}`"), missing)
     no_row = (F.col("op") != "delete") & F.col("new").isNull()
-    bad = F.col("id_error").isNotNull() | no_row
-    kinds = {"MissingId": "missing_column", "MissingColumn": "missing_column", "InvalidIdType": "invalid_type"}
-    kind = F.lit(None).cast("string")
-    for name, value in kinds.items():
-        kind = F.when(F.col("id_error") == name, value).otherwise(kind)
-    return seen.select(
-        F.lit(mapping.name).alias("mapping"), F.lit(mapping.namespace).alias("namespace"),
-        F.when(bad, "error").when(F.col("op") == "delete", "delete").otherwise("upsert").alias("type"),
-        "id", F.when(~bad & (F.col("op") != "delete"), document).alias("doc"),
-        F.lit(None).cast("string").alias("distance_metric"),
-        F.when(F.col("id_error").isNotNull(), kind).when(no_row, "invalid_data").alias("error_kind"),
-        F.when(F.col("id_error").isNotNull(), F.col("id_error")).when(no_row, "event without a new row").alias("error_message"),
-        "lsn", "seq", "txid",
-    )
+    bad = id_error.isNotNull() | no_row
+    return {
+        "namespace": F.lit(mapping.namespace),
+        "type": F.when(bad, "error").when(F.col("op") == "delete", "delete").otherwise("upsert"),
+        "id": found,
+        "doc": F.when(~bad & (F.col("op") != "delete"), document),
+        "error_kind": F.when(id_error == "InvalidIdType", "invalid_type").when(id_error.isNotNull(), "missing_column").when(no_row, "invalid_data"),
+        "error_message": F.when(id_error.isNotNull(), id_error).when(no_row, "event without a new row"),
+    }
+
+
+def identity_actions(events: DataFrame, *mappings: Mapping) -> DataFrame:
+    """The actions of events that were routed to ``mappings``, in one pass.
+
+    With several mappings each event's column ``mapping`` says whose it is.
+    """
+    made = [(m, _made(events, m)) for m in mappings]
+    if len(made) == 1:
+        columns = made[0][1] | {"mapping": F.lit(mappings[0].name)}
+    else:
+        columns = {"mapping": F.col("mapping")}
+        for name in made[0][1]:
+            chosen_one = F.when(F.col("mapping") == made[0][0].name, made[0][1][name])
+            for m, own in made[1:]:
+                chosen_one = chosen_one.when(F.col("mapping") == m.name, own[name])
+            columns[name] = chosen_one
+    columns["distance_metric"] = F.lit(None).cast("string")
+    return events.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in ACTION_COLUMNS])
 
 
 def writes(actions: DataFrame) -> DataFrame:

@@ -30,15 +30,17 @@ def actions_of(events: DataFrame, mappings: Iterable[Mapping], functions: Functi
     Python transform cross to Python.
     """
     mappings, functions = list(mappings), functions or {}
-    routed = route.route(events, mappings)
-    out: DataFrame | None = None
-    for m in mappings:
-        own = routed.filter(F.col("mapping") == m.name) if len(mappings) > 1 else routed
-        function = functions.get(m.name) or (transform.load(m.transform.path, m.transform.entry) if m.transform.custom and m.transform.path else None)
-        made = transform.transform_actions(own, m, function, transform.Context(m.name, m.version, m.namespace)) if function else project.identity_actions(own, m)
-        out = made if out is None else out.unionByName(made)
-    if out is None:
+    if not mappings:
         raise ValueError("no mappings")
+    own = {m.name: functions.get(m.name) or (transform.load(m.transform.path, m.transform.entry) if m.transform.custom and m.transform.path else None) for m in mappings}
+    plain = [m for m in mappings if not own[m.name]]
+    parts = [project.identity_actions(route.route(events, plain), *plain)] if plain else []
+    for m in mappings:
+        if own[m.name]:
+            parts.append(transform.transform_actions(route.route(events, [m]), m, own[m.name], transform.Context(m.name, m.version, m.namespace)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 
@@ -83,10 +85,9 @@ def apply_batch(events: DataFrame, mappings: list[Mapping], store: Store, state:
         if last is not None:
             counts = {r.mapping: r.n for r in seen}
             rows = {}
-            for m in mappings:  # every mapping has now seen the log up to here
-                before = state.checkpoint(m.name)
-                if before is None or last > before[0]:
-                    rows[m.name] = (last, (before[1] if before else 0) + counts.get(m.name, 0))
+            for m in mappings:  # every mapping has now seen these events; files of one moment may come in any order
+                lsn, n = state.checkpoint(m.name) or (0, 0)
+                rows[m.name] = (max(lsn, last), n + counts.get(m.name, 0))
             state.save_checkpoints(rows)
         return came
     finally:

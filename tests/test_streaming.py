@@ -51,6 +51,16 @@ def test_redelivery_and_disorder(spark, log, expected, tmp_path):
     assert contents(store) == expected and store.rows("users").filter("deleted").count() == 0
 
 
+def test_several_mappings_one_scan(spark, log):
+    from changeflow.model import Membership
+
+    buyers = Mapping("buyers", "b", "public", "users", "user_id", id_type="string", columns=("value",), membership=Membership("dsl", "event_type = 'purchase'"))
+    both = run.actions_of(log, [USERS, buyers])
+    assert both._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    apart = run.actions_of(log, [USERS]).unionByName(run.actions_of(log, [buyers]))
+    assert both.exceptAll(apart).count() == 0 and both.count() == apart.count()
+
+
 def test_interrupted_backfill(spark, tmp_path):
     table = spark.range(1, 1201).select(F.col("id").alias("user_id"), F.lit("x").alias("event_type"))
     whole, parted = (namespace.Store(spark, str(tmp_path / n)) for n in ("whole", "parted"))
