@@ -156,3 +156,34 @@ def link(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn",
         F.coalesce("n_passages", F.lit(0)).alias("n_passages"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
     )
     return out.orderBy(conversation, "thread", "turn", "text")
+
+
+def oracle(table: str = "conversations") -> str:
+    """The same in DuckDB's SQL."""
+
+    def units(text: str) -> str:
+        tidy = "lower(trim(regexp_replace(x, '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' '))"
+        parts = f"list_concat(regexp_split_to_array({text}, '\\n[ \\t]*(?:\\n[ \\t]*)+'), string_split({text}, chr(10)))"
+        return f"list_distinct(list_filter(list_transform({parts}, lambda x: {tidy}), lambda x: x <> ''))"
+
+    return f"""
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS rn, conv_id, coalesce('=' || conv_id, '') AS conv, turn::BIGINT AS turn, role, md5(coalesce(text, '')) AS msg,
+  string_split(regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g'), chr(10)) AS ls FROM {table}),
+x AS (SELECT rn, i, ls[i] AS line FROM (SELECT rn, ls, unnest(range(1, len(ls) + 1)) AS i FROM m)),
+p AS (SELECT rn, i, length(regexp_replace(regexp_extract(line, '{QUOTED}'), '[ \\t]', '', 'g')) AS level, regexp_replace(line, '{QUOTED}', '') AS body FROM x),
+q AS (SELECT rn, i, body, CASE WHEN level = 0 AND lead(level) OVER (PARTITION BY rn ORDER BY i) > 0 AND regexp_matches(body, '{ATTRIBUTION}') THEN -1 ELSE level END AS level FROM p),
+b AS (SELECT rn, trim(coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (WHERE level = 0), ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body, max(level) AS top FROM q GROUP BY rn),
+msgs AS (SELECT DISTINCT conv, turn, msg, first(rn) OVER (PARTITION BY conv, turn, msg ORDER BY rn) AS rn FROM m WHERE turn IS NOT NULL),
+levels AS (SELECT s.conv, s.turn, s.msg, s.rn, unnest(range(1, b.top + 1)) AS level FROM msgs s JOIN b USING (rn) WHERE b.top > 0),
+quoted AS (SELECT v.conv, v.turn, v.msg, v.level, string_agg(CASE WHEN q.level = v.level THEN q.body ELSE '' END, chr(10) ORDER BY q.i) AS t FROM levels v JOIN q USING (rn) GROUP BY ALL),
+passages AS (SELECT conv, turn, msg, level, unnest({units("t")}) AS u FROM quoted),
+originals AS (SELECT DISTINCT m.conv, m.turn, unnest({units("b.body")}) AS u FROM m JOIN b USING (rn) WHERE m.turn IS NOT NULL),
+found AS (SELECT p.conv, p.turn, p.msg, p.level, p.u, max(o.turn) AS orig FROM passages p LEFT JOIN originals o ON o.conv = p.conv AND o.u = p.u AND o.turn < p.turn GROUP BY ALL),
+votes AS (SELECT conv, turn, msg, level, orig, count(*) AS n FROM found GROUP BY ALL),
+reply AS (SELECT conv, turn, msg, first(orig ORDER BY level, n DESC, orig DESC) FILTER (WHERE orig IS NOT NULL) AS reply_to, sum(n)::BIGINT AS n_passages,
+  coalesce(sum(n) FILTER (WHERE orig IS NOT NULL), 0)::BIGINT AS n_linked FROM votes GROUP BY ALL),
+links AS (SELECT conv, turn, min(reply_to) AS parent FROM reply WHERE reply_to IS NOT NULL GROUP BY ALL),
+up AS (SELECT conv, turn, parent AS place FROM links UNION ALL SELECT up.conv, up.turn, l.parent FROM up JOIN links l ON l.conv = up.conv AND l.turn = up.place),
+roots AS (SELECT conv, turn, min(place) AS root FROM up GROUP BY ALL)
+SELECT m.conv_id, m.turn, m.role, b.body AS text, r.reply_to, coalesce(o.root, r.reply_to, m.turn) AS thread, coalesce(r.n_passages, 0)::BIGINT AS n_passages, coalesce(r.n_linked, 0)::BIGINT AS n_linked
+FROM m JOIN b USING (rn) LEFT JOIN reply r ON r.conv = m.conv AND r.turn = m.turn AND r.msg = m.msg LEFT JOIN roots o ON o.conv = r.conv AND o.turn = r.reply_to"""

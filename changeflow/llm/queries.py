@@ -124,4 +124,4 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGIN
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20"""
 
-ORACLES: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op4_license_scan": licenses.oracle(), "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL, "op8_top_k": OP8_SQL}
+ORACLES: dict[str, str] = {"op2_chat_formatting": chat.oracle(), "op3_quality_rules": OP3_SQL, "op4_license_scan": licenses.oracle(), "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL, "op8_top_k": OP8_SQL}
