@@ -22,7 +22,6 @@ import json
 import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import textkernel as tk
+
 #: Words whose ids a worker remembers, in each of two generations.
 REMEMBERED = 300_000
 #: Words longer than this are not remembered.
@@ -61,7 +62,7 @@ class _Memory(dict):
         super().__init__()
         self.make, self.older = make, {}
 
-    def __missing__(self, word: str):
+    def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
             ids = self.make(word)
@@ -91,7 +92,6 @@ class Vocabulary:
                 raise ValueError(f"special string with conditions: {t['content']}")
             self.special[t["content"]] = t["id"]
             self.bytes_of[t["id"]] = t["content"].encode()
-        self.decimal = {i: str(i) for i in self.bytes_of}
         self.of_byte = [0] * 256
         for c, b in alphabet.items():
             self.of_byte[b] = ids[c]
@@ -102,7 +102,9 @@ class Vocabulary:
         self.word = regex.compile(PATTERN)
         self.unassigned = _unassigned()
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.known = _Memory(self.encode_word)
+        #: Ids are kept as numbers of 16 bits where all fit.
+        self.kind = np.dtype("<u2" if max(self.bytes_of) < 1 << 16 else "<u4")
+        self.known = _Memory(lambda word: np.array(self.encode_word(word), self.kind).tobytes())
 
     def encode_word(self, word: str) -> tuple[int, ...]:
         symbols = [self.of_byte[b] for b in word.encode()]
@@ -139,16 +141,13 @@ class Vocabulary:
             return [text[a:b] for _, (a, b) in spans]
         return self.word.findall(text)
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if self.cut is None or not any(s in text for s in self.special):
-            return list(chain.from_iterable(map(self.known.__getitem__, self.words(text))))
-        out: list[int] = []
-        for part in self.cut.split(text):
-            if part in self.special:
-                out.append(self.special[part])
-            else:
-                out.extend(chain.from_iterable(map(self.known.__getitem__, self.words(part))))
-        return out
+            packed = b"".join(map(self.known.__getitem__, self.words(text)))
+        else:
+            one = lambda i: np.array([i], self.kind).tobytes()
+            packed = b"".join(one(self.special[p]) if p in self.special else b"".join(map(self.known.__getitem__, self.words(p))) for p in self.cut.split(text))
+        return np.frombuffer(packed, self.kind)
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -182,17 +181,17 @@ def transcode(docs: DataFrame, vocabulary: str, row_id: str = "doc_id", text: st
             for at in range(batch.num_rows):
                 of = v.encode(texts[at].as_py() or "")
                 ids.append(of)
-                decoded.append(v.decode(of))
+                decoded.append(v.decode(of.tolist()))
                 chars += len(decoded[-1])
                 if chars >= OUT_CHARS or at == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(start, len(ids)), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], ["row_id", "ids", "decoded"]
-                    )
+                    ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(ids)), lists, pa.array(decoded, pa.string())], ["row_id", "ids", "decoded"])
                     start, ids, decoded, chars = at + 1, [], [], 0
 
     rows = docs.select(F.col(row_id).alias("row_id"), F.col(text).alias("text"))
     schema = T.StructType([T.StructField("row_id", rows.schema[0].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())])
-    return rows.mapInArrow(run, schema).withColumnRenamed("row_id", row_id)
+    return rows.mapInArrow(tk.released(run), schema).withColumnRenamed("row_id", row_id)
 
 
 def digests(coded: DataFrame, row_id: str = "doc_id") -> DataFrame:

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import textkernel as tk
+
 #: Numbers that a task sends at once.
 CHUNK = 1 << 16
 
@@ -56,8 +58,8 @@ def summed(parts: DataFrame, size: int, dtype) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], ["chunk", "numbers"])
 
     # sums of parts of the tasks first, so that no task reads a chunk of every task
-    once = parts.repartition("chunk", F.pmod(F.hash("numbers"), F.lit(16))).mapInArrow(run, "chunk int, numbers binary")
-    total = once.repartition("chunk").mapInArrow(run, "chunk int, numbers binary")
+    once = parts.repartition("chunk", F.pmod(F.hash("numbers"), F.lit(16))).mapInArrow(tk.released(run), "chunk int, numbers binary")
+    total = once.repartition("chunk").mapInArrow(tk.released(run), "chunk int, numbers binary")
     out = np.zeros(size, dtype)
     for chunk, numbers in total.toLocalIterator():
         out[chunk * CHUNK : chunk * CHUNK + CHUNK] += np.frombuffer(zlib.decompress(numbers), dtype)

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import textkernel as tk
+
 #: Stop words of the languages that the rules know: English, French, German, Spanish.
 STOP_WORDS = frozenset(
     """
@@ -268,5 +270,5 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), page:
     rows = pages.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(page).alias("page"))
     names = [*rows.columns[:-1], "text"]
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("text", T.StringType())])
-    out = rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(tk.released(run), schema)
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "text")

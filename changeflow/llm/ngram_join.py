@@ -112,7 +112,7 @@ def _profiles(rows: DataFrame, measure: Measure, bits: int) -> DataFrame:
             for _, tokens, begin in _token_sets(batch.column(2), measure):
                 waiting.append(tokens)
                 size += len(tokens)
-                if size >= 4_000_000:
+                if size >= 1_000_000:
                     add()
                 view = memoryview(tokens).cast("B") if len(tokens) else b""
                 n.extend(np.diff(begin).tolist())
@@ -131,7 +131,7 @@ def _profiles(rows: DataFrame, measure: Measure, bits: int) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_type
 
     ref_type = to_arrow_type(rows.schema["ref"].dataType)
-    return rows.select("ref", "id", "text").mapInArrow(run, schema)
+    return rows.select("ref", "id", "text").mapInArrow(tk.released(run), schema)
 
 
 def _sketch(profiles: DataFrame, bits: int) -> np.ndarray:
@@ -155,7 +155,7 @@ def _sketch(profiles: DataFrame, bits: int) -> np.ndarray:
 
     chunks = profiles.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").sortWithinPartitions("chunk")
     out = np.zeros(max(1 << bits, CHUNK), np.int32)
-    for chunk, counts in chunks.mapInArrow(add, "chunk int, counts binary").toLocalIterator():
+    for chunk, counts in chunks.mapInArrow(tk.released(add), "chunk int, counts binary").toLocalIterator():
         out[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(zlib.decompress(counts), np.int32)
     return out[: 1 << bits]
 
@@ -195,7 +195,7 @@ def _features(texts: DataFrame, measure: Measure, sketch, bits: int, frequent: i
                 columns = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(columns[0], pa.int64()), *[pa.array(c, pa.binary()) for c in columns[1:]]], ["id", "n", "rare", "frequent", "print2", "print3"])
 
-    return texts.mapInArrow(run, "id long, n long, rare binary, frequent binary, print2 binary, print3 binary")
+    return texts.mapInArrow(tk.released(run), "id long, n long, rare binary, frequent binary, print2 binary, print3 binary")
 
 
 def _postings(features: DataFrame, buckets: int) -> DataFrame:
@@ -228,7 +228,7 @@ def _postings(features: DataFrame, buckets: int) -> DataFrame:
                         yield from deal()
         yield from deal()
 
-    return features.select("id", "n", "rare").mapInArrow(run, "bucket int, token binary, doc binary, n binary, at binary")
+    return features.select("id", "n", "rare").mapInArrow(tk.released(run), "bucket int, token binary, doc binary, n binary, at binary")
 
 
 def _candidates(postings: DataFrame, measure: Measure) -> DataFrame:
@@ -283,7 +283,7 @@ def _candidates(postings: DataFrame, measure: Measure) -> DataFrame:
             yield from rows(parts)
 
     dealt = postings.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "a long, b long, token long, n long")
+    return dealt.mapInArrow(tk.released(run), "a long, b long, token long, n long")
 
 
 def _frequent_postings(features: DataFrame) -> DataFrame:
@@ -296,7 +296,7 @@ def _frequent_postings(features: DataFrame) -> DataFrame:
             columns = [np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64)), *map(pa.array, columns)], ["token", "a", "n"])
 
-    return features.filter(F.octet_length("frequent") > 0).select("id", "n", "frequent").mapInArrow(run, "token long, a long, n long")
+    return features.filter(F.octet_length("frequent") > 0).select("id", "n", "frequent").mapInArrow(tk.released(run), "token long, a long, n long")
 
 
 def _star_pairs(large: DataFrame, scratch: Scratch, measure: Measure) -> DataFrame:
@@ -339,7 +339,7 @@ def _filtered(pairs: DataFrame, features: DataFrame, measure: Measure) -> DataFr
 
     left, right = (features.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("print2").alias(f"{x}2"), F.col("print3").alias(f"{x}3")) for x in "ab")
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "a2", "a3", "n_b", "b2", "b3")
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(tk.released(run), "a long, b long")
 
 
 def _sets(texts: DataFrame, measure: Measure, bits: int = 64) -> DataFrame:
@@ -353,7 +353,7 @@ def _sets(texts: DataFrame, measure: Measure, bits: int = 64) -> DataFrame:
                 packed = [tokens[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(packed)), pa.array(packed, pa.binary())], ["id", "tokens"])
 
-    return texts.mapInArrow(run, "id long, tokens binary")
+    return texts.mapInArrow(tk.released(run), "id long, tokens binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure, bits: int) -> DataFrame:
@@ -379,7 +379,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure, bits: int) ->
             yield pa.RecordBatch.from_arrays([*[batch.column(k).filter(mask) for k in (0, 1)], pa.array(sure, pa.bool_())], ["a", "b", "sure"])
 
     left, right = (sets.select(F.col("id").alias(x), F.col("tokens").alias(f"{x}_tokens")) for x in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens").mapInArrow(run, "a long, b long, sure boolean")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens").mapInArrow(tk.released(run), "a long, b long, sure boolean")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -473,7 +473,7 @@ def _block_links(large: DataFrame, roots: DataFrame, texts_of, scratch: Scratch,
             yield compared(pairs, held)
 
     dealt = sent.repartition("g", "h").sortWithinPartitions("g", "h", F.col("block").asc_nulls_first())
-    return scratch.save(dealt.mapInArrow(run, "a long, b long"), "block-links")
+    return scratch.save(dealt.mapInArrow(tk.released(run), "a long, b long"), "block-links")
 
 
 def join(docs: DataFrame, measure: Measure = Measure(), row_id: str = "doc_id", text: str = "text") -> DataFrame:

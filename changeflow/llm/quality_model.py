@@ -91,7 +91,7 @@ def context_vectors(texts: DataFrame) -> np.ndarray:
         yield from fitting.emit(table)
 
     size = (1 << KEY_BITS) * DIMENSIONS
-    table = fitting.summed(texts.select("text").mapInArrow(run, "chunk int, numbers binary"), size, np.float64).reshape(-1, DIMENSIONS)
+    table = fitting.summed(texts.select("text").mapInArrow(tk.released(run), "chunk int, numbers binary"), size, np.float64).reshape(-1, DIMENSIONS)
     length = np.sqrt((table**2).sum(1, keepdims=True))
     return (table / np.where(length > 0, length, 1)).astype(np.float32)
 
@@ -192,7 +192,7 @@ class Model:
         rows = docs.select(F.col(text).alias("t"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
         names = [*rows.columns[1:], "score", "predicted"]
         schema = T.StructType([*rows.schema.fields[1:], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-        out = rows.mapInArrow(run, schema)
+        out = rows.mapInArrow(tk.released(run), schema)
         return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "score", "predicted")
 
 
@@ -207,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", usable: Call
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary()), batch.column(1)], ["row", "label"])
 
     chosen = fitting.sample(docs, labels, label, usable, bound, max_chars, row_id, text).select("text", "label")
-    found = chosen.mapInArrow(features, "row binary, label int").toPandas()  # at most ``bound`` short rows
+    found = chosen.mapInArrow(tk.released(features), "row binary, label int").toPandas()  # at most ``bound`` short rows
     rows = np.frombuffer(b"".join(found["row"]), np.float32).reshape(-1, DIMENSIONS + FIGURES)
     return Model(vectors, context.broadcast(train(rows, found["label"].to_numpy(np.int64))))
 

@@ -6,7 +6,8 @@ and depend on all bytes, so equal hashes stand for equal words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,23 @@ _C1, _C2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB),
 _KEEP = np.array([(1 << 8 * i) - 1 for i in range(8)] + [2**64 - 1], dtype=np.uint64)
 
 
+def released(run: Callable) -> Callable:
+    """A partition function that gives its free memory back at the end: a
+    worker is kept for other tasks and would hold on to it."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose values look random."""
     x = (x ^ (x >> np.uint64(30))) * _C1

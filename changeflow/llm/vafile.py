@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import textkernel as tk
 from .store import Scratch
 
 #: Cells are 2 ** this wide.
@@ -154,7 +155,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, row_id: str = "vec_i
                 columns = zip(*out, strict=True) if out else ([], [], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "id", "score"])
 
-    found = pairs.mapInArrow(run, "query_id long, id long, score long")
+    found = pairs.mapInArrow(tk.released(run), "query_id long, id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(row_id), "score")
