@@ -119,6 +119,13 @@ def _windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(inside, of[np.minimum(at, len(words.of))], len(words.word)), begin, made
 
 
+def _used(inputs: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Only the inputs that the windows have, and the windows' numbers of them."""
+    some, of = np.unique(windows, return_inverse=True)
+    of = of.reshape(windows.shape)
+    return inputs[some[some < len(inputs)]], of
+
+
 def _sig(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
@@ -278,13 +285,13 @@ def train(texts: list[str], labels: np.ndarray) -> Scorer | Constant:
     rounds = max(ROUNDS, 40_000 // len(labels))
     for done in range(rounds):
         if done and done % max(1, rounds // ROUNDS) == 0:
-            logits = np.concatenate([net.forward(inputs, windows[k : k + 4096]) for k in range(0, len(windows), 4096)])
+            logits = np.concatenate([net.forward(*_used(inputs, windows[k : k + 4096])) for k in range(0, len(windows), 4096)])
         order = np.lexsort((logits, text_of))
         shown = order[begin[1:] - 1]  # the window that each text scores highest in
         steps.rate = RATE * (1 - 0.8 * done / rounds)
         for part in np.array_split(draw.permutation(len(labels)), -(-len(labels) // 64)):
-            steps.step(net.gradient(inputs, windows[shown[part]], labels[part], np.ones(len(part))))
-    logits = np.concatenate([net.forward(inputs, windows[k : k + 4096]) for k in range(0, len(windows), 4096)])
+            steps.step(net.gradient(*_used(inputs, windows[shown[part]]), labels[part], np.ones(len(part))))
+    logits = np.concatenate([net.forward(*_used(inputs, windows[k : k + 4096])) for k in range(0, len(windows), 4096)])
     x = _summary(logits.astype(np.float64), begin)
     weights = np.array([0.7, 0.3, 0.0, 0.0])
     for _ in range(50):  # Newton steps of a ridge logistic regression
@@ -309,4 +316,4 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Call
 
     rows = docs.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
     schema = T.StructType([rows.schema["id"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", row_id)
+    return rows.mapInArrow(tk.released(run), schema).withColumnRenamed("id", row_id)
