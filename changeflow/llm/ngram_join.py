@@ -60,6 +60,8 @@ LEAST_COUNTERS, MOST_COUNTERS, CHUNK = 16, 25, 1 << 15
 COUNTERS_PER_TEXT = 32
 #: Prefix tokens that a bucket holds and that a task gathers before it deals them out.
 BUCKET_TOKENS, GATHERED, LEAST_BUCKETS = 200_000, 1_000_000, 256
+#: Bytes of text that are worked on at once.
+PIECE = 1_000_000
 #: Rows that go back to the JVM at once.
 OUT_ROWS = 100_000
 #: Up to so many ids (long numbers) are broadcast to find their texts; beyond, texts are shuffled to them.
@@ -81,7 +83,7 @@ class Measure:
 
 def _token_sets(texts: pa.Array, measure: Measure) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, tokens, begin) of pieces of a batch."""
-    for a, _, buf, offsets in tk.pieces(texts):
+    for a, _, buf, offsets in tk.pieces(texts, PIECE):
         buf = tk.LOWER[buf]
         starts, ends, first = tk.spans(buf, offsets)
         yield a, *tk.distinct(*tk.shingles(tk.hash_spans(buf, starts, ends), first, measure.width))
@@ -95,13 +97,7 @@ def _profiles(rows: DataFrame, measure: Measure, bits: int) -> DataFrame:
     """Per text its number of tokens and the digest of its set; per task the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting, size = np.zeros(1 << bits, np.int32), [], 0
-
-        def add() -> None:
-            nonlocal waiting, size
-            if waiting:
-                counts[:] += np.bincount(_counter(np.concatenate(waiting), bits), minlength=1 << bits).astype(np.int32)
-            waiting, size = [], 0
+        counts = np.zeros(1 << bits, np.int32)
 
         def rows_of(ref, ids, n, digests, chunks, packed):
             k = len(ids)
@@ -110,16 +106,12 @@ def _profiles(rows: DataFrame, measure: Measure, bits: int) -> DataFrame:
         for batch in batches:
             ids, n, digests = batch.column(1), [], []
             for _, tokens, begin in _token_sets(batch.column(2), measure):
-                waiting.append(tokens)
-                size += len(tokens)
-                if size >= 1_000_000:
-                    add()
+                np.add.at(counts, _counter(tokens, bits), 1)
                 view = memoryview(tokens).cast("B") if len(tokens) else b""
                 n.extend(np.diff(begin).tolist())
                 digests.extend(hashlib.md5(view[8 * a : 8 * b]).digest() if b > a else None for a, b in zip(begin[:-1], begin[1:], strict=True))
             if len(ids):
                 yield rows_of(batch.column(0), ids, n, digests, [None] * len(ids), [None] * len(ids))
-        add()
         for at in range(0, 1 << bits, CHUNK):
             part = counts[at : at + CHUNK]
             if part.any():
@@ -360,9 +352,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure, bits: int) ->
     """The pairs that link, with ``sure``.
 
     Tokens cut to 32 bits can only seem to share more, so what falls short
-    doesn't link; what is up to ``MARGIN`` shared tokens above is not sure.
+    doesn't link; what is up to ``MARGIN`` shared tokens above is not sure,
+    and more for long texts, by the square of their size that chance hits have.
     """
-    percent, kind, margin = measure.percent, {64: np.uint64, 32: np.uint32}[bits], MARGIN if bits < 64 else 0
+    percent, kind = measure.percent, {64: np.uint64, 32: np.uint32}[bits]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -374,6 +367,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure, bits: int) ->
                 shared = int((both[1:] == both[:-1]).sum())
                 kept.append(100 * shared >= percent * (len(both) - shared))
                 if kept[-1]:
+                    margin = MARGIN + (len(both) ** 2 >> 31) if bits < 64 else 0
                     sure.append(100 * (shared - margin) >= percent * (len(both) - shared + margin))
             mask = pa.array(kept, pa.bool_())
             yield pa.RecordBatch.from_arrays([*[batch.column(k).filter(mask) for k in (0, 1)], pa.array(sure, pa.bool_())], ["a", "b", "sure"])
