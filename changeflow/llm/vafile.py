@@ -8,9 +8,10 @@ lo*q + w*sum(min(q, 0)) <= score <= lo*q + w*sum(max(q, 0)).  It then reads
 exact vectors by falling upper bound until the kth best score is above every
 bound left.  Equal vectors of a block are stored once with their ids in order.
 
-Blocks of queries meet blocks of vectors; each meeting leaves at most k rows
-per query, and the best k of these are the result.  Every block has a bounded
-number of rows, however vectors are distributed.
+Blocks of queries meet blocks of vectors.  A task keeps the best k of each
+query over the blocks that it compares and sends these on; the best k of what
+all tasks send are the result.  Every block has a bounded number of rows,
+however vectors are distributed.
 
 Vectors that are null or empty, hold null or non-finite components, or differ
 in length from the query take no part (a query of that kind has no rows).
@@ -38,6 +39,8 @@ from .store import Scratch
 CELL_BITS = 2
 #: Vectors and queries of a block.
 BLOCK_ROWS, BLOCK_QUERIES = 8192, 1024
+#: Blocks of queries whose best rows a task keeps at once.
+KEPT_BLOCKS = 64
 LONG_MAX, LONG_MIN = 2**63 - 1, -(2**63)
 
 
@@ -136,24 +139,35 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, row_id: str = "vec_i
     asked = pack(dealt(rows.filter("q"), n_asked, 2), "queries")
     # each block of queries goes to each block of vectors of its width
     sent = asked.select(F.col("block").alias("q_block"), "width", F.col("ids").alias("q_ids"), F.col("values").alias("q_values"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
-    pairs = sent.join(file, ["block", "width"]).select("width", "q_ids", "q_values", "ids", "values")
+    pairs = sent.join(file, ["block", "width"]).select("q_block", "width", "q_ids", "q_values", "ids", "values")
+
+    Kept = dict[tuple[int, int], tuple[list[int], list[list[tuple[int, int]]]]]
+
+    def rows(kept: Kept) -> pa.RecordBatch:
+        out = [(q, x, score) for asked_ids, lists in kept.values() for q, found in zip(asked_ids, lists, strict=True) for score, x in found]
+        columns = zip(*out, strict=True) if out else ([], [], [])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "id", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: Kept = {}
         for batch in batches:
             for at in range(batch.num_rows):
-                width, q_ids, q_values, ids, values = (batch.column(i).slice(at, 1) for i in range(5))
-                width = width[0].as_py()
-                numbers = [x.flatten().to_numpy(zero_copy_only=False) for x in (q_ids, ids)]
-                exact, asked_for = (_integers(_matrix(x, width), scale) for x in (values, q_values))
-                block = Approximation(numbers[1], exact)
-                small = block.small and asked_for.dtype != object and float(np.abs(asked_for).max()) * float(np.abs(exact).max() + 4) * width < 2**50
+                q_block, width, q_ids, q_values, ids, values = (batch.column(i).slice(at, 1) for i in range(6))
+                key = q_block[0].as_py(), width[0].as_py()
+                asked_ids, own_ids = (x.flatten().to_numpy(zero_copy_only=False) for x in (q_ids, ids))
+                exact, asked_for = (_integers(_matrix(x, key[1]), scale) for x in (values, q_values))
+                block = Approximation(own_ids, exact)
+                small = block.small and asked_for.dtype != object and float(np.abs(asked_for).max()) * float(np.abs(exact).max() + 4) * key[1] < 2**50
                 bounds = asked_for.astype(np.float64) @ block.corner.T if small else None
-                out: list[tuple[int, int, int]] = []
-                for i, query_id in enumerate(numbers[0]):
-                    found = block.search(int(query_id), asked_for[i], bounds[i] if small else None, k)
-                    out.extend((int(query_id), x, s) for s, x in found)
-                columns = zip(*out, strict=True) if out else ([], [], [])
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "id", "score"])
+                if key not in kept and len(kept) >= KEPT_BLOCKS:
+                    yield rows(kept)
+                    kept = {}
+                asked_list = asked_ids.tolist()
+                _, best = kept.setdefault(key, (asked_list, [[] for _ in asked_list]))
+                for i, query_id in enumerate(asked_list):
+                    found = block.search(query_id, asked_for[i], bounds[i] if small else None, k)
+                    best[i] = sorted(best[i] + found, key=lambda x: (-x[0], x[1]))[:k] if best[i] else found
+        yield rows(kept)
 
     found = pairs.mapInArrow(tk.released(run), "query_id long, id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")

@@ -447,6 +447,7 @@ def plain_top(rows, k=20):
 def test_top_k(spark, monkeypatch, block, asked, scale):
     monkeypatch.setattr(vafile, "BLOCK_ROWS", block)
     monkeypatch.setattr(vafile, "BLOCK_QUERIES", asked)
+    monkeypatch.setattr(vafile, "KEPT_BLOCKS", 2)
     draw = np.random.default_rng(8)
     rows = [(i, (draw.normal(size=6) * scale).tolist()) for i in range(200)]
     rows += [(300 + i, rows[40][1]) for i in range(60)]  # ties
