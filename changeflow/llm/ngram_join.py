@@ -106,7 +106,9 @@ def _profiles(rows: DataFrame, measure: Measure, bits: int) -> DataFrame:
         for batch in batches:
             ids, n, digests = batch.column(1), [], []
             for _, tokens, begin in _token_sets(batch.column(2), measure):
-                np.add.at(counts, _counter(tokens, bits), 1)
+                at = np.sort(_counter(tokens, bits).astype(np.int32))
+                each = np.flatnonzero(np.diff(at, prepend=-1))
+                counts[at[each]] += np.diff(each, append=len(at)).astype(np.int32)
                 view = memoryview(tokens).cast("B") if len(tokens) else b""
                 n.extend(np.diff(begin).tolist())
                 digests.extend(hashlib.md5(view[8 * a : 8 * b]).digest() if b > a else None for a, b in zip(begin[:-1], begin[1:], strict=True))

@@ -19,7 +19,7 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 #: Bytes of text that are worked on at once; one longer text is one piece.
 PIECE_BYTES = 2_000_000
 _C1, _C2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-_KEEP = np.array([(1 << 8 * i) - 1 for i in range(8)] + [2**64 - 1], dtype=np.uint64)
+KEEP = np.array([(1 << 8 * i) - 1 for i in range(8)] + [2**64 - 1], dtype=np.uint64)
 
 
 def released(run: Callable) -> Callable:
@@ -91,7 +91,7 @@ def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     h = mix(left.astype(np.uint64) * _GOLD + np.uint64(seed))
     which, at = np.arange(len(starts)), starts
     while len(which):
-        lane = lanes[at] & _KEEP[np.minimum(left, 8)]
+        lane = lanes[at] & KEEP[np.minimum(left, 8)]
         h[which] = mix(h[which] ^ (lane * _GOLD + np.uint64(1)))
         more = left > 8
         which, at, left = which[more], at[more] + 8, left[more] - 8
