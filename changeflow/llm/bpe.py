@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textkernel as tk
+from .store import small_batches
 
 #: Words whose ids a worker remembers, in each of two generations.
 REMEMBERED = 300_000
@@ -171,6 +172,7 @@ def transcode(docs: DataFrame, vocabulary: str, row_id: str = "doc_id", text: st
     ``vocabulary`` is a path that the driver can open; the file, of a size
     that does not depend on the data, is sent to the executors.
     """
+    small_batches(docs.sparkSession)
     with open(vocabulary, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
 

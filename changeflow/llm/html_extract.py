@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textkernel as tk
+from .store import small_batches
 
 #: Stop words of the languages that the rules know: English, French, German, Spanish.
 STOP_WORDS = frozenset(
@@ -267,6 +268,7 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), page:
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names)
                     start, texts, chars = at + 1, [], 0
 
+    small_batches(pages.sparkSession)
     rows = pages.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(page).alias("page"))
     names = [*rows.columns[:-1], "text"]
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("text", T.StringType())])

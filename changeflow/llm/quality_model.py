@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from . import fitting
 from . import textkernel as tk
+from .store import small_batches
 
 #: Keys of words and dimensions of their vectors.
 KEY_BITS, DIMENSIONS, NONZERO = 13, 32, 4
@@ -198,6 +199,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", usable: Callable[[Column], Column] = lambda i: F.lit(True), row_id: str = "doc_id", text: str = "text", bound: int = 20_000, max_chars: int = 50_000) -> Model:
     """``usable`` of an id tells whether its label may be learned from."""
+    small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     vectors = context.broadcast(context_vectors(docs.select(F.col(text).alias("text"))))
 

@@ -39,11 +39,23 @@ def _remove_local(folder: str) -> None:
     shutil.rmtree(folder.removeprefix("file://"), ignore_errors=True)
 
 
+#: Bytes of an Arrow batch between the JVM and Python workers, and the setting with its default.
+BATCH_BYTES, BATCH_SETTING, BATCH_DEFAULT = "8m", "spark.sql.execution.arrow.maxBytesPerBatch", ("64MB", "64m", "67108864", "67108864b")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than the session's default: texts are long, and
+    both sides hold whole batches.  A value that the user set stays."""
+    if spark.conf.get(BATCH_SETTING, BATCH_DEFAULT[0]) in BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 class Scratch:
     """The tables of one run of an operator, each under a name of its own."""
 
     def __init__(self, spark: SparkSession, operator: str):
         self.spark = spark
+        small_batches(spark)
         self.root = f"{shared_folder(spark)}/{operator}-{uuid.uuid4().hex}"
         # what is still there when the driver ends is deleted then
         path = spark._jvm.org.apache.hadoop.fs.Path(self.root)

@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from . import fitting
 from . import textkernel as tk
+from .store import small_batches
 
 WINDOW, STRIDE = 32, 16
 WORD_BITS, GRAM_BITS = 17, 18
@@ -76,7 +77,7 @@ def _words(buf: np.ndarray, offsets: np.ndarray) -> Words:
     grams = np.full((len(at), len(STARTS) + len(ENDS)), -1, np.int64)
     for k, (n, tail) in enumerate([(n, False) for n in STARTS] + [(n, True) for n in ENDS]):
         long = length >= n
-        lane = lanes[(ends[long] - n) if tail else starts[long]] & tk._KEEP[n]
+        lane = lanes[(ends[long] - n) if tail else starts[long]] & tk.KEEP[n]
         grams[long, k] = (tk.mix(lane ^ np.uint64((n + 100 * tail) << 56 | n * 0x1F3)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
     return Words(of, first, (h >> np.uint64(64 - WORD_BITS)).astype(np.int64), grams, length)
 
@@ -306,6 +307,7 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Call
 
     ``usable`` of an id tells whether its label may be learned from.
     """
+    small_batches(docs.sparkSession)
     found = fitting.sample(docs, labels, label, usable, bound, max_chars, row_id, text).toPandas()  # bounded by rows and characters
     model = docs.sparkSession.sparkContext.broadcast(train(found["text"].tolist(), found["label"].to_numpy(np.int64)))
 
