@@ -7,17 +7,23 @@ digests of known licences.  Short notices ("Released under the ...") usually
 stand on a line of their own at the end of another text, so each line is also
 looked up as a text of its own.
 
-The known texts are a fixed table of a few rows, so their side is broadcast;
-documents are never shuffled.  A null or empty text matches nothing.  Repeated
+The known texts are a fixed table (whole texts in ``license_texts``, short
+notices made from verbs and names), so their side is broadcast; documents are
+never shuffled.  A null or empty text matches nothing.  Repeated
 rows each get their row; extra columns are ignored whatever their names; an
 empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Maps that the known digests are dealt to.
+SLOTS = 1024
+
 #: (pattern, replacement) in order, over lower-case text, both in Java's regex
 #: and in RE2.  ``{1}`` stands for the first group.
 COPYRIGHT_LINES = (
@@ -95,6 +101,64 @@ KNOWN = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
+VERBS = ("Licensed under", "Released under", "This work is licensed under")
+#: Names of licences as notices give them, by id.
+NAMES = {
+    "MIT": ("MIT License",),
+    "ISC": ("ISC License",),
+    "BSD-2-Clause": ("BSD 2-Clause License",),
+    "BSD-3-Clause": ("BSD 3-Clause License",),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"),
+    "MPL-1.1": ("Mozilla Public License, version 1.1", "Mozilla Public License 1.1", "MPL 1.1"),
+    "MPL-2.0": ("Mozilla Public License, version 2.0", "Mozilla Public License, v. 2.0", "Mozilla Public License 2.0", "MPL 2.0"),
+    "CC0-1.0": ("CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal", "Creative Commons Zero 1.0 Universal"),
+}
+GNU = (("GPL", "GNU General Public License", "1 2 3"), ("LGPL", "GNU Library General Public License", "2"), ("LGPL", "GNU Lesser General Public License", "2.1 3"), ("AGPL", "GNU Affero General Public License", "3"))
+CREATIVE_COMMONS = {"BY": "Attribution", "NC": "NonCommercial", "SA": "ShareAlike", "ND": "NoDerivatives"}
+CREATIVE_COMMONS_KINDS = ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
+CREATIVE_COMMONS_VERSIONS = (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic"), ("1.0", "Generic"))
+
+
+def _names() -> list[tuple[str, str]]:
+    """(id, name) of the licences that a notice of one line may name."""
+    out = [(i, name) for i, names in NAMES.items() for name in names]
+    for short, long, versions in GNU:
+        for v in versions.split():
+            i = f"{short}-{v if '.' in v else v + '.0'}"
+            out += [(i, name) for n in {v, i.split("-")[1]} for name in (f"{long}, version {n}", f"{long} v{n}", f"{long} {n}", f"{short} {n}", f"{short}v{n}")]
+    for kind in CREATIVE_COMMONS_KINDS:
+        for v, area in CREATIVE_COMMONS_VERSIONS:
+            words = "-".join(CREATIVE_COMMONS[x] for x in kind.split("-"))
+            forms = {words, words.replace("NoDerivatives", "NoDerivs")}
+            names = {f"CC {kind} {v}", f"Creative Commons {kind} {v}"} | {f"Creative Commons {x} {v}{y}" for x in forms for y in ("", " " + area)}
+            out += [(f"CC-{kind}-{v}", name) for name in sorted(names)]
+    return out
+
+
+def _notices() -> list[tuple[str, str]]:
+    """Notices of one line: the name alone, and with an article and the word licence."""
+    out = set()
+    for i, name in _names():
+        bare = name.removesuffix(" License")
+        for x in (name, f"the {name}", f"the {bare} License", f"a {bare} License"):
+            out |= {(i, f"{verb} {x}.") for verb in VERBS}
+    return sorted(out)
+
+
+def _whole_texts() -> list[tuple[str, str]]:
+    """The whole texts with http or https in their links, with and without what follows their terms."""
+    out = []
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text = file.read_text("utf-8")
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        for x in (text, terms + end, terms) if end else (text,):
+            plain = x.replace("https://", "http://")
+            out += [(file.stem.split("_")[0], t) for t in dict.fromkeys((x, plain, plain.replace("http://", "https://")))]
+    return out
+
+
+KNOWN += (*_whole_texts(), *_notices())
+
 
 def canonical_lines(text: Column) -> Column:
     """The canonical form with its line breaks: what is left of each line, trimmed."""
@@ -121,14 +185,24 @@ def scan(docs: DataFrame, row_id: str = "doc_id", text: str = "text", known=KNOW
     joined by commas (empty: none).
     """
     table = known_digests(docs.sparkSession, known)
-    # the same fixed table again, as a constant map that lines are looked up in without making rows of them
-    lookup = F.create_map(*[F.lit(x) for row in table.orderBy("digest").collect() for x in row])
+    # the same fixed table again, as constant maps that lines are looked up in without making rows of them; a map is
+    # searched from its start, so each holds the few digests of one slot
+    slot = lambda digest: F.pmod(F.xxhash64(digest), F.lit(SLOTS)).cast("int")
+    slots: list[list[Column]] = [[] for _ in range(SLOTS)]
+    for row in table.withColumn("slot", slot(F.col("digest"))).orderBy("digest").collect():
+        slots[row.slot] += [F.lit(row.digest), F.lit(row.license_id)]
+    maps = F.array(*[F.create_map(*x) if x else F.create_map().cast("map<string,string>") for x in slots])
+
+    def find(line: Column) -> Column:
+        digest = F.sha2(line, 256)
+        return F.try_element_at(F.get(maps, slot(digest)), digest)
+
     lines = docs.select(F.col(row_id).alias(row_id), F.inline(F.array(F.struct(canonical_lines(F.col(text)).alias("_lines")))))
     rows = lines.select(
         row_id,
         F.sha2(F.array_join("_lines", " "), 256).alias("digest"),
         F.array_join(
-            F.array_sort(F.array_distinct(F.filter(F.transform("_lines", lambda x: F.try_element_at(lookup, F.sha2(x, 256))), lambda x: x.isNotNull()))), ","
+            F.array_sort(F.array_distinct(F.filter(F.transform("_lines", find), lambda x: x.isNotNull()))), ","
         ).alias("notices"),
         (F.size("_lines") > 0).alias("_some"),
     )

@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import math
+import os
 import re
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -246,6 +247,37 @@ def test_licenses(spark):
     assert licenses.scan(odd_docs(spark).limit(0)).count() == 0
 
 
+def test_license_notices_of_the_documents(spark):
+    import pandas as pd
+
+    folder = "/root/testdata/sf0.01"
+    lines = {
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+    }
+    docs = pd.read_parquet(f"{folder}/documents.parquet")
+    expected = {i: ",".join(sorted({lines[x.strip()] for x in (t or "").split("\n") if x.strip() in lines})) for i, t in zip(docs.doc_id, docs.text, strict=True)}
+    assert {r.doc_id: r.notices for r in queries.QUERIES["op4_license_scan"](spark, folder).collect()} == expected
+    assert sum("CC-BY-NC-4.0" in x for x in expected.values()) == 4
+
+
+def test_license_short_forms_and_whole_texts(spark):
+    # ids are given here, not taken from the table
+    short = {
+        "Released under CC BY-NC 4.0": "CC-BY-NC-4.0", "licensed under a CC-BY-NC-SA 4.0 licence": "CC-BY-NC-SA-4.0", "Licensed under CC BY-ND 3.0.": "CC-BY-ND-3.0", "Licensed under CC BY 4.0": "CC-BY-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.": "CC-BY-NC-ND-4.0", "Released under CC0 1.0.": "CC0-1.0",
+        "Released under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1", "Licensed under the GNU Affero General Public License v3.": "AGPL-3.0", "Licensed under the Mozilla Public License 2.0": "MPL-2.0", "Licensed under CC BY-NC 9.0.": "",
+    }
+    got = licenses.scan(spark.createDataFrame([(i, "prose\n" + x) for i, x in enumerate(short)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.notices for r in got} == dict(enumerate(short.values()))
+    folder = "/usr/share/common-licenses"
+    whole = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    whole = {k: v for k, v in whole.items() if os.path.exists(f"{folder}/{k}")}
+    texts = {k: open(f"{folder}/{k}", encoding="utf-8").read() for k in whole}
+    rows = [(k, t) for k, t in texts.items()] + [(k, t.split("END OF TERMS AND CONDITIONS")[0].replace("https://", "http://")) for k, t in texts.items()]
+    assert [r.license_id for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string").coalesce(1)).collect()] == [*whole.values()] * 2
+
+
 # 5 HTML
 
 
