@@ -17,7 +17,8 @@ Vectors that are null or empty, hold null or non-finite components, or differ
 in length from the query take no part (a query of that kind has no rows).
 Scores are exact integers; beyond 64 bits they count, and are ranked, as the
 largest or smallest of 64 bits.  Ties go to the smaller id.  Repeated ids are rows of
-their own; a query never meets rows of its own id.  An empty table gives an
+their own; a query never meets rows of its own id, and the results of all rows
+of one query id are ranked together.  An empty table gives an
 empty result, and extra columns are ignored, whatever their names.
 """
 
@@ -71,6 +72,9 @@ class Approximation:
         first = np.searchsorted(of[members], np.arange(len(keys)))
         self.exact, self.ids = exact[members[first]], ids[members]
         self.start, self.stop = first, np.append(first[1:], len(members))
+        # ids of a vector are in order: with the same at both ends it has no other
+        self.least_id = self.ids[self.start]
+        self.one_id = self.least_id == self.ids[self.stop - 1]
         self.cells = np.floor_divide(self.exact, 1 << CELL_BITS) if exact.dtype == object else self.exact >> CELL_BITS
         self.small = exact.dtype != object and exact.size > 0 and float(np.abs(exact).max()) ** 2 * exact.shape[1] < 2**50
         self.corner = (self.cells << CELL_BITS).astype(np.float64) if self.small else None
@@ -87,9 +91,11 @@ class Approximation:
             width = (1 << CELL_BITS) - 1
             upper = bounds + width * query[query > 0].sum()
             lower = bounds + width * query[query < 0].sum()
-            # the query's own id may be one of a vector's ids, so k + 1 lower bounds are asked for
-            least = np.partition(lower, -(k + 1))[-(k + 1)] if len(lower) > k + 1 else -np.inf
-            order = np.flatnonzero(upper >= least)
+            # vectors of no other id than the query's are no candidates; each of the rest has a row at least
+            others = ~(self.one_id & (self.least_id == query_id))
+            lower = lower[others]
+            least = np.partition(lower, -k)[-k] if len(lower) > k else -np.inf
+            order = np.flatnonzero(others & (upper >= least))
             order = order[np.argsort(-upper[order], kind="stable")]
         best: list[tuple[int, int]] = []
         at, step = 0, 4 * k

@@ -498,6 +498,25 @@ def test_top_k_repeated_ids(spark):
     assert {(r.vec_id, r.score) for r in got.collect()} == {(1, 4096)}
 
 
+@pytest.mark.parametrize("block", [8192, 12])
+def test_top_k_one_id_with_many_vectors(spark, monkeypatch, block):
+    import duckdb
+
+    monkeypatch.setattr(vafile, "BLOCK_ROWS", block)
+    rows = [(0, [50.0 + i, 0.0]) for i in range(25)] + [(20, [40.0 + i, 1.0]) for i in range(3)] + [(1 + i, [1.0 + i / 8, 0.5]) for i in range(15)]
+    rows += [(60, [9.0, 9.0]), (60, [9.0, 9.0]), (7, [50.0, 0.0]), (8, [0.0, -3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    embeddings = df.toPandas()  # noqa: F841, the SQL's table
+    expected = sorted(duckdb.sql(queries.ORACLES["op8_top_k"]).fetchall())
+    assert len(expected) == 60
+    assert sorted(tuple(r) for r in vafile.top_k(df, F.col("vec_id") % 20 == 0, k=20).collect()) == expected
+    # one query row
+    pairs = sorted((-math.floor(64 * v[0]) * 9 * 64 - math.floor(64 * v[1]) * 9 * 64, i) for i, v in rows if i != 99)
+    more = df.unionByName(spark.createDataFrame([(99, [9.0, 9.0])], df.schema))
+    got = vafile.top_k(more, F.col("vec_id") == 99, k=20)
+    assert [(r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [(i, -s) for s, i in pairs[:20]]
+
+
 # 9 and 10 Classifiers
 
 
