@@ -124,7 +124,8 @@ def backfill(table: DataFrame, mapping: Mapping, store: Store, state: State, fun
         if low is not None:
             part = part.filter(key > F.lit(low))
         if high is not None:
-            part = part.filter(key <= F.lit(high))
+            # rows without an id are in the first range: they fail, and are recorded, whatever the number of parts
+            part = part.filter((key <= F.lit(high)) | key.isNull() if low is None else key <= F.lit(high))
         events = scan.scan(part, mapping)
         if apply_membership:
             events = events.filter(route.belongs(mapping, events))

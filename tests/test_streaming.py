@@ -72,6 +72,19 @@ def test_interrupted_backfill(spark, tmp_path):
     assert done.processed == 1200 and contents(parted) == contents(whole)
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_backfill_null_ids_fail_in_any_number_of_parts(spark, tmp_path, kind):
+    table = spark.range(1, 101).select(F.when(F.col("id") % 10 != 0, F.col("id")).cast(kind).alias("user_id"), F.lit("x").alias("event_type"))
+    mapping = Mapping("users", "users", "public", "users", "user_id", id_type="string" if kind == "string" else "uint", columns=("user_id", "event_type"))
+    seen = []
+    for parts in (1, 4):
+        store, state = namespace.Store(spark, str(tmp_path / f"store{parts}")), State(spark, str(tmp_path / f"state{parts}"))
+        done = run.backfill(table, mapping, store, state, parts=parts)
+        failed = sorted((r.mapping_name, r.lsn, r.error_message, r.error_kind) for r in state.all_failures().collect())
+        seen.append((done.processed, done.upserted, failed, contents(store), state.backfill("users").status, state.backfill("users").processed_rows))
+    assert seen[0] == seen[1] and seen[0][0] == 100 and len(seen[0][2]) == 10 and len(seen[0][3]) == 90
+
+
 def test_column_versions(spark, tmp_path):
     m = Mapping("users", "users", "public", "users", "user_id", columns=("user_id", "value"), versioning=Versioning("column", "value"))
     row = "user_id long, value long"
