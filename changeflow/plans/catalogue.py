@@ -17,6 +17,7 @@ from ..functions import ids, lsn, text, values
 from ..model import Batching, Mapping, Membership
 from ..operators import batch, merge, predicate, project, route, transform
 from ..sources import changelog, fake, pgoutput, replication, scan
+from ..streaming import namespace
 from . import migrations, state
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,8 +328,8 @@ def doc_size(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey > 1000 ORDER BY l_orderkey, l_linenumber, l_quantity LIMIT 500")
 def keyset_rows(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").filter("l_orderkey > 1000")
-    return rows.orderBy("l_orderkey", "l_linenumber", "l_quantity").limit(500)
+    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return scan.page(rows, ["l_orderkey", "l_linenumber", "l_quantity"], after=[1000], size=500)
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 999 ORDER BY o_orderkey LIMIT 1000")
@@ -352,8 +353,8 @@ def resumed_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT namespace, id, doc FROM (SELECT 'users_ns' AS namespace, c_custkey AS id, c_name AS doc FROM customer) ORDER BY id LIMIT 20")
 def readback_topk(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "customer").select(F.lit("users_ns").alias("namespace"), F.col("c_custkey").alias("id"), F.col("c_name").alias("doc"))
-    return rows.orderBy("id").limit(20)
+    rows = table(spark, folder, "customer").select(F.lit("users_ns").alias("namespace"), F.lit("uint").alias("id_kind"), F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("doc"))
+    return namespace.first_documents(rows, 20).select("namespace", F.col("id").cast("long").alias("id"), "doc")
 
 
 @query()
@@ -473,7 +474,8 @@ def dlq_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT event_id, event_type FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id LIMIT 50")
 def dlq_newest(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").filter("event_type = 'error'").orderBy(F.col("ts").desc(), "event_id").limit(50).select("event_id", "event_type")
+    entries = table(spark, folder, "events").filter("event_type = 'error'").select(F.col("event_id").alias("id"), "event_type", F.col("ts").alias("created_at"))
+    return state.newest(entries, 50).select(F.col("id").alias("event_id"), "event_type")
 
 
 @query("""SELECT s_suppkey::INT AS version, s_name AS mapping_name, CASE WHEN s_acctbal < 0 THEN 'pending' WHEN s_nationkey < 12 THEN 'applied' ELSE 'mismatched' END AS state FROM supplier""")

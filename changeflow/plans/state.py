@@ -39,6 +39,11 @@ def with_error_facts(entries: DataFrame) -> DataFrame:
     return entries.withColumn("error_kind", kind).join(known, "error_kind")
 
 
+def newest(entries: DataFrame, limit: int) -> DataFrame:
+    """The newest failed events."""
+    return entries.orderBy(F.col("created_at").desc(), "id").limit(limit)
+
+
 def min_checkpoint(checkpoints: DataFrame) -> DataFrame:
     """The position from which all mappings can restart."""
     return checkpoints.agg(F.min("lsn").alias("lsn"))
@@ -176,7 +181,7 @@ class State:
         rows = self._read("dlq")
         if mapping is not None:
             rows = rows.filter(F.col("mapping_name") == mapping)
-        return rows.orderBy(F.col("created_at").desc(), "id").limit(limit)
+        return newest(rows, limit)
 
     def all_failures(self) -> DataFrame:
         return self._read("dlq")

@@ -43,11 +43,21 @@ def scan(table: DataFrame, mapping: Mapping, after=None) -> DataFrame:
     return changelog.inserts(table.select(*needed_columns(mapping, table)), mapping.schema, mapping.table)
 
 
-def page(table: DataFrame, key: str, after=None, size: int = 1000) -> DataFrame:
-    """The next ``size`` rows by key."""
+def page(table: DataFrame, key: str | list[str], after=None, size: int = 1000) -> DataFrame:
+    """The next ``size`` rows by key.
+
+    A key of several columns is compared column by column; ``after`` is then a
+    list of as many values, or of the first few: rows above all that begin so.
+    """
+    keys, values = ([key], [after]) if isinstance(key, str) else (key, list(after or []))
     if after is not None:
-        table = table.filter(F.col(key) > F.lit(after).cast(table.schema[key].dataType))
-    return table.orderBy(key).limit(size)
+        least = [F.lit(x).cast(table.schema[k].dataType) for k, x in zip(keys, values)]
+        above, equal = F.lit(False), F.lit(True)
+        for k, x in zip(keys, least):
+            above, equal = above | (equal & (F.col(k) > x)), equal & (F.col(k) == x)
+        # the first column's bound alone reaches the source
+        table = table.filter(F.col(keys[0]) >= least[0]).filter(above) if len(least) > 1 else table.filter(F.col(keys[0]) > least[0])
+    return table.orderBy(*keys).limit(size)
 
 
 def last_cursor(rows: DataFrame, key: str) -> str | None:

@@ -88,6 +88,12 @@ def _window(group: list[str]):
     return Window.partitionBy(*group)
 
 
+def first_documents(documents: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` documents by id, numbers as numbers."""
+    number = F.when(F.col("id_kind").isin("uint", "int"), F.col("id").try_cast("decimal(20,0)"))
+    return documents.orderBy(number.asc_nulls_last(), "id").limit(k)
+
+
 class Store:
     """Namespaces as Parquet, with tombstones and versions."""
 
@@ -133,8 +139,7 @@ class Store:
 
     def top(self, namespace: str, k: int) -> DataFrame:
         """The first ``k`` documents by id, numbers as numbers."""
-        number = F.when(F.col("id_kind").isin("uint", "int"), F.col("id").try_cast("decimal(20,0)"))
-        return self.documents(namespace).orderBy(number.asc_nulls_last(), "id").limit(k)
+        return first_documents(self.documents(namespace), k)
 
     def attribute_names(self, namespace: str) -> list[str]:
         """All keys that documents have."""

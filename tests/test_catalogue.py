@@ -44,6 +44,15 @@ def test_all_queries_have_sql_or_a_reason(spark, data):
     assert again[0].astype(str).equals(again[1].astype(str))
 
 
+@pytest.mark.parametrize(("name", "module", "operator"), [("keyset_rows", "scan", "page"), ("keyset_page", "scan", "page"), ("readback_topk", "namespace", "first_documents"), ("dlq_newest", "state", "newest")])
+def test_limits_are_the_operators(spark, data, monkeypatch, name, module, operator):
+    """What these queries check is the repository's operator, not one of their own."""
+    owner, calls = getattr(catalogue, module), []
+    real = getattr(owner, operator)
+    monkeypatch.setattr(owner, operator, lambda *a, **k: calls.append(operator) or real(*a, **k))
+    assert catalogue.QUERIES[name](spark, data).count() and calls == [operator]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())

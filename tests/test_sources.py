@@ -86,6 +86,17 @@ def test_scan_crosses_digit_boundaries(spark):
     assert scan.sample_ids(table, "k", 3).count() == 3
 
 
+def test_pages_by_several_columns(spark):
+    rows = [(a, b, b * a) for a in range(5) for b in ("x", "y", "z")]
+    table = spark.createDataFrame(rows, "a int, b string, c string")
+    seen, after = [], None
+    while found := scan.page(table, ["a", "b"], after, 4).collect():
+        seen += [tuple(r) for r in found]
+        after = [found[-1].a, found[-1].b]
+    assert seen == rows
+    assert [tuple(r) for r in scan.page(table, ["a", "b"], [3], 2).collect()] == [(4, "x", "xxxx"), (4, "y", "yyyy")]
+
+
 def test_progress():
     p = scan.Progress(50, 40, 10.0, 200)
     assert (p.percent, p.eta, p.complete) == (25.0, 30.0, False)
