@@ -1,10 +1,12 @@
 """Quality scores: random-indexing vectors, pooled, and a two-layer network.
 
 Words are runs of one class of characters (lower case and other letters, upper
-case, digits, each other characters), keyed by class, length and last bytes,
-so that unseen words share the vectors of words of their kind.  Each key has a
-sparse random index vector; the context vector of a key is the sum of the
-index vectors of its neighbours over the whole corpus, divided by its length.
+case, digits, each other characters), keyed by a 64-bit hash of all their
+bytes.  Each word has a sparse random index vector; its context vector is the
+sum of the index vectors of its neighbours over the whole corpus, divided by
+its length.  Vectors of words of two texts or more are a table that is
+broadcast and grows with the vocabulary; those of all other words are made
+from their own text, which has all their neighbours.
 A document is the mean of the context vectors of its words and a few figures
 of its whitespace words (how many, how many distinct, how often one follows
 itself, their length).  A two-layer network trained in numpy scores it, and a
@@ -22,6 +24,7 @@ extra columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -33,10 +36,14 @@ from pyspark.sql import types as T
 
 from . import fitting
 from . import textkernel as tk
-from .store import small_batches
-
-#: Keys of words and dimensions of their vectors.
-KEY_BITS, DIMENSIONS, NONZERO = 13, 32, 4
+from .store import Scratch, small_batches
+
+#: Dimensions of the words' vectors (a power of 2), and how many of an index vector's numbers aren't 0.
+DIMENSIONS, NONZERO = 32, 4
+INDEX_SEED = np.uint64(20)
+#: Ranges of hashes that words are summed in, and words that a task holds at once.
+BUCKET_BITS, HELD_WORDS = 8, 400_000
+BUCKETS = 1 << BUCKET_BITS
 FIGURES = 5
 HIDDEN, EPOCHS, RATE, DECAY, SET_ASIDE = 32, 60, 3e-3, 1e-3, 5
 PIECE = 1_000_000
@@ -49,7 +56,7 @@ CLASS[ord("0") : ord("9") + 1] = 3
 
 
 def _keys(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all runs and per text the number of its first."""
+    """Hashes of all words and per text the number of its first."""
     n = int(offsets[-1])
     kind = CLASS[buf[:n]]
     edge = np.zeros(n + 1, bool)
@@ -60,44 +67,127 @@ def _keys(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     ends = np.append(starts[1:], n)
     words = kind[starts] > 0
     starts, ends = starts[words], ends[words]
-    length = ends - starts
-    key = kind[starts].astype(np.uint64) << np.uint64(27) | np.minimum(length, 7).astype(np.uint64) << np.uint64(24)
-    for i in range(3):
-        key |= np.where(length > i, buf[np.maximum(ends - 1 - i, 0)], 0).astype(np.uint64) << np.uint64(8 * i)
-    return (tk.mix(key) >> np.uint64(64 - KEY_BITS)).astype(np.int64), np.searchsorted(starts, offsets)
+    return tk.hash_spans(buf, starts, ends), np.searchsorted(starts, offsets)
+
 
+def _neighbours(keys: np.ndarray, first: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """Per number in ``of``, from 0 to ``n``, the sum of the index vectors of
+    its words' neighbours.  ``of`` has a number for each word, or -1."""
+    near = np.ones(max(len(keys) - 1, 0), bool)
+    near[first[(first > 0) & (first < len(keys))] - 1] = False  # the next word is in another text
+    left = np.flatnonzero(near)
+    draws = tk.mix(keys ^ INDEX_SEED)
+    sums = np.zeros(n * DIMENSIONS)
+    for at, other in ((left, left + 1), (left + 1, left)):
+        some = of[at] >= 0
+        row, draw = of[at[some]] * DIMENSIONS, draws[other[some]]
+        for k in range(NONZERO):  # 5 bits of the hash are a place, one more the sign
+            bits = (draw >> np.uint64(6 * k)).astype(np.int64)
+            sums += np.bincount(row + (bits & (DIMENSIONS - 1)), 1.0 - 2.0 * (bits >> 5 & 1), len(sums))
+    return sums.reshape(n, DIMENSIONS)
 
-def index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the numbers of each key's index vector that aren't 0."""
-    draw = np.random.default_rng(20)
-    return draw.integers(0, DIMENSIONS, (1 << KEY_BITS, NONZERO)), draw.choice([-1.0, 1.0], (1 << KEY_BITS, NONZERO))
 
+def _unit(sums: np.ndarray) -> np.ndarray:
+    length = np.sqrt((sums**2).sum(1, keepdims=True))
+    return (sums / np.where(length > 0, length, 1)).astype(np.float16)
 
-def context_vectors(texts: DataFrame) -> np.ndarray:
-    """Per key the sum of its neighbours' index vectors over all texts, of length 1."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, sign = index_vectors()
-        table = np.zeros((1 << KEY_BITS) * DIMENSIONS)
+@dataclass
+class Table:
+    """Words in the order of their hashes, and their vectors."""
+
+    words: np.ndarray
+    vectors: np.ndarray
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, numbers of texts, sums) of several such, with each word once."""
+    words, which = np.unique(np.concatenate([x[0] for x in parts]), return_inverse=True)
+    texts, sums, at = np.zeros(len(words), np.int64), np.zeros((len(words), DIMENSIONS)), 0
+    for own, n, s in parts:  # a part has each of its words once
+        rows = which[at : at + len(own)]
+        texts[rows] += n
+        sums[rows] += s
+        at += len(own)
+    return words, texts, sums.astype(np.int32) if np.abs(sums).max(initial=0) < 2**31 else sums
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Most of the numbers are 0 or one of few others."""
+    coder = zlib.compressobj(1, strategy=zlib.Z_HUFFMAN_ONLY)
+    return coder.compress(numbers.tobytes()) + coder.flush()
+
+
+def context_vectors(texts: DataFrame) -> Table:
+    """Per word of two texts or more the sum of its neighbours' index vectors
+    over all texts, of length 1.  A word of one text needs no row here: that
+    text has all its neighbours."""
+    names = ["bucket", "words", "texts", "kind", "sums"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> pa.RecordBatch:
+            words, n, sums = _merged(parts)
+            cuts = np.searchsorted(words, np.arange(1, BUCKETS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS))
+            out = []
+            for i, (w, t, v) in enumerate(zip(np.split(words, cuts), np.split(n, cuts), np.split(sums, cuts), strict=True)):
+                small = np.abs(v).max(1, initial=0) < 128  # nearly all: a byte for each number
+                for some, kind in ((small, np.int8), (~small, v.dtype)):
+                    if some.any():
+                        out.append((i, w[some].tobytes(), _packed(t[some].astype(np.int32)), np.dtype(kind).str, _packed(v[some].astype(kind))))
+            return pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*out, strict=True) if out else [()] * 5, (pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.binary()), strict=True)], names)
+
+        parts: list = []
         for batch in batches:
             for _, _, buf, offsets in tk.pieces(batch.column(0), PIECE):
                 keys, first = _keys(buf, offsets)
-                near = np.ones(max(len(keys) - 1, 0), bool)
-                cut = first[(first > 0) & (first < len(keys))] - 1
-                near[cut] = False  # the next word is in another text
-                a, b = keys[:-1][near], keys[1:][near]
-                for x, y in ((a, b), (b, a)):
-                    for k in range(NONZERO):
-                        table += np.bincount(x * DIMENSIONS + place[y, k], sign[y, k], len(table))
-        yield from fitting.emit(table)
-
-    size = (1 << KEY_BITS) * DIMENSIONS
-    table = fitting.summed(texts.select("text").mapInArrow(tk.released(run), "chunk int, numbers binary"), size, np.float64).reshape(-1, DIMENSIONS)
-    length = np.sqrt((table**2).sum(1, keepdims=True))
-    return (table / np.where(length > 0, length, 1)).astype(np.float32)
-
-
-def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
+                words, of = np.unique(keys, return_inverse=True)
+                pairs, _ = tk.distinct(of, first)
+                parts.append((words, np.bincount(pairs, minlength=len(words)), _neighbours(keys, first, of, len(words)).astype(np.int32)))
+                if sum(len(x[0]) for x in parts) > HELD_WORDS:
+                    parts = [_merged(parts)]
+                    if len(parts[0][0]) > HELD_WORDS // 2:
+                        yield rows()
+                        parts = []
+        if parts:
+            yield rows()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list] = {}
+        for batch in batches:
+            for bucket, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found.setdefault(bucket, []).append(rest)
+        for packed in found.values():
+            parts = [(np.frombuffer(w, np.uint64), np.frombuffer(zlib.decompress(n), np.int32), np.frombuffer(zlib.decompress(v), kind).reshape(-1, DIMENSIONS)) for w, n, kind, v in packed]
+            words, n, sums = _merged(parts)
+            yield pa.RecordBatch.from_arrays([pa.array([words[n > 1].tobytes()], pa.binary()), pa.array([_unit(sums[n > 1].astype(np.float64)).tobytes()], pa.binary())], ["words", "vectors"])
+
+    parts = texts.select("text").mapInArrow(tk.released(count), "bucket int, words binary, texts binary, kind string, sums binary")
+    table = Scratch(texts.sparkSession, "quality").save(parts.repartition("bucket").mapInArrow(tk.released(add), "words binary, vectors binary"), "vectors")
+    rows = [r for r in table.toLocalIterator() if r.words]
+    rows.sort(key=lambda r: int.from_bytes(r.words[:8], "little"))  # a bucket is a range of hashes
+    return Table(np.frombuffer(b"".join(r.words for r in rows), np.uint64), np.frombuffer(b"".join(r.vectors for r in rows), np.float16).reshape(-1, DIMENSIONS))
+
+
+def _vectors(keys: np.ndarray, first: np.ndarray, table: Table) -> np.ndarray:
+    """The vector of each word: the table's, or for one that isn't there that of its own text."""
+    at = np.searchsorted(table.words, keys)
+    known = at < len(table.words)
+    known[known] = table.words[at[known]] == keys[known]
+    out = np.zeros((len(keys), DIMENSIONS), np.float32)
+    out[known] = table.vectors[at[known]]
+    own = np.flatnonzero(~known)
+    if len(own):
+        text = np.searchsorted(first, own, side="right") - 1
+        order = np.lexsort((keys[own], text))
+        new = np.ones(len(own), bool)
+        new[1:] = (keys[own][order][1:] != keys[own][order][:-1]) | (text[order][1:] != text[order][:-1])
+        of = np.full(len(keys), -1)
+        of[own[order]] = np.cumsum(new) - 1
+        out[own] = _unit(_neighbours(keys, first, of, int(new.sum())))[of[own]]
+    return out
+
+
+def pooled(texts: pa.Array, table: Table) -> np.ndarray:
     """A row of DIMENSIONS + FIGURES numbers for each text."""
     out = []
     for a, b, buf, offsets in tk.pieces(texts, PIECE):
@@ -106,7 +196,7 @@ def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
         counts = np.diff(first)
         some = np.flatnonzero(counts)
         if len(some):
-            rows[some, :DIMENSIONS] = np.add.reduceat(vectors[keys], first[:-1][some], axis=0) / counts[some, None]
+            rows[some, :DIMENSIONS] = np.add.reduceat(_vectors(keys, first, table), first[:-1][some], axis=0) / counts[some, None]
         starts, ends, first = tk.spans(buf, offsets)
         counts = np.diff(first)
         which = np.repeat(np.arange(b - a), counts)
@@ -176,7 +266,7 @@ def train(rows: np.ndarray, labels: np.ndarray) -> Network | Constant:
 
 @dataclass
 class Model:
-    """A fitted model: broadcast context vectors and network, both of a fixed size."""
+    """A fitted model: broadcast context vectors, which grow with the vocabulary, and network."""
 
     vectors: object
     network: object

@@ -575,6 +575,49 @@ def test_held_out(spark, name, label, folds, out, least):
     assert len(found) == spark.read.parquet(f"{folder}/documents.parquet").count()
 
 
+def test_context_vectors_are_by_word(spark, monkeypatch):
+    """Words alike in class, length and ending have vectors of their own, equal to plain sums over all texts."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(quality_model, "HELD_WORDS", 50)
+    draw = random.Random(3)
+    vocabulary = [a + b + "tion" for a in "abcdefgh" for b in "xyzuvw"]
+    rows = [" ".join(draw.choices(vocabulary, k=30)) for _ in range(12)] + ["rareone axtion rareone bytion", "", None, "solo", "axtion rareone2 bytion"]
+    texts = spark.createDataFrame([(t,) for t in rows], "text string").repartition(3)
+    table = quality_model.context_vectors(texts)
+    code = {}
+    for w in {w for t in rows for w in re.findall("[a-z]+|[0-9]+", t or "")}:
+        ((_, _, buf, offsets),) = tk.pieces(pa.array([w]))
+        code[w] = int(quality_model._keys(buf, offsets)[0][0])
+    assert len(set(code.values())) == len(code)
+
+    def index(w):
+        v, bits = np.zeros(32), int(tk.mix(np.array([code[w]], np.uint64) ^ quality_model.INDEX_SEED)[0])
+        for k in range(4):
+            v[bits >> 6 * k & 31] += -1 if bits >> 6 * k + 5 & 1 else 1
+        return v
+
+    plain, seen = defaultdict(lambda: np.zeros(32)), defaultdict(set)
+    for i, t in enumerate(rows):
+        words = re.findall("[a-z]+|[0-9]+", t or "")
+        for a, b in zip(words, words[1:]):
+            plain[a] += index(b)
+            plain[b] += index(a)
+        for w in words:
+            seen[w].add(i)
+    unit = lambda v: v / (np.linalg.norm(v) or 1)
+    assert table.words.tolist() == sorted(code[w] for w in code if len(seen[w]) > 1)
+    found = dict(zip(table.words.tolist(), table.vectors.astype(float), strict=True))
+    for w in code:
+        if len(seen[w]) > 1:
+            assert np.allclose(found[code[w]], unit(plain[w]), atol=1e-3)
+    assert len({tuple(v) for v in found.values()}) == len(found)
+    got = quality_model.pooled(pa.array(rows), table)[:, :32]
+    for t, row in zip(rows, got, strict=True):  # words of one text have the vectors of the whole corpus too
+        words = re.findall("[a-z]+|[0-9]+", t or "")
+        assert np.allclose(row, np.mean([unit(plain[w]) for w in words], axis=0) if words else 0, atol=1e-3)
+
+
 @pytest.mark.parametrize("model", [quality_model, toxicity])
 def test_classifier_odd(spark, model):
     docs = odd_docs(spark)
