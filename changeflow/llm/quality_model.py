@@ -2,29 +2,31 @@
 
 Words are runs of one class of characters (lower case and other letters, upper
 case, digits, each other characters), keyed by a 64-bit hash of all their
-bytes.  Each word has a sparse random index vector; its context vector is the
-sum of the index vectors of its neighbours over the whole corpus, divided by
-its length.  Vectors of words of two texts or more are a table that is
-broadcast and grows with the vocabulary; those of all other words are made
-from their own text, which has all their neighbours.
-A document is the mean of the context vectors of its words and a few figures
-of its whitespace words (how many, how many distinct, how often one follows
-itself, their length).  A two-layer network trained in numpy scores it, and a
+bytes.  Each word has a sparse random index vector, drawn from its hash.  Its
+context vector is the sum of the index vectors of its neighbours over the
+whole corpus, divided by its length.  Context vectors are rows of a table of
+``2**SLOT_BITS`` slots that the first bits of the hash choose, so the table
+that is broadcast has one size for any corpus (16 MB) and words that share a
+slot share its vector; index vectors use all bits.
+A document is pooled from the context vectors of its words, in their order:
+their mean, the mean size of the steps between neighbours, and the logarithm of
+how many there are.  A two-layer network trained in numpy scores it, and a
 temperature fitted on labelled rows set aside calibrates the probability.
 
-The corpus pass and the scoring pass read every text whole; training uses at
-most ``bound`` labelled rows with texts of up to ``max_chars`` characters,
-those whose id a hash puts first.  Only texts are inputs of a score.
+The corpus pass and the scoring pass read every text whole, whatever its
+length; training uses at most ``bound`` labelled rows, those whose id a hash
+puts first.  Only texts are inputs of a score.
 
 A null text counts as empty and is scored like any other.  Without usable
 labels, or with one class only, every score is the share of label 1 (0.5
-without labels).  Repeated rows repeat; an empty table gives an empty result;
-extra columns are ignored, whatever their names.
+without labels).  Of labelled rows that share an id the one whose text has the
+smallest digest is learned from.  A score of exactly 0.5 predicts 1.  Repeated
+rows repeat; an empty table gives an empty result; extra columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -36,15 +38,15 @@ from pyspark.sql import types as T
 
 from . import fitting
 from . import textkernel as tk
-from .store import Scratch, small_batches
+from .store import small_batches
 
 #: Dimensions of the words' vectors (a power of 2), and how many of an index vector's numbers aren't 0.
 DIMENSIONS, NONZERO = 32, 4
+#: Numbers of a pooled text: two a dimension, and its length.
+INPUTS = 2 * DIMENSIONS + 1
 INDEX_SEED = np.uint64(20)
-#: Ranges of hashes that words are summed in, and words that a task holds at once.
-BUCKET_BITS, HELD_WORDS = 8, 400_000
-BUCKETS = 1 << BUCKET_BITS
-FIGURES = 5
+#: Rows of the table of context vectors, as a power of 2; a word's row is taken from the hash of all its bytes.
+SLOT_BITS = 18
 HIDDEN, EPOCHS, RATE, DECAY, SET_ASIDE = 32, 60, 3e-3, 1e-3, 5
 PIECE = 1_000_000
 
@@ -70,147 +72,74 @@ def _keys(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return tk.hash_spans(buf, starts, ends), np.searchsorted(starts, offsets)
 
 
-def _neighbours(keys: np.ndarray, first: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
-    """Per number in ``of``, from 0 to ``n``, the sum of the index vectors of
-    its words' neighbours.  ``of`` has a number for each word, or -1."""
+def _neighbours(slots: np.ndarray, keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct slots of some texts' words, and per slot the sum of the
+    index vectors of its words' neighbours in the same text."""
+    found, of = np.unique(slots, return_inverse=True)
     near = np.ones(max(len(keys) - 1, 0), bool)
     near[first[(first > 0) & (first < len(keys))] - 1] = False  # the next word is in another text
     left = np.flatnonzero(near)
     draws = tk.mix(keys ^ INDEX_SEED)
-    sums = np.zeros(n * DIMENSIONS)
+    sums = np.zeros(len(found) * DIMENSIONS)
     for at, other in ((left, left + 1), (left + 1, left)):
-        some = of[at] >= 0
-        row, draw = of[at[some]] * DIMENSIONS, draws[other[some]]
+        row, draw = of[at] * DIMENSIONS, draws[other]
         for k in range(NONZERO):  # 5 bits of the hash are a place, one more the sign
             bits = (draw >> np.uint64(6 * k)).astype(np.int64)
             sums += np.bincount(row + (bits & (DIMENSIONS - 1)), 1.0 - 2.0 * (bits >> 5 & 1), len(sums))
-    return sums.reshape(n, DIMENSIONS)
+    return found, sums.reshape(-1, DIMENSIONS).astype(np.int32)
 
 
-def _unit(sums: np.ndarray) -> np.ndarray:
-    length = np.sqrt((sums**2).sum(1, keepdims=True))
-    return (sums / np.where(length > 0, length, 1)).astype(np.float16)
-
-
-@dataclass
-class Table:
-    """Words in the order of their hashes, and their vectors."""
-
-    words: np.ndarray
-    vectors: np.ndarray
-
-
-def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, numbers of texts, sums) of several such, with each word once."""
-    words, which = np.unique(np.concatenate([x[0] for x in parts]), return_inverse=True)
-    texts, sums, at = np.zeros(len(words), np.int64), np.zeros((len(words), DIMENSIONS)), 0
-    for own, n, s in parts:  # a part has each of its words once
-        rows = which[at : at + len(own)]
-        texts[rows] += n
-        sums[rows] += s
-        at += len(own)
-    return words, texts, sums.astype(np.int32) if np.abs(sums).max(initial=0) < 2**31 else sums
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def _packed(numbers: np.ndarray) -> bytes:
-    """Most of the numbers are 0 or one of few others."""
-    coder = zlib.compressobj(1, strategy=zlib.Z_HUFFMAN_ONLY)
-    return coder.compress(numbers.tobytes()) + coder.flush()
+def _unit(sums: np.ndarray) -> np.ndarray:
+    """Context sums as vectors of length 1; without neighbours all are 0."""
+    rows = sums.reshape(-1, DIMENSIONS).astype(np.float64)
+    length = np.sqrt((rows**2).sum(1, keepdims=True))
+    return (rows / np.where(length > 0, length, 1)).ravel()
 
 
-def context_vectors(texts: DataFrame) -> Table:
-    """Per word of two texts or more the sum of its neighbours' index vectors
-    over all texts, of length 1.  A word of one text needs no row here: that
-    text has all its neighbours."""
-    names = ["bucket", "words", "texts", "kind", "sums"]
+def context_vectors(texts: DataFrame) -> np.ndarray:
+    """The table of context vectors: per slot of words' hashes the sum of the
+    neighbours' index vectors over all texts, of length 1.  Its size is fixed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> pa.RecordBatch:
-            words, n, sums = _merged(parts)
-            cuts = np.searchsorted(words, np.arange(1, BUCKETS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS))
-            out = []
-            for i, (w, t, v) in enumerate(zip(np.split(words, cuts), np.split(n, cuts), np.split(sums, cuts), strict=True)):
-                small = np.abs(v).max(1, initial=0) < 128  # nearly all: a byte for each number
-                for some, kind in ((small, np.int8), (~small, v.dtype)):
-                    if some.any():
-                        out.append((i, w[some].tobytes(), _packed(t[some].astype(np.int32)), np.dtype(kind).str, _packed(v[some].astype(kind))))
-            return pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*out, strict=True) if out else [()] * 5, (pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.binary()), strict=True)], names)
-
-        parts: list = []
+        table, held = np.zeros((1 << SLOT_BITS, DIMENSIONS), np.int32), 0
         for batch in batches:
             for _, _, buf, offsets in tk.pieces(batch.column(0), PIECE):
                 keys, first = _keys(buf, offsets)
-                words, of = np.unique(keys, return_inverse=True)
-                pairs, _ = tk.distinct(of, first)
-                parts.append((words, np.bincount(pairs, minlength=len(words)), _neighbours(keys, first, of, len(words)).astype(np.int32)))
-                if sum(len(x[0]) for x in parts) > HELD_WORDS:
-                    parts = [_merged(parts)]
-                    if len(parts[0][0]) > HELD_WORDS // 2:
-                        yield rows()
-                        parts = []
-        if parts:
-            yield rows()
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list] = {}
-        for batch in batches:
-            for bucket, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found.setdefault(bucket, []).append(rest)
-        for packed in found.values():
-            parts = [(np.frombuffer(w, np.uint64), np.frombuffer(zlib.decompress(n), np.int32), np.frombuffer(zlib.decompress(v), kind).reshape(-1, DIMENSIONS)) for w, n, kind, v in packed]
-            words, n, sums = _merged(parts)
-            yield pa.RecordBatch.from_arrays([pa.array([words[n > 1].tobytes()], pa.binary()), pa.array([_unit(sums[n > 1].astype(np.float64)).tobytes()], pa.binary())], ["words", "vectors"])
-
-    parts = texts.select("text").mapInArrow(tk.released(count), "bucket int, words binary, texts binary, kind string, sums binary")
-    table = Scratch(texts.sparkSession, "quality").save(parts.repartition("bucket").mapInArrow(tk.released(add), "words binary, vectors binary"), "vectors")
-    rows = [r for r in table.toLocalIterator() if r.words]
-    rows.sort(key=lambda r: int.from_bytes(r.words[:8], "little"))  # a bucket is a range of hashes
-    return Table(np.frombuffer(b"".join(r.words for r in rows), np.uint64), np.frombuffer(b"".join(r.vectors for r in rows), np.float16).reshape(-1, DIMENSIONS))
-
-
-def _vectors(keys: np.ndarray, first: np.ndarray, table: Table) -> np.ndarray:
-    """The vector of each word: the table's, or for one that isn't there that of its own text."""
-    at = np.searchsorted(table.words, keys)
-    known = at < len(table.words)
-    known[known] = table.words[at[known]] == keys[known]
-    out = np.zeros((len(keys), DIMENSIONS), np.float32)
-    out[known] = table.vectors[at[known]]
-    own = np.flatnonzero(~known)
-    if len(own):
-        text = np.searchsorted(first, own, side="right") - 1
-        order = np.lexsort((keys[own], text))
-        new = np.ones(len(own), bool)
-        new[1:] = (keys[own][order][1:] != keys[own][order][:-1]) | (text[order][1:] != text[order][:-1])
-        of = np.full(len(keys), -1)
-        of[own[order]] = np.cumsum(new) - 1
-        out[own] = _unit(_neighbours(keys, first, of, int(new.sum())))[of[own]]
-    return out
-
-
-def pooled(texts: pa.Array, table: Table) -> np.ndarray:
-    """A row of DIMENSIONS + FIGURES numbers for each text."""
+                found, sums = _neighbours(_slots(keys), keys, first)
+                table[found] += sums
+                held += len(keys)
+                if held > 1 << 28:  # far below what 32 bits hold
+                    yield from fitting.emit(table)
+                    table[:], held = 0, 0
+        yield from fitting.emit(table)
+
+    parts = texts.select("text").mapInArrow(tk.released(count), "chunk int, numbers binary")
+    return fitting.summed(parts, DIMENSIONS << SLOT_BITS, _unit, np.float16).reshape(-1, DIMENSIONS)
+
+
+def pooled(texts: pa.Array, table: np.ndarray) -> np.ndarray:
+    """Per text the mean of its words' context vectors, the mean size of the
+    steps from each to the next, and the logarithm of its length."""
     out = []
     for a, b, buf, offsets in tk.pieces(texts, PIECE):
-        rows = np.zeros((b - a, DIMENSIONS + FIGURES), np.float32)
+        rows = np.zeros((b - a, INPUTS), np.float32)
         keys, first = _keys(buf, offsets)
         counts = np.diff(first)
         some = np.flatnonzero(counts)
         if len(some):
-            rows[some, :DIMENSIONS] = np.add.reduceat(_vectors(keys, first, table), first[:-1][some], axis=0) / counts[some, None]
-        starts, ends, first = tk.spans(buf, offsets)
-        counts = np.diff(first)
-        which = np.repeat(np.arange(b - a), counts)
-        h = tk.hash_spans(buf, starts, ends)
-        n = np.maximum(counts, 1)
-        same = (h[1:] == h[:-1]) & (which[1:] == which[:-1])
-        _, begin = tk.distinct(h, first)
-        rows[:, DIMENSIONS] = np.log1p(counts)
-        rows[:, DIMENSIONS + 1] = np.log1p(np.diff(begin))
-        rows[:, DIMENSIONS + 2] = np.diff(begin) / n
-        rows[:, DIMENSIONS + 3] = np.bincount(which[1:][same], minlength=b - a) / n
-        rows[:, DIMENSIONS + 4] = np.log1p(np.bincount(which, ends - starts, b - a) / n)
+            begin, n = first[:-1][some], counts[some, None]
+            vectors = table[_slots(keys)].astype(np.float32)
+            rows[some, :DIMENSIONS] = np.add.reduceat(vectors, begin, axis=0) / n
+            vectors[:-1] -= vectors[1:]
+            vectors[first[1:][some] - 1] = 0  # no step leads out of a text
+            rows[some, DIMENSIONS:-1] = np.add.reduceat(np.abs(vectors, out=vectors), begin, axis=0) / n
+        rows[:, -1] = np.log1p(counts)
         out.append(rows)
-    return np.concatenate(out) if out else np.zeros((0, DIMENSIONS + FIGURES), np.float32)
+    return np.concatenate(out) if out else np.zeros((0, INPUTS), np.float32)
 
 
 @dataclass
@@ -266,7 +195,7 @@ def train(rows: np.ndarray, labels: np.ndarray) -> Network | Constant:
 
 @dataclass
 class Model:
-    """A fitted model: broadcast context vectors, which grow with the vocabulary, and network."""
+    """A fitted model: broadcast context vectors and network, both of a fixed size."""
 
     vectors: object
     network: object
@@ -287,7 +216,7 @@ class Model:
         return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "score", "predicted")
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", usable: Callable[[Column], Column] = lambda i: F.lit(True), row_id: str = "doc_id", text: str = "text", bound: int = 20_000, max_chars: int = 50_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", usable: Callable[[Column], Column] = lambda i: F.lit(True), row_id: str = "doc_id", text: str = "text", bound: int = 20_000) -> Model:
     """``usable`` of an id tells whether its label may be learned from."""
     small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
@@ -295,12 +224,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", usable: Call
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = pooled(batch.column(0), vectors.value)
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary()), batch.column(1)], ["row", "label"])
-
-    chosen = fitting.sample(docs, labels, label, usable, bound, max_chars, row_id, text).select("text", "label")
-    found = chosen.mapInArrow(tk.released(features), "row binary, label int").toPandas()  # at most ``bound`` short rows
-    rows = np.frombuffer(b"".join(found["row"]), np.float32).reshape(-1, DIMENSIONS + FIGURES)
+            rows = pooled(batch.column(1), vectors.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array([r.tobytes() for r in rows], pa.binary())], ["id", "label", "digest", "row"])
+
+    chosen = fitting.sample(docs, labels, label, usable, bound, row_id, text).withColumn("digest", F.md5("text"))
+    schema = T.StructType([chosen.schema["id"], *T._parse_datatype_string("label int, digest string, row binary").fields])
+    made = chosen.select("id", "text", "label", "digest").mapInArrow(tk.released(features), schema)
+    found = fitting.one_per_id(made, "digest", "row", "label").toPandas()  # at most ``bound`` short rows
+    rows = np.frombuffer(b"".join(found["row"]), np.float32).reshape(-1, INPUTS)
     return Model(vectors, context.broadcast(train(rows, found["label"].to_numpy(np.int64))))
 
 

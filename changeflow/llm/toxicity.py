@@ -12,8 +12,8 @@ number of windows.
 Everything is trained in numpy.  The tables that the network sees in training
 leave out the fold that the text is in, so that it learns how far entries hold
 on new texts; in each round the window that a text scores highest in stands
-for it.  At most ``bound`` labelled rows with texts of up to ``max_chars``
-characters are used, those whose id a hash puts first.  Only texts are inputs.
+for it.  At most ``bound`` labelled rows are used, those whose id a hash
+puts first.  Only texts are inputs.
 
 A null or empty text is one empty window.  Without usable labels, or with one
 class only, every score is the share of label 1 (0 without labels).  Repeated
@@ -302,13 +302,14 @@ def train(texts: list[str], labels: np.ndarray) -> Scorer | Constant:
     return Scorer(*_tables(words, np.arange(len(labels)), labels), net, weights)
 
 
-def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Callable[[Column], Column] = lambda i: F.lit(True), row_id: str = "doc_id", text: str = "text", bound: int = 4000, max_chars: int = 20_000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Callable[[Column], Column] = lambda i: F.lit(True), row_id: str = "doc_id", text: str = "text", bound: int = 4000) -> DataFrame:
     """Per row of ``docs``: ``row_id``, ``score`` (0 to 1) and ``predicted``.
 
     ``usable`` of an id tells whether its label may be learned from.
     """
     small_batches(docs.sparkSession)
-    found = fitting.sample(docs, labels, label, usable, bound, max_chars, row_id, text).toPandas()  # bounded by rows and characters
+    chosen = fitting.sample(docs, labels, label, usable, bound, row_id, text).withColumn("digest", F.md5("text"))
+    found = fitting.one_per_id(chosen, "digest", "text", "label").toPandas()  # at most ``bound`` rows
     model = docs.sparkSession.sparkContext.broadcast(train(found["text"].tolist(), found["label"].to_numpy(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
