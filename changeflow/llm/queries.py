@@ -117,10 +117,10 @@ SELECT doc_id, size, source_size, target,
   CAST(whole * size + least(size, greatest(0, floor(target)::BIGINT - whole * source_size - before)) AS BIGINT) AS taken FROM e"""
 
 OP8_SQL = r"""
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id
-  WHERE q.vec_id % 20 = 0 AND len(q.v) = len(c.v)),
+WITH v AS (SELECT row_number() OVER () AS rn, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.rn, c.vec_id, max(list_inner_product(q.v, c.v)::BIGINT) AS score FROM (SELECT DISTINCT vec_id, v FROM v WHERE vec_id % 20 = 0) q
+  JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) GROUP BY ALL),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20"""
 

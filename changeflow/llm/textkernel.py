@@ -46,21 +46,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of rows with up to ``limit`` bytes.
-
-    A null counts as an empty text.  The bytes are a copy with 8 zeros behind.
-    """
+def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a column and the offsets of its rows (a null counts as an empty text); nothing is copied."""
     if texts.null_count:
         texts = texts.fill_null("")
-    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     n = len(texts)
     if not n:
-        return
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, kind)[texts.offset : texts.offset + n + 1].astype(np.int64)
-    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
-    at = 0
+    return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), offsets
+
+
+def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of rows with up to ``limit`` bytes.
+
+    A null counts as an empty text.  The bytes are a copy with 8 zeros behind.
+    """
+    n, at = len(texts), 0
+    data, offsets = raw(texts)
     while at < n:
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         size = offsets[end] - offsets[at]

@@ -475,16 +475,17 @@ def plain_top(rows, k=20):
     return out
 
 
-@pytest.mark.parametrize(("block", "asked", "scale"), [(8192, 1024, 1.0), (30, 3, 1.0), (30, 3, 1e9), (30, 3, 1e307)])
-def test_top_k(spark, monkeypatch, block, asked, scale):
-    monkeypatch.setattr(vafile, "BLOCK_ROWS", block)
-    monkeypatch.setattr(vafile, "BLOCK_QUERIES", asked)
-    monkeypatch.setattr(vafile, "KEPT_BLOCKS", 2)
+@pytest.mark.parametrize(("block", "asked", "held", "scale"), [(8192, 512, 48, 1.0), (30, 3, 2, 1.0), (7, 3, 1, 40.0), (30, 3, 3, 1e9), (30, 3, 3, 1e20), (30, 3, 2, 1e307)])
+def test_top_k(spark, monkeypatch, block, asked, held, scale):
+    for name, value in (("BLOCK_ROWS", block), ("BLOCK_QUERIES", asked), ("GROUP_BLOCKS", held), ("TASK_PAIRS", 1 if held < 48 else 16_000_000)):
+        monkeypatch.setattr(vafile, name, value)
     draw = np.random.default_rng(8)
     rows = [(i, (draw.normal(size=6) * scale).tolist()) for i in range(200)]
     rows += [(300 + i, rows[40][1]) for i in range(60)]  # ties
-    rows += [(400, None), (401, []), (402, [1.0, None]), (403, [float("nan")] * 6), (404, [float("inf")] * 6), (420, [1.0, 2.0]), (421, [3.0, 4.0]), (440, [1.0]), (None, rows[0][1])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("block", F.lit("x")).withColumn("width", F.lit("x")).withColumn("q", F.lit("x"))
+    rows += [(440, [0.0] * 6), (460, [scale, 0, 0, 0, 0, 0]), (480, [0, 0, 0, 0, 0, -scale])]  # ties of different vectors
+    rows += [(400, None), (401, []), (402, [1.0, None]), (403, [float("nan")] * 6), (404, [float("inf")] * 6), (420, [1.0, 2.0]), (421, [3.0, 4.0]), (500, [1.0]), (None, rows[0][1])]
+    df = spark.createDataFrame([(i, v and [None if x is None else float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    df = df.withColumn("block", F.lit("x")).withColumn("width", F.lit("x")).withColumn("q", F.lit("x")).repartition(3)
     got = vafile.top_k(df, F.col("vec_id") % 20 == 0)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
     found = [tuple(r) for r in got.collect()]
@@ -493,9 +494,15 @@ def test_top_k(spark, monkeypatch, block, asked, scale):
 
 
 def test_top_k_repeated_ids(spark):
-    rows = [(0, [1.0, 0.0])] * 30 + [(1, [1.0, 0.0])] * 3 + [(2, [0.5, 0.0])]
-    got = vafile.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=2)
-    assert {(r.vec_id, r.score) for r in got.collect()} == {(1, 4096)}
+    """A query is an id, however often its row is there; every candidate row counts."""
+    vectors = "vec_id long, embedding array<double>"
+    ranked = lambda rows, k: [(r["rank"], r.vec_id, r.score) for r in vafile.top_k(spark.createDataFrame(rows, vectors), F.col("vec_id") == 0, k=k).orderBy("rank").collect()]
+    one = [(1, [1.0, 0.0]), (2, [0.5, 0.0]), (3, [0.25, 0.0])]
+    assert ranked([(0, [1.0, 0.0])] * 3 + one, 2) == [(1, 1, 4096), (2, 2, 2048)]
+    assert ranked([(0, [1.0, 0.0])] * 30 + one + one[:1] * 2, 4) == [(1, 1, 4096), (2, 1, 4096), (3, 1, 4096), (4, 2, 2048)]
+    # the query's own id first among many copies of its vector
+    copies = [(0, [1.0, 0.0])] * 9 + [(i, [1.0, 0.0]) for i in range(5, 40)]
+    assert ranked(copies, 3) == [(1, 5, 4096), (2, 6, 4096), (3, 7, 4096)]
 
 
 @pytest.mark.parametrize("block", [8192, 12])
@@ -510,11 +517,22 @@ def test_top_k_one_id_with_many_vectors(spark, monkeypatch, block):
     expected = sorted(duckdb.sql(queries.ORACLES["op8_top_k"]).fetchall())
     assert len(expected) == 60
     assert sorted(tuple(r) for r in vafile.top_k(df, F.col("vec_id") % 20 == 0, k=20).collect()) == expected
-    # one query row
-    pairs = sorted((-math.floor(64 * v[0]) * 9 * 64 - math.floor(64 * v[1]) * 9 * 64, i) for i, v in rows if i != 99)
-    more = df.unionByName(spark.createDataFrame([(99, [9.0, 9.0])], df.schema))
-    got = vafile.top_k(more, F.col("vec_id") == 99, k=20)
-    assert [(r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [(i, -s) for s, i in pairs[:20]]
+
+
+def test_top_k_reads_few_vectors(spark):
+    """At most a tenth of the exact vectors, with coarse cells too."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    n, asked = df.count(), df.filter("vec_id % 20 = 0").count()
+    for scale in (64.0, 10_000.0):
+        rows = vafile._stored(df, "vec_id", "embedding", F.col("vec_id") % 20 == 0, scale).cache()
+        key = ["width", "kind", "packed"]
+        exact = rows.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("id", F.lit(1).alias("n")))).alias("ids")).withColumn("vec", F.monotonically_increasing_id()).cache()
+        numbered = rows.filter("q").select(*key, "id").withColumn("number", F.monotonically_increasing_id()).cache()
+        file, blocks = vafile._file(exact).cache(), vafile._query_blocks(numbered).cache()
+        assert file.select(F.sum(F.octet_length("cells"))).first()[0] == 64 * exact.count()  # a byte a component
+        parts, _ = vafile.survivors(file, blocks, 20)
+        left = parts.count()
+        assert 20 * asked <= left <= 0.1 * n * asked, (left, n * asked)
 
 
 # 9 and 10 Classifiers
