@@ -1,24 +1,32 @@
 """Toxicity scores by a bidirectional gated recurrent network.
 
-Words are runs of letters, lowered.  Their inputs come from two tables fitted
-on labelled texts, each entry the log-odds of toxic texts to have it, shrunk
-by its standard error: one of whole words, one of character n-grams (starts
-and ends of words), so unseen words made of known parts count too.  A text is
-scored in all its overlapping windows of ``WINDOW`` words: two gated recurrent
-passes, attention pooling over both, a logit.  The score of a text is a
-logistic function of its highest logit, the mean of its three highest and the
-number of windows.
-
-Everything is trained in numpy.  The tables that the network sees in training
-leave out the fold that the text is in, so that it learns how far entries hold
-on new texts; in each round the window that a text scores highest in stands
-for it.  At most ``bound`` labelled rows are used, those whose id a hash
-puts first.  Only texts are inputs.
+Words are runs of letters, lowered.  The input of a word is the embedding of
+the word and the sum of the embeddings of its character n-grams (starts and
+ends), both from hashed tables, so unseen words made of known parts count too.
+A text is scored in all its overlapping windows of ``WINDOW`` words: two gated
+recurrent passes, attention pooling over both, a logit.  The score of a text
+is a logistic function of its highest logit, the mean of its three highest and
+the number of windows.
+
+Everything is trained in numpy, embeddings included.  First a noisy-or over
+the words of each whole text is fitted by gradient steps on one number of each
+embedding; it finds the words and parts of words that toxic texts have.  Then
+the network is trained on the window that each text scores highest in, and the
+gradient goes on into the other numbers of the embeddings.  What the network
+sees of the first step while it is trained comes from texts of other folds, so
+that it learns how far that holds on new texts.  At most ``bound`` labelled
+rows are used, those whose id a hash puts first, each whole.
+
+Texts are read in segments of ``SEGMENT`` bytes that end between words, so a
+text of any length takes the memory of a segment (of its longest word, if that
+is longer); training holds four bytes for each word of the sample.
 
 A null or empty text is one empty window.  Without usable labels, or with one
-class only, every score is the share of label 1 (0 without labels).  Repeated
-rows repeat; an empty table gives an empty result; extra columns are ignored,
-whatever their names.
+class only, every score is the share of label 1 (0 without labels).  Of
+labelled rows that share an id the one whose text has the smallest digest is
+learned from.  Windows of equal logits don't differ; a score of exactly 0.5
+predicts 1.  Repeated rows repeat; an empty table gives an empty result; extra
+columns are ignored, whatever their names.  Only texts are inputs of a score.
 """
 
 from __future__ import annotations
@@ -37,12 +45,18 @@ from . import textkernel as tk
 from .store import small_batches
 
 WINDOW, STRIDE = 32, 16
-WORD_BITS, GRAM_BITS = 17, 18
-#: Bytes of the starts and the ends of words that are looked up.
-STARTS, ENDS = (3, 4, 5, 6, 7, 8), (4, 5, 6)
-INPUTS, HIDDEN, ATTENTION = 6, 6, 6
-FOLDS, ROUNDS, RATE = 3, 14, 0.01
-PIECE = 1_000_000
+WORD_BITS, GRAM_BITS = 16, 18
+#: Bytes of the starts and the ends of words that have embeddings.
+STARTS, ENDS = (2, 3, 4, 5, 6, 7, 8), (3, 4, 5, 6)
+#: Numbers of an embedding of a word, of an n-gram, and of the input of a word (with its length).
+WORD_SIZE, GRAM_SIZE = 4, 4
+INPUTS = WORD_SIZE + GRAM_SIZE + 1
+HIDDEN, ATTENTION = 6, 6
+#: The noisy-or: steps, their size, the pull to 0.
+EVIDENCE_STEPS, EVIDENCE_RATE, EVIDENCE_DECAY = 60, 0.1, 2e-4
+FOLDS, ROUNDS, MOST_ROUNDS, RATE, TABLE_RATE = 3, 14, 100, 0.01, 0.005
+#: Bytes of text and windows that are worked on at once.
+SEGMENT, BATCH = 1_000_000, 4096
 
 NOT_LETTER = np.ones(256, bool)
 NOT_LETTER[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = False
@@ -58,73 +72,73 @@ def _lowered(buf: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """The distinct words of some texts with the table entries of each."""
+    """The distinct words of some texts with their rows of the tables."""
 
     of: np.ndarray  # number of the distinct word, for each word in turn
     first: np.ndarray  # per text the number of its first word
-    word: np.ndarray  # per distinct word its entry
-    grams: np.ndarray  # per distinct word its n-grams' entries, -1 where it is too short
+    word: np.ndarray  # per distinct word its row
+    grams: np.ndarray  # per distinct word its n-grams' rows, -1 where it is too short
     length: np.ndarray
 
 
-def _words(buf: np.ndarray, offsets: np.ndarray) -> Words:
-    buf = _lowered(buf)
+def _words(buf: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
+    """Also the first bytes and the ends of all words; ``buf`` is in lower case."""
     starts, ends, first = tk.spans(buf, offsets, NOT_LETTER)
     h, at, of = np.unique(tk.hash_spans(buf, starts, ends), return_index=True, return_inverse=True)
-    starts, ends = starts[at], ends[at]
-    length = ends - starts
+    length = ends[at] - starts[at]
     lanes = np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,))
-    grams = np.full((len(at), len(STARTS) + len(ENDS)), -1, np.int64)
+    grams = np.full((len(at), len(STARTS) + len(ENDS)), -1, np.int32)
     for k, (n, tail) in enumerate([(n, False) for n in STARTS] + [(n, True) for n in ENDS]):
         long = length >= n
-        lane = lanes[(ends[long] - n) if tail else starts[long]] & tk.KEEP[n]
-        grams[long, k] = (tk.mix(lane ^ np.uint64((n + 100 * tail) << 56 | n * 0x1F3)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
-    return Words(of, first, (h >> np.uint64(64 - WORD_BITS)).astype(np.int64), grams, length)
-
-
-def _log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
-    """Log-odds of texts to have an entry, drawn to 0 by a standard error."""
-    p, q = toxic + 0.5, clean + 0.5
-    odds = np.log(p / (n_toxic + 1)) - np.log(q / (n_clean + 1))
-    error = np.sqrt(1 / p + 1 / q)
-    return (np.sign(odds) * np.maximum(np.abs(odds) - error, 0)).astype(np.float32)
-
-
-def _inputs(words: Words, word_table: np.ndarray, gram_table: np.ndarray) -> np.ndarray:
-    """The network's inputs of each distinct word."""
-    known = words.grams >= 0
-    odds = np.where(known, gram_table[np.maximum(words.grams, 0)], 0)
-    split = len(STARTS)
-    out = np.empty((len(words.word), INPUTS), np.float32)
-    out[:, 0] = word_table[words.word]
-    out[:, 1] = odds[:, :split].max(1, initial=0)
-    out[:, 2] = odds[:, split:].max(1, initial=0)
-    out[:, 3] = odds.sum(1) / np.maximum(known.sum(1), 1)
-    out[:, 4] = odds.min(1, initial=0)
-    out[:, 5] = np.log1p(words.length) - 1.5
-    out[:, :5] *= 0.5
-    return out
-
-
-def _windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers of all windows (len(words.word): none) and per text the
-    number of its first window; the last are how many there are."""
-    counts = np.diff(words.first)
+        lane = lanes[(ends[at[long]] - n) if tail else starts[at[long]]] & tk.KEEP[n]
+        grams[long, k] = (tk.mix(lane ^ np.uint64((n + 100 * tail) << 56 | n * 0x1F3)) >> np.uint64(64 - GRAM_BITS)).astype(np.int32)
+    return Words(of.astype(np.int32), first, (h >> np.uint64(64 - WORD_BITS)).astype(np.int32), grams, length), starts, ends
+
+
+@dataclass
+class Tables:
+    """Embeddings of words and of n-grams; the last row of the second stands for none."""
+
+    word: np.ndarray
+    grams: np.ndarray
+
+    @classmethod
+    def drawn(cls, seed: int = 10) -> Tables:
+        draw = np.random.default_rng(seed)
+        word, grams = (draw.normal(0, 0.05, ((1 << bits) + extra, size)).astype(np.float32) for bits, size, extra in ((WORD_BITS, WORD_SIZE, 0), (GRAM_BITS, GRAM_SIZE, 1)))
+        word[:, 0], grams[:, 0], grams[-1] = 0, 0, 0
+        return cls(word, grams)
+
+    def inputs(self, word: np.ndarray, grams: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The network's inputs of words."""
+        out = np.empty((len(word), INPUTS), np.float32)
+        out[:, :WORD_SIZE] = self.word[word]
+        out[:, WORD_SIZE:-1] = self.grams[grams].sum(1)
+        out[:, -1] = np.log1p(length) - 1.5
+        return out
+
+
+def _windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per window the number of its first word and of the word behind its
+    text; per text the number of its first window."""
+    counts = np.diff(first)
     made = np.where(counts > WINDOW, -(-(counts - WINDOW) // STRIDE) + 1, 1)
     begin = np.concatenate([[0], np.cumsum(made)])
     text = np.repeat(np.arange(len(counts)), made)
-    start = words.first[:-1][text] + (np.arange(begin[-1]) - begin[:-1][text]) * STRIDE
+    return first[:-1][text] + (np.arange(begin[-1]) - begin[:-1][text]) * STRIDE, first[1:][text], begin
+
+
+def _filled(of: np.ndarray, start: np.ndarray, end: np.ndarray, none: int) -> np.ndarray:
+    """The word numbers of windows, ``none`` behind the end of their text."""
     at = start[:, None] + np.arange(WINDOW)
-    inside = at < words.first[1:][text][:, None]
-    of = np.append(words.of, 0)
-    return np.where(inside, of[np.minimum(at, len(words.of))], len(words.word)), begin, made
+    return np.where(at < end[:, None], np.append(of, 0)[np.minimum(at, len(of))], none)
 
 
-def _used(inputs: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Only the inputs that the windows have, and the windows' numbers of them."""
+def _used(windows: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word numbers that windows have, and the windows in numbers of these (as many as there are: none)."""
     some, of = np.unique(windows, return_inverse=True)
     of = of.reshape(windows.shape)
-    return inputs[some[some < len(inputs)]], of
+    return some[some < none], of
 
 
 def _sig(x: np.ndarray) -> np.ndarray:
@@ -179,11 +193,11 @@ class Network:
         logits = context @ p["wo"] + p["co"][0]
         return (logits, (there, states, kept, e, weight, context)) if keep else logits
 
-    def gradient(self, inputs: np.ndarray, windows: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the weighted mean log loss."""
+    def gradient(self, inputs: np.ndarray, windows: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """Of the weighted mean log loss, by the parameters and by the inputs."""
         p = self.p
         logits, (there, states, kept, e, weight, context) = self.forward(inputs, windows, True)
-        error = ((fitting.sigmoid(logits) - labels) * weights / weights.sum()).astype(np.float32)
+        error = ((fitting.sigmoid(logits) - labels) * weights / weights.sum()).astype(logits.dtype)
         g = {k: np.zeros_like(v) for k, v in p.items()}
         g["wo"], g["co"] = context.T @ error, error.sum(keepdims=True)
         d_context = np.outer(error, p["wo"])
@@ -193,10 +207,12 @@ class Network:
         d_e = d_a[:, :, None] * p["va"] * (1 - e * e)
         g["wa"], g["ca"] = np.einsum("tns,tna->sa", states, d_e), d_e.sum((0, 1))
         d_states = weight[:, :, None] * d_context + d_e @ p["wa"].T
-        rows = np.concatenate([inputs, np.zeros((1, INPUTS), np.float32)])
+        rows = np.concatenate([inputs, np.zeros((1, INPUTS), inputs.dtype)])
+        d_rows = np.zeros_like(rows)
         for side in "fb":
             half = slice(0, HIDDEN) if side == "f" else slice(HIDDEN, 2 * HIDDEN)
             u, d_h = p[f"u{side}"], 0
+            d_gates = np.zeros((len(rows), 3 * HIDDEN), inputs.dtype)
             for t, h, hn, z, r, new in reversed(kept[side]):
                 d_h = d_h + d_states[t, :, half]
                 on = np.where(there[t], d_h, 0)
@@ -205,15 +221,16 @@ class Network:
                 d_r = d_new * hn * r * (1 - r)
                 d_x = np.concatenate([d_z, d_r, d_new], 1)
                 d_hu = np.concatenate([d_z, d_r, d_new * r], 1)
-                g[f"w{side}"] += rows[windows[:, t]].T @ d_x
-                g[f"c{side}"] += d_x.sum(0)
+                np.add.at(d_gates, windows[:, t], d_x)
                 g[f"u{side}"] += h.T @ d_hu
                 d_h = np.where(there[t], on * z, d_h) + d_hu @ u.T
-        return g
+            g[f"w{side}"], g[f"c{side}"] = rows.T @ d_gates, d_gates.sum(0)
+            d_rows += d_gates @ p[f"w{side}"].T
+        return g, d_rows[:-1]
 
 
 def _summary(logits: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Per text: highest logit, mean of the three highest, log of how many."""
+    """Per text: highest logit, mean of the three highest, log of how many, 1."""
     counts = np.diff(begin)
     which = np.repeat(np.arange(len(counts)), counts)
     order = np.lexsort((-logits, which))
@@ -223,23 +240,67 @@ def _summary(logits: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return np.stack([best[begin[:-1]], three, np.log(counts), np.ones(len(counts))], 1)
 
 
+def _boundary(data: np.ndarray, at: int) -> int:
+    """The first place from ``at`` on that is inside no word (the end, if there is none)."""
+    for k in range(at, len(data), 65536):
+        found = np.flatnonzero(NOT_LETTER[tk.LOWER[data[k : k + 65536]]])
+        if len(found):
+            return k + int(found[0])
+    return len(data)
+
+
 @dataclass
 class Scorer:
-    word_table: np.ndarray
-    gram_table: np.ndarray
+    tables: Tables
     network: Network
     weights: np.ndarray
 
-    def score(self, texts: pa.Array) -> np.ndarray:
-        out = [np.zeros(0)]
-        for _, _, buf, offsets in tk.pieces(texts, PIECE):
-            words = _words(buf, offsets)
-            windows, begin, _ = _windows(words)
-            inputs = _inputs(words, self.word_table, self.gram_table)
-            logits = np.concatenate([self.network.forward(inputs, windows[k : k + 4096]) for k in range(0, len(windows), 4096)])
-            out.append(fitting.sigmoid(_summary(logits.astype(np.float64), begin) @ self.weights))
+    def _logits(self, words: Words, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        inputs = self.tables.inputs(words.word, words.grams, words.length)
+        parts = [self.network.forward(inputs, _filled(words.of, start[k : k + BATCH], end[k : k + BATCH], len(inputs))) for k in range(0, len(start), BATCH)]
+        return np.concatenate([np.zeros(0), *parts])
+
+    def _long(self, data: np.ndarray) -> np.ndarray:
+        """The summary of one long text, a segment at a time.
+
+        Windows that end with a segment wait for the next: the words from the
+        first of them on are put before it.
+        """
+        best, n, at, carried = np.zeros(0), 0, 0, b""
+        while True:
+            end = _boundary(data, min(at + SEGMENT, len(data)))
+            buf = np.zeros(len(carried) + end - at + 8, np.uint8)
+            buf[: len(carried)] = np.frombuffer(carried, np.uint8)
+            buf[len(carried) : -8] = data[at:end]
+            buf = _lowered(buf)
+            words, starts, ends = _words(buf, np.array([0, len(buf) - 8]))
+            start, stop, _ = _windows(words.first)
+            if end < len(data):
+                start = start[start + WINDOW < len(words.of)]
+            logits = self._logits(words, start, stop[: len(start)])
+            best, n = np.sort(np.concatenate([best, logits]))[-3:], n + len(start)
+            if end >= len(data):
+                return np.array([best[-1], best.mean(), np.log(n), 1.0])
+            rest = slice(start[-1] + STRIDE if len(start) else 0, None)
+            carried = b"".join(bytes(buf[a:b]) + b" " for a, b in zip(starts[rest], ends[rest], strict=True))
+            at = end
+
+    def summaries(self, texts: pa.Array) -> np.ndarray:
+        data, offsets = tk.raw(texts)
+        out, at = [np.zeros((0, 4))], 0
+        for i in [*np.flatnonzero(np.diff(offsets) > SEGMENT).tolist(), len(texts)]:
+            for _, _, buf, places in tk.pieces(texts.slice(at, i - at), SEGMENT):
+                words, _, _ = _words(_lowered(buf), places)
+                start, end, begin = _windows(words.first)
+                out.append(_summary(self._logits(words, start, end), begin))
+            if i < len(texts):
+                out.append(self._long(data[offsets[i] : offsets[i + 1]])[None])
+            at = i + 1
         return np.concatenate(out)
 
+    def score(self, texts: pa.Array) -> np.ndarray:
+        return fitting.sigmoid(self.summaries(texts) @ self.weights)
+
 
 @dataclass
 class Constant:
@@ -249,57 +310,119 @@ class Constant:
         return np.full(len(texts), self.value)
 
 
-def _tables(words: Words, texts: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-odds of words and of n-grams over the chosen texts."""
-    counts = [np.zeros((2, 1 << WORD_BITS)), np.zeros((2, 1 << GRAM_BITS))]
-    for i in texts:
-        used = np.unique(words.of[words.first[i] : words.first[i + 1]])
-        grams = np.unique(words.grams[used])
-        counts[0][labels[i], np.unique(words.word[used])] += 1
-        counts[1][labels[i], grams[grams >= 0]] += 1
-    n = np.bincount(labels[texts], minlength=2)
-    return tuple(_log_odds(c[1], c[0], n[1], n[0]) for c in counts)
+def _evidence(words: Words, texts: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One number of each embedding: a text is toxic if one of its words is.
+
+    The odds of a text are the sum of the odds of its distinct words, those of
+    a word the product of those of the word and of its n-grams.
+    """
+    used = [np.unique(words.of[words.first[i] : words.first[i + 1]]) for i in texts]
+    begin = np.concatenate([[0], np.cumsum([len(u) for u in used])])
+    pairs, text = np.concatenate(used), np.repeat(np.arange(len(texts)), np.diff(begin))
+    y = labels[texts].astype(np.float64)
+    some, of = np.unique(pairs, return_inverse=True)
+    word, grams, empty = words.word[some], words.grams[some], 1 << GRAM_BITS
+    grams = np.where(grams < 0, empty, grams)
+    flat = grams.ravel()
+    p = {"word": np.zeros(1 << WORD_BITS), "grams": np.zeros(empty + 1), "bias": np.array([np.log(y.mean() / (1 - y.mean())) - np.log(max(1.0, len(pairs) / len(texts)))])}
+    steps = fitting.Adam(p, EVIDENCE_RATE)
+    for done in range(EVIDENCE_STEPS):
+        steps.rate = EVIDENCE_RATE * (1 - 0.7 * done / EVIDENCE_STEPS)
+        a = (p["word"][word] + p["grams"][grams].sum(1))[of] + p["bias"][0]
+        odds = np.exp(np.clip(a, -30, 15))
+        total = np.bincount(text, odds, len(texts)) + 1e-12
+        share = odds * ((total / (1 + total) - y) / total / len(texts))[text]
+        c = np.bincount(of, share, len(some))
+        slope = {"word": np.bincount(word, c, 1 << WORD_BITS), "grams": np.bincount(flat, np.repeat(c, grams.shape[1]), empty + 1), "bias": np.array([share.sum()])}
+        slope["grams"][empty] = 0
+        steps.step({k: g + (EVIDENCE_DECAY * p[k] if k != "bias" else 0) for k, g in slope.items()})
+    return p["word"].astype(np.float32), p["grams"].astype(np.float32)
+
+
+class _Rows:
+    """Steps for the rows of a table that a batch uses, each sized by the row's own past slopes."""
+
+    def __init__(self, table: np.ndarray, fixed: int):
+        self.table, self.fixed, self.past = table, fixed, np.zeros(len(table), np.float32)
+
+    def step(self, rows: np.ndarray, slopes: np.ndarray) -> None:
+        """``fixed``: a number of each row that stays."""
+        some, of = np.unique(rows, return_inverse=True)
+        g = np.zeros((len(some), self.table.shape[1]), np.float32)
+        np.add.at(g, of, slopes)
+        g[:, self.fixed] = 0
+        self.past[some] += (g * g).mean(1)
+        self.table[some] -= TABLE_RATE * g / np.sqrt(self.past[some] + 1e-8)[:, None]
 
 
 def train(texts: list[str], labels: np.ndarray) -> Scorer | Constant:
+    """Fit on whole texts; held are four bytes a word, windows are made when they are used."""
     labels = np.asarray(labels, np.int64)
     if min(labels.sum(), len(labels) - labels.sum()) < FOLDS:
         return Constant(float(labels.mean()) if len(labels) else 0.0)
-    column = pa.array(texts, pa.large_string())
-    ((_, _, buf, offsets),) = tk.pieces(column, 2**40)
-    words = _words(buf, offsets)
-    windows, begin, made = _windows(words)
+    ((_, _, buf, offsets),) = tk.pieces(pa.array(texts, pa.large_string()), 2**62)
+    words, _, _ = _words(_lowered(buf), offsets)
+    del buf
+    start, end, begin = _windows(words.first)
     # folds of equal shares of both classes
     place = np.empty(len(labels), np.int64)
     for c in (0, 1):
         place[labels == c] = np.arange((labels == c).sum())
     fold = place % FOLDS
-    text_of = np.repeat(np.arange(len(labels)), made)
-    # one set of inputs per fold; windows point into the one of their text's fold
-    size = len(words.word)
-    inputs = np.concatenate([_inputs(words, *_tables(words, np.flatnonzero(fold != k), labels)) for k in range(FOLDS)])
-    windows = np.where(windows < size, windows + size * fold[text_of][:, None], FOLDS * size)
-    evidence = np.append(inputs[:, 0] + inputs[:, 1], 0)
-    logits = np.concatenate([evidence[windows[k : k + 65536]].max(1) for k in range(0, len(windows), 65536)])
+    text_of = np.repeat(np.arange(len(labels)), np.diff(begin))
+    tables, none = Tables.drawn(), len(words.word)
+    known = [_evidence(words, np.flatnonzero(fold != k), labels) for k in range(FOLDS)]
+
+    def inputs(some: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Of words as texts of fold k see them."""
+        out = tables.inputs(words.word[some], words.grams[some], words.length[some])
+        for j in range(FOLDS):
+            own = np.flatnonzero(k == j)
+            out[own, 0] = known[j][0][words.word[some[own]]]
+            out[own, WORD_SIZE] = known[j][1][words.grams[some[own]]].sum(1)
+        return out
+
+    def seen(some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct words of windows by fold, and the windows in numbers of these."""
+        filled = _filled(words.of, start[some], end[some], none)
+        both, of = _used(np.where(filled < none, filled + none * fold[text_of[some]][:, None], none * FOLDS), none * FOLDS)
+        return both % none, both // none, of
+
+    def all_logits(forward: Callable) -> np.ndarray:
+        parts = []
+        for k in range(0, len(start), BATCH):
+            which, of_fold, windows = seen(np.arange(k, min(k + BATCH, len(start))))
+            parts.append(forward(inputs(which, of_fold), windows))
+        return np.concatenate(parts)
+
+    def evidence(rows: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        return np.append(rows[:, 0] + rows[:, WORD_SIZE], -np.inf)[windows].max(1)
+
     net, draw = Network(), np.random.default_rng(10)
-    steps = fitting.Adam(net.p, RATE)
-    rounds = max(ROUNDS, 40_000 // len(labels))
+    logits = all_logits(evidence)
+    steps, word_rows, gram_rows = fitting.Adam(net.p, RATE), _Rows(tables.word, 0), _Rows(tables.grams, 0)
+    rounds = max(ROUNDS, min(MOST_ROUNDS, 20_000 // len(labels)))
     for done in range(rounds):
-        if done and done % max(1, rounds // ROUNDS) == 0:
-            logits = np.concatenate([net.forward(*_used(inputs, windows[k : k + 4096])) for k in range(0, len(windows), 4096)])
-        order = np.lexsort((logits, text_of))
-        shown = order[begin[1:] - 1]  # the window that each text scores highest in
+        if done in (rounds // 14, rounds // 7, rounds // 3, 2 * rounds // 3):
+            logits = all_logits(net.forward)
+        shown = np.lexsort((logits, text_of))[begin[1:] - 1]  # the window that each text scores highest in
         steps.rate = RATE * (1 - 0.8 * done / rounds)
         for part in np.array_split(draw.permutation(len(labels)), -(-len(labels) // 64)):
-            steps.step(net.gradient(*_used(inputs, windows[shown[part]]), labels[part], np.ones(len(part))))
-    logits = np.concatenate([net.forward(*_used(inputs, windows[k : k + 4096])) for k in range(0, len(windows), 4096)])
-    x = _summary(logits.astype(np.float64), begin)
+            which, of_fold, windows = seen(shown[part])
+            if len(which):
+                slope, by_input = net.gradient(inputs(which, of_fold), windows, labels[part], np.ones(len(part)))
+                steps.step(slope)
+                word_rows.step(words.word[which], by_input[:, :WORD_SIZE])
+                grams = words.grams[which]
+                gram_rows.step(grams[grams >= 0], np.repeat(by_input[:, WORD_SIZE:-1], (grams >= 0).sum(1), axis=0))
+    x = _summary(all_logits(net.forward).astype(np.float64), begin)
     weights = np.array([0.7, 0.3, 0.0, 0.0])
     for _ in range(50):  # Newton steps of a ridge logistic regression
         p = fitting.sigmoid(x @ weights)
         slope = x.T @ (p - labels) + 0.5 * (weights - [0.7, 0.3, 0, 0])
         weights = weights - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(4), slope)
-    return Scorer(*_tables(words, np.arange(len(labels)), labels), net, weights)
+    tables.word[:, 0], tables.grams[:, 0] = _evidence(words, np.arange(len(labels)), labels)
+    return Scorer(tables, net, weights)
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", usable: Callable[[Column], Column] = lambda i: F.lit(True), row_id: str = "doc_id", text: str = "text", bound: int = 4000) -> DataFrame:
