@@ -1,14 +1,22 @@
 """Main text of web pages by two passes of block rules.
 
 A page is cut into blocks (paragraphs, headings, list items, table rows ...).
-The first pass decides blocks by where they stand (menus, headers, footers,
-sidebars, notices, adverts, forms and comments by element, role, class or id;
-everything outside the article where the page marks one) and by what they
-hold: link density, length and the density of stop words.  Short blocks and
-others that this leaves open are ambiguous.  In the second pass they inherit
-the label of the nearest decided neighbours; between a good and a bad one at
-the same distance the good one wins, and inside a marked article a block is
-only dropped between two bad ones.  Where nothing is decided, blocks are kept.
+The first pass gives each block votes for what it holds: link density, length
+and the density of stop words.  An ``article`` or ``main`` around a block is
+one vote more, or one less for what is outside of it.  Blocks in menus,
+headers, footers, sidebars and forms (by element or role) are bad, and so are
+those in elements whose class or id consists of words for such parts, notices,
+adverts or comments; a class that has other words too, or that is around the
+only prose of the page, tells nothing.  What the votes leave open (headings,
+short blocks, long ones without stop words) is ambiguous.
+
+In the second pass ambiguous blocks inherit the label of the nearest decided
+neighbours.  The distance counts blocks, and borders of containers more; the
+ends of the page are bad neighbours, and labels don't cross the border of an
+article.  A heading looks ahead only, to what it is the heading of.  Between a
+good and a bad neighbour at the same distance the good one wins.  Where no
+block is good, long ones count without stop words, and where there are none,
+all are kept that aren't bad.
 
 Character references are decoded, white space inside a block (line breaks
 too) becomes one space, blocks are joined by a line feed.  Scripts, styles,
@@ -16,7 +24,9 @@ comments in the markup and other markup never reach a block.  Broken markup is
 read as far as it goes: unclosed elements end with the one around them.
 
 A null or empty page gives an empty text.  Repeated rows repeat; an empty
-table stays empty; extra columns are ignored, whatever their names.
+table stays empty; extra columns are ignored, whatever their names.  Pages are
+read in one pass: time and memory grow with their length, however deep their
+elements are.
 """
 
 from __future__ import annotations
@@ -54,6 +64,10 @@ MIDDLE, LONG = 50, 140
 DENSE_LONG, DENSE_MIDDLE = 0.1, 0.25
 #: Characters in links, as a part of all, above which a block is a menu.
 LINKED = 0.5
+#: What a border of a container adds to the distance of blocks.
+BORDER = 2
+#: Characters of prose under a class mark that overrule it where there is none besides.
+PROSE = 3 * LONG
 #: Characters of text that go back to the JVM at once.
 OUT_CHARS = 4_000_000
 
@@ -75,7 +89,18 @@ BAD_NAMES = frozenset(
     related recommended recommendations share sharing social form search skip hidden
     """.split()
 )
+#: Words that may stand beside these: parts, sides and kinds of boxes.
+PLAIN_NAMES = frozenset(
+    "area bar block bottom box col column container content float group holder inner item items js left links list module outer page primary right row secondary section site slot small sticky thread top unit user view wide wrap wrapper".split()
+)
+#: Words for the text itself: beside one of these no other word tells anything.
+GOOD_NAMES = frozenset("article blog body entry main post prose story text".split())
 UNMARKED = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
+#: The region of a header outside of articles.
+HEADER = -(1 << 30)
+#: Containers whose borders lie between blocks.
+BORDERED = frozenset("article aside blockquote center dialog details div dl fieldset figure footer form header hgroup main menu nav ol section table ul".split())
+ITEMS = frozenset("p li h1 h2 h3 h4 h5 h6 dt dd".split())
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.DOTALL
@@ -91,20 +116,29 @@ class Block:
     linked: int
     tag: str
     region: int  # number of the article that it stands in, 0 outside
-    marked: bool  # bad by where it stands
+    at: int  # its place, borders of containers counted
+    fixed: int  # 1: in a part that is never the text, 2: in a form
+    mark: int  # number of the outermost element with a bad class or id around it, 0: none
+    votes: int = 0
     label: int = 0  # 1 good, -1 bad, 0 open
 
 
-def _bad_by_attributes(attributes: str) -> bool:
+#: What the attributes of an element say: nothing, a bad class or id, a part that is never the text.
+NOTHING, NAMED, FIXED = 0, 1, 2
+
+
+def _attributes_say(attributes: str) -> int:
+    words, bad = set(), False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "role" and value.lower() in BAD_ROLES:
-            return True
-        if name in ("class", "id") and not BAD_NAMES.isdisjoint(x.lower() for x in NAME_WORDS.findall(value)):
-            return True
-    return False
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in BAD_ROLES:
+            return FIXED
+        if name in ("class", "id"):
+            for token in value.split():
+                found = {x.lower() for x in NAME_WORDS.findall(token)}
+                words |= found
+                bad = bad or not found.isdisjoint(BAD_NAMES) and found <= BAD_NAMES | PLAIN_NAMES
+    return NAMED if bad and words.isdisjoint(GOOD_NAMES) else NOTHING
 
 
 def _decoded(text: str) -> str:
@@ -117,19 +151,29 @@ def _decoded(text: str) -> str:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in its order, marked by where they stand."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # open containers: element, bad, article
+    stack: list[tuple[str, int, int, int]] = []  # open containers: element, fixed, mark, article
+    opened: dict[str, int] = {}  # how many of each element are open
     parts: list[str] = []
     links: list[str] = []
-    tag, breaks, in_link, articles, at, end = "", 0, 0, 0, 0, len(page)
-    bad, region = False, 0
+    tag, breaks, in_link, articles, marks, place, at, end = "", 0, 0, 0, 0, 0, 0, len(page)
+    fixed, mark, region = 0, 0, 0
 
     def close() -> None:
-        nonlocal parts, links
+        nonlocal parts, links, place
         if parts:
             if text := " ".join(_decoded("".join(parts)).split()):
-                out.append(Block(text, len(" ".join(_decoded(" ".join(links)).split())), tag, region, bad))
+                place += 1
+                out.append(Block(text, len(" ".join(_decoded(" ".join(links)).split())), tag, region, place, fixed, mark))
             parts, links = [], []
 
+    def pop() -> str:
+        nonlocal place, fixed, mark, region
+        name = stack.pop()[0]
+        opened[name] -= 1
+        place += BORDER if name in BORDERED else 0
+        fixed, mark, region = stack[-1][1:] if stack else (0, 0, 0)
+        return name
+
     while at < end:
         m = TOKEN.search(page, at)
         text = page[at : m.start() if m else end]
@@ -168,35 +212,36 @@ def blocks(page: str) -> list[Block]:
             breaks = 0
             tag = "" if closing else name
         if closing:
-            if any(x[0] == name for x in stack):
+            if opened.get(name):
                 close()
-                while stack.pop()[0] != name:
+                while pop() != name:
                     pass
-                bad, region = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
             continue
         if name in VOID or attributes.endswith("/"):
             continue
         # a marked paragraph or item ends where the next begins, closed or not
-        if name in BLOCK and stack and stack[-1][0] in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "dt", "dd") and (stack[-1][0] != "li" or name == "li"):
-            stack.pop()
-            bad, region = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-        here = name in ALWAYS_BAD or (name not in UNMARKED and bool(attributes) and _bad_by_attributes(attributes))
-        if name == "header":
-            here = here or not region
-        elif name == "article" and attributes and _bad_by_attributes(attributes):
-            here = True
-        if name in ("article", "main") and not bad and not here and not region:
+        if name in BLOCK and stack and stack[-1][0] in ITEMS and (stack[-1][0] != "li" or name == "li"):
+            pop()
+        said = _attributes_say(attributes) if attributes and name not in ("html", "body") else NOTHING
+        if said == NAMED and name in UNMARKED and name != "article":
+            said = NOTHING
+        here = 1 if name in ALWAYS_BAD and name != "form" or said == FIXED else 2 if name == "form" else 0
+        marked = said == NAMED
+        inner = region
+        if name in ("article", "main") and not (fixed or here or mark or marked or region):
             articles += 1
             inner = articles
-        else:
-            inner = region
-        if name == "header" and region:
-            inner = -region  # of an article's own header only the headings count
-        if name in BLOCK and name not in ("p", "li", "dt", "dd", *HEADINGS) or here:
-            if here != bad or inner != region:
+        elif name == "header":
+            inner = -abs(region) if region else HEADER  # only its headings count
+        if name in BLOCK and name not in ITEMS or here or marked:
+            if here or marked or inner != region:
                 close()
-            stack.append((name, bad or here, inner))
-            bad, region = bad or here, inner
+            if marked and not mark:
+                marks += 1
+            stack.append((name, max(fixed, here) if 1 not in (fixed, here) else 1, mark or (marks if marked else 0), inner))
+            opened[name] = opened.get(name, 0) + 1
+            place += BORDER if name in BORDERED else 0
+            fixed, mark, region = stack[-1][1:]
     close()
     return out
 
@@ -206,46 +251,68 @@ def _dense(text: str, least: float) -> bool:
     return bool(found) and sum(w in STOP_WORDS for w in found) >= least * len(found)
 
 
+def _voted(b: Block, articles: bool) -> int:
+    """The votes of a block that isn't a heading."""
+    n = len(b.text)
+    side = 0 if not articles else 1 if b.region > 0 else -1
+    if b.linked > LINKED * n:
+        return side - (2 if b.tag in ("li", "dd", "dt") or n < MIDDLE or b.region <= 0 else 1)
+    if n < 2 * MIDDLE and "©" in b.text and b.region <= 0:
+        return -2
+    if n >= LONG:
+        return side + (2 if _dense(b.text, DENSE_LONG) else 0)
+    return side + (1 if n >= MIDDLE and _dense(b.text, DENSE_MIDDLE) else 0)
+
+
+def _is_bad(b: Block, marks: bool, forms: bool) -> bool:
+    return b.fixed == 1 or (b.region < 0 and b.tag not in HEADINGS) or marks and b.mark > 0 or forms and b.fixed == 2
+
+
+def _decided(found: list[Block], articles: bool) -> None:
+    """First pass."""
+    for b in found:
+        b.votes = 0 if b.tag in HEADINGS and b.linked <= LINKED * len(b.text) else _voted(b, articles)
+    # classes, then forms, are believed unless the only prose of the page is in them
+    prose = [(len(b.text), b) for b in found if b.votes > 0 and len(b.text) >= LONG and b.tag not in HEADINGS]
+    amount = [sum(n for n, b in prose if not _is_bad(b, *level)) for level in ((True, True), (False, True), (False, False))]
+    level = (True, True) if amount[0] or max(amount) < PROSE else (False, True) if amount[1] >= PROSE else (False, False)
+    for b in found:
+        b.label = -1 if _is_bad(b, *level) else 1 if b.votes > 0 else -1 if b.votes <= -2 else 0
+    if not any(b.label > 0 for b in found):
+        least = LONG if any(b.label == 0 and len(b.text) >= LONG and b.tag not in HEADINGS for b in found) else 0
+        for b in found:
+            if b.label == 0 and (len(b.text) >= least and (b.tag not in HEADINGS or not least)):
+                b.label = 1
+
+
 def classify(found: list[Block]) -> list[Block]:
     """Give every block its label; returns ``found``."""
-    has_article = any(b.region and not b.marked for b in found)
-    for b in found:
-        n = len(b.text)
-        if b.marked or (has_article and not b.region) or (b.region < 0 and b.tag not in HEADINGS):
-            b.label = -1
-        elif b.linked > LINKED * n:
-            b.label = -1 if b.tag in ("li", "dd", "dt") or n < MIDDLE or not b.region else 0
-        elif n < 2 * MIDDLE and "©" in b.text and not b.region:
-            b.label = -1
-        elif b.tag in HEADINGS:
-            b.label = 0
-        elif n >= LONG:
-            b.label = int(_dense(b.text, DENSE_LONG))
-        elif n >= MIDDLE:
-            b.label = int(_dense(b.text, DENSE_MIDDLE))
-    # second pass: nearest decided neighbours, in the article where one is marked
-    rows = [b for b in found if not (b.marked or not b.region)] if has_article else found
-    ahead: list[tuple[int, int]] = []  # per block: label of the next decided one and the distance
-    label, far = 0, 0
-    for b in reversed(rows):
-        far += 1
-        if b.label:
-            label, far = b.label, 0
-        ahead.append((label, far))
-    ahead.reverse()
-    label, far = 0, 0
-    for b, (after, distance) in zip(rows, ahead, strict=True):
-        far += 1
+    articles = any(b.region > 0 and not b.fixed and not b.mark for b in found)
+    _decided(found, articles)
+    # second pass: per block the nearest decided one on either side, of its article or of what is outside of all
+    last = (found[-1].at if found else 0) + 1
+    sides = []
+    for rows, edge in ((found, 0), (reversed(found), last)):
+        near: dict[int, tuple[int, int]] = {}
+        seen = []
+        for b in rows:
+            area = 0 if b.region == HEADER else abs(b.region)
+            label, place = near.get(area, (0 if area else -1, edge))
+            seen.append((label, abs(b.at - place)))
+            if b.label and b.region >= 0:  # a header is beside the text, not part of it
+                near[area] = (b.label, b.at)
+        sides.append(seen)
+    for b, (before, back), (after, ahead) in zip(found, sides[0], reversed(sides[1]), strict=True):
         if b.label:
-            label, far = b.label, 0
             continue
-        if has_article:
-            inherited = -1 if label < 0 and after < 0 else 1
-        elif not label or not after:
-            inherited = label or after or 1
+        inside = articles and b.region > 0
+        if b.tag in HEADINGS:
+            inherited = after or (1 if b.region and b.region != HEADER else -1)
+        elif inside:
+            inherited = -1 if before < 0 and after < 0 else 1
         else:
-            inherited = max(label, after) if far == distance else label if far < distance else after
-        b.label = 2 * inherited  # inherited labels are not passed on
+            inherited = max(before, after) if back == ahead else before if back < ahead else after
+        b.label = 2 * (inherited or 1)  # inherited labels are not passed on
     return found
 
 

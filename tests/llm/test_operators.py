@@ -299,6 +299,50 @@ def test_html(page, text):
     assert html_extract.main_text(page) == text
 
 
+PROSE = "The story of the day is that we are here and it is good for all of us to be in this place at this time of the year. " * 2
+
+
+@pytest.mark.parametrize("name", ["article-header", "search-result-main", "rail-transport", "social-history", "post comments-closed", "entry-footer post", "sidebar", "header"])
+def test_html_names_around_the_text(name):
+    """Names with other words tell nothing; exact ones neither, where all the prose is in them."""
+    text = PROSE.strip()
+    assert html_extract.main_text(f'<div class="{name}"><h2>Head</h2><p>{text}</p><p>{text}</p><p>{text}</p></div>') == f"Head\n{text}\n{text}\n{text}"
+
+
+def test_html_without_marks():
+    text = PROSE.strip()
+    menu = "<div><a href=1>Home</a> <a href=2>News of today and more</a></div>"
+    page = f"<body>{menu}<div>Log in</div><div><h1>Head</h1><p>Short one.</p><p>{text}</p><p>{text}</p><h3>More</h3><p>ok</p><p>{text}</p></div><div><ul><li><a href=3>Next</a></ul></div><div>Contact</div></body>"
+    assert html_extract.main_text(page) == f"Head\nShort one.\n{text}\n{text}\nMore\nok\n{text}"
+    # exact names beside prose: notices, adverts and readers' comments go, however long
+    page = f'<div class="ad">{text}</div><div><p>{text}</p></div><div id="comments"><h3>Comments</h3><p>{text}</p><p>{text}</p></div><div class="cookie-notice box">{text}</div>'
+    assert html_extract.main_text(page) == text
+    # a language without stop words here, and a page in a form
+    other = "xyloph qwert zuiop asdfg hjkl yxcv bnm " * 8
+    assert html_extract.main_text(f"<div><p>{other}</p></div>{menu}") == other.strip()
+    assert html_extract.main_text(f"<form><div>{menu}<p>{text}</p><p>{text}</p><p>{text}</p></div></form>") == f"{text}\n{text}\n{text}"
+    assert html_extract.main_text(f"<article><h1>A</h1><p>b</p></article><article><p>{text}</p></article>{menu}") == f"A\nb\n{text}"
+
+
+def test_html_density_decides():
+    """The same words in the same places: prose stays, a list of names doesn't."""
+    text, names = PROSE.strip(), ("Xylo Qwert Zuiop Asdfg Hjkl Yxcv " * 7).strip()
+    page = "<div><p>{}</p></div><div><p>{}</p></div><div><div><p>{}</p></div></div>"
+    assert html_extract.main_text(page.format(text, text, names)) == f"{text}\n{text}"
+    assert html_extract.main_text(page.format(text, text, text)) == f"{text}\n{text}\n{text}"
+
+
+def test_html_deep_and_long():
+    import time
+
+    begun = time.monotonic()
+    text = PROSE.strip()
+    assert html_extract.main_text("<div>" * 100_000 + f"<p>{text}</p>" + "</span></b>" * 100_000) == text
+    assert html_extract.main_text("<div><span>" * 100_000 + text + "</div>" * 100_000) == text
+    assert html_extract.main_text(f"<p>{text}</p>" * 50_000).count("\n") == 49_999
+    assert time.monotonic() - begun < 30
+
+
 def test_html_survives_anything():
     draw = random.Random(4)
     parts = ["<", ">", "</p>", "<p>", "<div class='", "'", '"', "&", "&amp", "<!--", "-->", "<script>", "</script", "text", "<br/>", "</article>", "<article>", "<a href=x>", "\x00", "é", "<svg/>", "<li"]
@@ -307,17 +351,20 @@ def test_html_survives_anything():
 
 
 def test_html_query(spark, data):
-    """Against the pages' articles, cut out plainly."""
+    """Against the pages' articles, cut out plainly; nearly all the same without their marks."""
     import html
 
     import pandas as pd
 
     found = {r.page_id: r for r in queries.op5_html_extraction(spark, data).collect()}
-    for p in pd.read_parquet(f"{data}/pages.parquet").itertuples():
+    same, pages = 0, list(pd.read_parquet(f"{data}/pages.parquet").itertuples())
+    for p in pages:
         article = re.search(r"<article>(.*)</article>", p.html, re.DOTALL)[1]
         cut = [" ".join(html.unescape(re.sub("<[^>]+>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?(?:p|h1)>", article)]
         assert found[p.page_id].text == "\n".join(filter(None, cut)) and found[p.page_id].n_chars == len(found[p.page_id].text)
-    pages = spark.createDataFrame([(1, None, None), (1, None, None)], "page_id long, url string, html string").withColumn("text", F.lit(1)).withColumn("page", F.lit(2))
+        same += html_extract.main_text(p.html.replace("<article>", "<div>").replace("</article>", "</div>")) == found[p.page_id].text
+    assert same >= 0.9 * len(pages)
+    pages = spark.createDataFrame([(1, None, None), (1, None, None)], "page_id long, url string, html string").withColumn("text", F.lit(1)).withColumn("page", F.lit(2)).withColumn("k0", F.lit(3)).withColumn("k1", F.lit(4))
     assert [tuple(r) for r in html_extract.extract(pages).collect()] == [(1, None, "")] * 2
     assert html_extract.extract(pages.limit(0)).count() == 0
 
