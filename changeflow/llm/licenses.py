@@ -3,15 +3,19 @@
 A text is put into a canonical form (lower case, copyright lines removed,
 equivalent spellings made one, every run of other characters than letters and
 digits made one space) and the digest of the whole of it is hash-joined to the
-digests of known licences.  Short notices ("Released under the ...") usually
-stand on a line of their own at the end of another text, so each line is also
-looked up as a text of its own.
-
-The known texts are a fixed table (whole texts in ``license_texts``, short
-notices made from verbs and names), so their side is broadcast; documents are
-never shuffled.  A null or empty text matches nothing.  Repeated
-rows each get their row; extra columns are ignored whatever their names; an
-empty table gives an empty result.
+digests of known licences.  What stands beside other text is looked up the same
+way: each line ("Released under the ..."), and each block, the largest run of
+lines between rules or two blank lines, so a licence behind a readme is found.
+
+Known texts are a table (``KNOWN``: whole texts in ``license_texts``, short
+ones here, notices made from verbs and names) or the caller's.  It is counted:
+up to ``MOST_KNOWN`` digests are broadcast, more are joined by a shuffle.
+
+A null or empty text matches nothing.  Texts of any length are read whole, in
+the memory of a row.  Of known texts with one digest the smallest id counts.
+Repeated rows each get their row; extra columns are ignored whatever their
+names; an empty table gives an empty result, an empty list of known texts
+finds nothing.
 """
 
 from __future__ import annotations
@@ -21,15 +25,19 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Maps that the known digests are dealt to.
-SLOTS = 1024
+from .store import Scratch
+
+#: Up to so many known digests are broadcast, in as many maps.
+MOST_KNOWN, SLOTS = 20_000, 1024
 
 #: (pattern, replacement) in order, over lower-case text, both in Java's regex
 #: and in RE2.  ``{1}`` stands for the first group.
 COPYRIGHT_LINES = (
-    r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright[ \t]*(?:\(c\)|©|:|<|\[|[0-9]{4})|\(c\)[ \t]|©)[^\n]*$",
+    r"(?m)^[^\p{L}\p{N}\n(©]*(?:copyright[ \t]*(?:\(c\)|©|:|<|\[|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|©)[^\n]*$",
     r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$",
 )
+#: Between blocks: two blank lines or more, or a line of marks.
+RULES = r"\n(?:[ \t\r]*\n){2,}|\n[ \t]*[-=*_#~]{3,}[ \t\r]*\n"
 OTHER_CHARACTERS = r"[^\p{L}\p{N}\n]+"
 SPELLINGS = (
     (r"\blicenc(e|es|ed|ee|ing|or)\b", "licens{1}"),
@@ -75,6 +83,20 @@ http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BOOST = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_ZERO_HEAD, _ZERO_TAIL = _ISC.split(", provided that the above copyright notice and this permission notice appear in all copies")
+
 #: Known texts, (id, text); the titles that some carry are variants of their own.
 KNOWN = (
     ("MIT", _MIT),
@@ -87,6 +109,14 @@ KNOWN = (
     ("ISC", _ISC),
     ("ISC", "ISC License\n\n" + _ISC),
     ("Zlib", _ZLIB),
+    ("0BSD", _ZERO_HEAD + _ZERO_TAIL),
+    ("0BSD", "BSD Zero Clause License\n\n" + _ZERO_HEAD + _ZERO_TAIL),
+    ("MIT-0", _MIT.replace(", subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software", "")),
+    ("Unlicense", _UNLICENSE),
+    ("Unlicense", _UNLICENSE + "\n\nFor more information, please refer to <https://unlicense.org>"),
+    ("Unlicense", _UNLICENSE + "\n\nFor more information, please refer to <http://unlicense.org/>"),
+    ("BSL-1.0", _BOOST),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n\n" + _BOOST),
     ("Apache-2.0", _APACHE_NOTICE),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -160,54 +190,72 @@ def _whole_texts() -> list[tuple[str, str]]:
 KNOWN += (*_whole_texts(), *_notices())
 
 
-def canonical_lines(text: Column) -> Column:
-    """The canonical form with its line breaks: what is left of each line, trimmed."""
-    t = F.lower(F.coalesce(text, F.lit("")))
+def _canonical(text: Column) -> Column:
+    """What is left of each line of a text in lower case, trimmed."""
     for pattern in COPYRIGHT_LINES:
-        t = F.regexp_replace(t, pattern, "")
-    t = F.regexp_replace(t, OTHER_CHARACTERS, " ")
+        text = F.regexp_replace(text, pattern, "")
+    text = F.regexp_replace(text, OTHER_CHARACTERS, " ")
     for pattern, to in SPELLINGS:
-        t = F.regexp_replace(t, pattern, to.replace("{1}", "$1").replace("{2}", "$2"))
-    return F.filter(F.transform(F.split(t, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+        text = F.regexp_replace(text, pattern, to.replace("{1}", "$1").replace("{2}", "$2"))
+    return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def canonical_blocks(text: Column) -> Column:
+    """The canonical lines of each block of a text."""
+    return F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), RULES), _canonical)
+
+
+def _joined(lines: Column) -> Column:
+    return F.array_join(lines, " ")
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, license_id) of the known texts, one row per digest."""
-    table = spark.createDataFrame(list(known), "license_id string, text string")
-    table = table.select("license_id", F.sha2(F.array_join(canonical_lines(F.col("text")), " "), 256).alias("digest"))
-    return table.groupBy("digest").agg(F.min("license_id").alias("license_id"))
+    """(digest, license_id) of the known texts, one row per digest; ``known`` is a list or a table (license_id, text)."""
+    table = known if isinstance(known, DataFrame) else spark.createDataFrame(list(known), "license_id string, text string")
+    table = table.select("license_id", _joined(F.flatten(canonical_blocks(F.col("text")))).alias("text")).filter("text <> '' AND license_id IS NOT NULL")
+    return table.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
-def scan(docs: DataFrame, row_id: str = "doc_id", text: str = "text", known=KNOWN) -> DataFrame:
-    """Per row: the id, ``digest`` of the whole canonical text, ``license_id``
-    of the known text with that digest or null, and ``notices``: the ids of
-    the lines that are known texts by themselves, distinct and in order,
-    joined by commas (empty: none).
-    """
-    table = known_digests(docs.sparkSession, known)
-    # the same fixed table again, as constant maps that lines are looked up in without making rows of them; a map is
-    # searched from its start, so each holds the few digests of one slot
+def _by_maps(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``notices`` from constant maps of the known digests, at most ``MOST_KNOWN``: no row per line is made."""
+    # a map is searched from its start, so each holds the few digests of one slot
     slot = lambda digest: F.pmod(F.xxhash64(digest), F.lit(SLOTS)).cast("int")
     slots: list[list[Column]] = [[] for _ in range(SLOTS)]
     for row in table.withColumn("slot", slot(F.col("digest"))).orderBy("digest").collect():
         slots[row.slot] += [F.lit(row.digest), F.lit(row.license_id)]
     maps = F.array(*[F.create_map(*x) if x else F.create_map().cast("map<string,string>") for x in slots])
 
-    def find(line: Column) -> Column:
-        digest = F.sha2(line, 256)
+    def find(unit: Column) -> Column:
+        digest = F.sha2(unit, 256)
         return F.try_element_at(F.get(maps, slot(digest)), digest)
 
-    lines = docs.select(F.col(row_id).alias(row_id), F.inline(F.array(F.struct(canonical_lines(F.col(text)).alias("_lines")))))
-    rows = lines.select(
-        row_id,
-        F.sha2(F.array_join("_lines", " "), 256).alias("digest"),
-        F.array_join(
-            F.array_sort(F.array_distinct(F.filter(F.transform("_lines", find), lambda x: x.isNotNull()))), ","
-        ).alias("notices"),
-        (F.size("_lines") > 0).alias("_some"),
-    )
-    found = rows.join(F.broadcast(table), "digest", "left")
-    return found.select(row_id, "digest", F.when(F.col("_some"), F.col("license_id")).alias("license_id"), "notices")
+    names = F.array_sort(F.array_distinct(F.filter(F.transform("units", find), lambda x: x.isNotNull())))
+    return rows.select("id", "digest", F.array_join(names, ",").alias("notices"), "some")
+
+
+def _by_join(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``notices`` from a join of all lines and blocks."""
+    rows = Scratch(rows.sparkSession, "licenses").save(rows.withColumn("row", F.monotonically_increasing_id()), "units")
+    units = rows.select("row", F.explode("units").alias("unit")).select("row", F.sha2("unit", 256).alias("unit"))
+    found = units.join(table.select(F.col("digest").alias("unit"), "license_id"), "unit").groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices"))
+    return rows.join(found, "row", "left").select("id", "digest", F.coalesce("notices", F.lit("")).alias("notices"), "some")
+
+
+def scan(docs: DataFrame, row_id: str = "doc_id", text: str = "text", known=KNOWN) -> DataFrame:
+    """Per row: the id, ``digest`` of the whole canonical text, ``license_id``
+    of the known text with that digest or null, and ``notices``: the ids of
+    the lines and blocks that are known texts by themselves, distinct and in
+    order, joined by commas (empty: none).
+    """
+    table = known_digests(docs.sparkSession, known)
+    few = table.count() <= MOST_KNOWN
+    blocks = docs.select(F.col(row_id).alias("id"), F.inline(F.array(F.struct(canonical_blocks(F.col(text)).alias("blocks")))))
+    lines = F.flatten("blocks")
+    units = F.array_distinct(F.concat(lines, F.transform("blocks", _joined)))
+    rows = blocks.select("id", F.sha2(_joined(lines), 256).alias("digest"), units.alias("units"), (F.size(lines) > 0).alias("some"))
+    rows = (_by_maps if few else _by_join)(rows, table)
+    found = rows.join(F.broadcast(table) if few else table, "digest", "left")
+    return found.select(F.col("id").alias(row_id), "digest", F.when(F.col("some"), F.col("license_id")).alias("license_id"), "notices")
 
 
 def oracle(table: str = "documents") -> str:
@@ -216,8 +264,7 @@ def oracle(table: str = "documents") -> str:
     def lit(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
-    def canon(column: str) -> str:
-        t = f"lower(coalesce({column}, ''))"
+    def canon(t: str) -> str:
         for pattern in COPYRIGHT_LINES:
             t = f"regexp_replace({t}, {lit(pattern)}, '', 'g')"
         t = f"regexp_replace({t}, {lit(OTHER_CHARACTERS)}, ' ', 'g')"
@@ -225,15 +272,18 @@ def oracle(table: str = "documents") -> str:
             t = f"regexp_replace({t}, {lit(pattern)}, {lit(to.replace('{1}', chr(92) + '1').replace('{2}', chr(92) + '2'))}, 'g')"
         return f"list_filter(list_transform(string_split({t}, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '')"
 
+    def blocks(column: str) -> str:
+        return f"list_transform(regexp_split_to_array(lower(coalesce({column}, '')), {lit(RULES)}), lambda b: {canon('b')})"
+
     rows = ", ".join(f"({lit(a)}, {lit(b)})" for a, b in KNOWN)
     return f"""
 WITH known AS (
-  SELECT sha256(array_to_string({canon("t")}, ' ')) AS digest, min(license_id) AS license_id
+  SELECT sha256(array_to_string(flatten({blocks("t")}), ' ')) AS digest, min(license_id) AS license_id
   FROM (VALUES {rows}) AS k(license_id, t) GROUP BY 1),
-docs AS (SELECT doc_id, {canon("text")} AS lines FROM {table}),
-whole AS (SELECT doc_id, lines, sha256(array_to_string(lines, ' ')) AS digest FROM docs),
+docs AS (SELECT row_number() OVER () AS rn, doc_id, {blocks("text")} AS blocks FROM {table}),
+whole AS (SELECT rn, doc_id, flatten(blocks) AS lines, list_distinct(list_concat(flatten(blocks), list_transform(blocks, lambda b: array_to_string(b, ' ')))) AS units FROM docs),
 found AS (
-  SELECT doc_id, array_to_string(list_sort(list_distinct(list(license_id))), ',') AS notices
-  FROM (SELECT doc_id, unnest(lines) AS x FROM whole) l JOIN known k ON sha256(l.x) = k.digest GROUP BY doc_id)
-SELECT w.doc_id, w.digest, CASE WHEN len(lines) > 0 THEN k.license_id END AS license_id, coalesce(f.notices, '') AS notices
-FROM whole w LEFT JOIN known k ON w.digest = k.digest LEFT JOIN found f ON w.doc_id = f.doc_id"""
+  SELECT rn, array_to_string(list_sort(list_distinct(list(license_id))), ',') AS notices
+  FROM (SELECT rn, unnest(units) AS x FROM whole) l JOIN known k ON sha256(l.x) = k.digest GROUP BY rn)
+SELECT w.doc_id, sha256(array_to_string(lines, ' ')) AS digest, CASE WHEN len(lines) > 0 THEN k.license_id END AS license_id, coalesce(f.notices, '') AS notices
+FROM whole w LEFT JOIN known k ON sha256(array_to_string(lines, ' ')) = k.digest LEFT JOIN found f ON w.rn = f.rn"""

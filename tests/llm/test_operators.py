@@ -247,6 +247,27 @@ def test_licenses(spark):
     assert licenses.scan(odd_docs(spark).limit(0)).count() == 0
 
 
+def test_license_items_and_blocks(spark, monkeypatch):
+    """Clause (c) of a list counts; a whole licence behind other text is found as a block, by maps and by a join."""
+    terms = "You may: \n(a) copy it\n(b) sell it\n{}\nand no more."
+    known = [("own", terms.format("(c) keep this notice in all copies")), ("own", "the house rules apply"), ("zz", "the house rules apply")]
+    mit = licenses.KNOWN[0][1]
+    rows = [
+        (1, known[0][1]), (2, terms.format("(c) do as you like")), (3, terms.format("(c) 2020 Some One\n(c) keep this notice in all copies")), (4, "a readme\n\n\n" + known[0][1].replace("\n", "\r\n") + "\n-----\nmore"),
+        (5, "x\n====\n" + known[0][1]), (6, "x\n" + known[0][1]), (7, "x\nThe House Rules apply!"), (8, None), (9, ""), (9, " - "), (10, "word " * 200_000 + "\n\n\nthe house rules apply"),
+    ]
+    expected = [(1, "own", "own"), (2, None, ""), (3, "own", "own"), (4, None, "own"), (5, None, "own"), (6, None, ""), (7, None, "own"), (8, None, ""), (9, None, ""), (9, None, ""), (10, None, "own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1)).withColumn("units", F.lit(1)).withColumn("digest", F.lit(1))
+    for most in (20_000, 1):
+        monkeypatch.setattr(licenses, "MOST_KNOWN", most)
+        got = sorted(((r.doc_id, r.license_id, r.notices) for r in licenses.scan(docs, known=known).collect()), key=str)
+        assert got == sorted(expected, key=str)
+        assert {r.notices for r in licenses.scan(docs, known=spark.createDataFrame([], "license_id string, text string")).collect()} == {""}
+    monkeypatch.undo()
+    got = licenses.scan(spark.createDataFrame([(1, "# Tool\n\nIt works.\n\n\n" + mit.replace("\n\n", "\n \n")), (2, licenses._UNLICENSE.upper()), (3, licenses.KNOWN[0][1].replace("\n\n", "\n\n\n\n"))], "doc_id long, text string"))
+    assert {r.doc_id: (r.license_id, r.notices) for r in got.collect()} == {1: (None, "MIT"), 2: ("Unlicense", "Unlicense"), 3: ("MIT", "")}
+
+
 def test_license_notices_of_the_documents(spark):
     import pandas as pd
 
