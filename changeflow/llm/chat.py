@@ -1,7 +1,7 @@
 r"""Quotation linking: replies are joined to the messages that they quote.
 
 A line whose start matches ``([ \t]*>)+`` is quoted; the number of ``>`` is
-its level.  The passages of a level are its lines and its paragraphs (lines
+its level, however deep.  The passages of a level are its lines and its paragraphs (lines
 between blank lines or lines of other levels, joined by a space), normalised
 (lower case, white space made one space, trimmed) and hashed.  A passage that
 equals a line or paragraph of the body of an earlier message of the same
@@ -15,7 +15,8 @@ ordered by conversation, first turn of the thread, turn: a reply stands after
 what it answers, and threads stay together.  Nothing is collected by
 conversation, so one with a third of all messages is spread like any other.
 
-Null texts are empty bodies; null roles stay null.  Messages of a null
+Null texts are empty bodies; null roles stay null.  A text of any length or
+depth of quotes is read in one pass, in the memory of its row.  Messages of a null
 conversation form one conversation, null turns sort first and are neither
 quoted nor linked.  Repeated rows each get their row.  Extra columns are
 ignored, whatever their names.  An empty table gives an empty result.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .store import Scratch
 
-QUOTED = r"^(?:[ \t]*>)+"
+QUOTED = r"^[ \t>]*>"
 ATTRIBUTION = r"(?i)(?:wrote|writes|schrieb|a écrit|escribió)[ \t]*:[ \t]*$"
 #: Turns of one conversation are looked up in ranges of so many.
 TURNS = 512
@@ -68,15 +69,22 @@ def _units(text: Column) -> Column:
 
 
 def _quoted_units(lines: Column) -> Column:
-    """(level, hash) of the passages of each quote level."""
-    top = F.aggregate(lines, F.lit(0), lambda a, x: F.greatest(a, x["level"]))
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(top, F.lit(1))),
-            lambda k: F.transform(
-                _units(F.array_join(F.transform(lines, lambda x: F.when(x["level"] == k, x["body"]).otherwise("")), "\n")),
-                lambda h: F.struct(k.alias("level"), h.alias("hash")),
-            ),
+    """(level, hash) of the passages of each quote level: those of the runs of
+    lines of one level, so work grows with the lines, whatever their levels."""
+    n = F.size(lines)
+    level = lambda i: F.get(lines, i)["level"]
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (level(i) != level(i - 1)))
+    runs = F.zip_with(starts, F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(n)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    quoted = F.filter(F.filter(runs, lambda r: r["b"].isNotNull()), lambda r: level(r["a"]) > 0)
+    return F.array_distinct(
+        F.flatten(
+            F.transform(
+                quoted,
+                lambda r: F.transform(
+                    _units(F.array_join(F.transform(F.slice(lines, r["a"] + 1, r["b"] - r["a"]), lambda x: x["body"]), "\n")),
+                    lambda h: F.struct(level(r["a"]).alias("level"), h.alias("hash")),
+                ),
+            )
         )
     )
 
