@@ -7,8 +7,9 @@ as one), held as 64-bit hashes.  Two texts link when
 components of the links.
 
 1. Texts with equal token sets form classes by a digest; one of each goes on.
-2. A count sketch over the tokens of all documents tells frequent tokens.  It
-   only shapes the orders below, so its errors cost time, never a link.
+2. A count sketch over the tokens of all documents tells frequent tokens, those
+   whose counters stand out from the load that all have.  It only shapes the
+   orders below, so its errors cost time, never a link.
 3. Under a global order of tokens, two texts that link share a token among
    the first n - ceil(percent * n / 100) + 1 of each.  There are three orders,
    each with frequent tokens last and hashed differently within a frequency.
@@ -19,9 +20,11 @@ components of the links.
 4. What is left is verified on whole sets.
 5. Larger groups make no pairs.  First their texts are compared with three
    hubs each, which joins most copies.  Then the texts of groups that still
-   hold several components are packed in blocks, by component where it is
-   large, and only blocks that share a frequent prefix token and not the
-   component meet, each once: a product of incidence matrices counts all
+   hold several components are packed in blocks of like lengths, by component
+   where it is large, and only blocks that share a frequent prefix token, whose
+   lengths fit and that are not of one component meet, each once.  Of two
+   blocks the texts stay that have a prefix token of the other block under
+   each of the three orders; a product of incidence matrices counts their
    intersections.  So no group is capped and every link is found or implied.
 
 A null text and one without words have no tokens and link with nothing.  Ids
@@ -33,9 +36,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
-import gc
 import hashlib
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,6 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import fitting
 from . import textkernel as tk
 from .graph import components
 from .store import Scratch
@@ -55,9 +57,11 @@ SMALL = 64
 BLOCK_TEXTS, BLOCK_TOKENS, OWN_BLOCKS = 256, 100_000, 64
 #: Blocks of a group; a task compares the blocks of two groups, so a block is sent once per group.
 GROUP_BLOCKS = 12
-#: Counters of the sketch, as powers of two, and how many it sends at once.
-LEAST_COUNTERS, MOST_COUNTERS, CHUNK = 16, 25, 1 << 15
+#: Counters of the sketch, as powers of two.
+LEAST_COUNTERS, MOST_COUNTERS = 16, 25
 COUNTERS_PER_TEXT = 32
+#: Texts from which a token is frequent, besides what other tokens add to its counter.
+FREQUENT = 24
 #: Prefix tokens that a bucket holds and that a task gathers before it deals them out.
 BUCKET_TOKENS, GATHERED, LEAST_BUCKETS = 200_000, 1_000_000, 256
 #: Bytes of text that are worked on at once.
@@ -97,7 +101,7 @@ def _profiles(rows: DataFrame, measure: Measure, bits: int) -> DataFrame:
     """Per text its number of tokens and the digest of its set; per task the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.int32)
+        counts = np.zeros(max(1 << bits, fitting.CHUNK), np.int32)
 
         def rows_of(ref, ids, n, digests, chunks, packed):
             k = len(ids)
@@ -114,10 +118,8 @@ def _profiles(rows: DataFrame, measure: Measure, bits: int) -> DataFrame:
                 digests.extend(hashlib.md5(view[8 * a : 8 * b]).digest() if b > a else None for a, b in zip(begin[:-1], begin[1:], strict=True))
             if len(ids):
                 yield rows_of(batch.column(0), ids, n, digests, [None] * len(ids), [None] * len(ids))
-        for at in range(0, 1 << bits, CHUNK):
-            part = counts[at : at + CHUNK]
-            if part.any():
-                yield rows_of(pa.nulls(1, ref_type), [None], [None], [None], [at // CHUNK], [zlib.compress(part.tobytes(), 1)])
+        for part in fitting.emit(counts):
+            yield rows_of(pa.nulls(1, ref_type), [None], [None], [None], part.column(0).to_pylist(), part.column(1).to_pylist())
 
     names = ["ref", "id", "n", "digest", "chunk", "counts"]
     schema = T.StructType([rows.schema["ref"], *T._parse_datatype_string("id long, n long, digest binary, chunk int, counts binary").fields])
@@ -128,30 +130,23 @@ def _profiles(rows: DataFrame, measure: Measure, bits: int) -> DataFrame:
     return rows.select("ref", "id", "text").mapInArrow(tk.released(run), schema)
 
 
-def _sketch(profiles: DataFrame, bits: int) -> np.ndarray:
-    """The sum of the tasks' sketches: a table of at most 2 ** MOST_COUNTERS numbers."""
+def _kinds(counts: np.ndarray) -> np.ndarray:
+    """0 for counters of rare tokens, else by the logarithm how frequent.
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, total = None, None
-        for batch in batches:
-            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                part = np.frombuffer(zlib.decompress(counts.as_py()), np.int32).astype(np.int64)
-                if chunk != at:
-                    if at is not None:
-                        yield pa.RecordBatch.from_pydict({"chunk": pa.array([at], pa.int32()), "counts": pa.array([pack(total)], pa.binary())})
-                    at, total = chunk, np.zeros(CHUNK, np.int64)
-                total[: len(part)] += part
-        if at is not None:
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array([at], pa.int32()), "counts": pa.array([pack(total)], pa.binary())})
-
-    def pack(x: np.ndarray) -> bytes:
-        return zlib.compress(np.minimum(x, 2**31 - 1).astype(np.int32).tobytes(), 1)
-
-    chunks = profiles.filter("chunk IS NOT NULL").select("chunk", "counts").repartition("chunk").sortWithinPartitions("chunk")
-    out = np.zeros(max(1 << bits, CHUNK), np.int32)
-    for chunk, counts in chunks.mapInArrow(tk.released(add), "chunk int, counts binary").toLocalIterator():
-        out[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(zlib.decompress(counts), np.int32)
-    return out[: 1 << bits]
+    Counters hold what rare tokens share them too.  Nearly all hold nothing
+    else, so their median is that load; it varies by its root, and a token
+    is frequent if its counter stands out by several of these.
+    """
+    load = float(np.median(counts))
+    least = FREQUENT + 6 * load**0.5
+    above = np.maximum(counts - load, 1) / least
+    return np.where(above < 1, 0, 1 + np.log2(above)).clip(0, 63)
+
+
+def _sketch(profiles: DataFrame, bits: int) -> np.ndarray:
+    """The kinds of all counters, a byte each: at most 2 ** MOST_COUNTERS bytes."""
+    chunks = profiles.filter("chunk IS NOT NULL").select("chunk", F.col("counts").alias("numbers"))
+    return fitting.summed(chunks, max(1 << bits, fitting.CHUNK), _kinds, np.uint8)
 
 
 def _rank(tokens: np.ndarray, kind: np.ndarray, order: int) -> np.ndarray:
@@ -159,7 +154,19 @@ def _rank(tokens: np.ndarray, kind: np.ndarray, order: int) -> np.ndarray:
     return (kind.astype(np.uint64) << np.uint64(58)) | (tk.mix(tokens ^ SEEDS[order]) >> np.uint64(6))
 
 
-def _features(texts: DataFrame, measure: Measure, sketch, bits: int, frequent: int) -> DataFrame:
+def _heads(tokens: np.ndarray, begin: np.ndarray, kind: np.ndarray, measure: Measure) -> Iterator[list[np.ndarray]]:
+    """Per text the places of its prefixes under the three orders."""
+    ranks = [_rank(tokens, kind, o) for o in range(3)]
+    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        p, heads = measure.prefix(b - a) if b > a else 0, []
+        for r in ranks:
+            r = r[a:b]
+            head = np.argpartition(r, p - 1)[:p] if p < b - a else np.arange(b - a)
+            heads.append(a + head[np.argsort(r[head])])
+        yield heads
+
+
+def _features(texts: DataFrame, measure: Measure, sketch, bits: int) -> DataFrame:
     """Per text the prefix under the first order, rare and frequent tokens
     apart, and fingerprints of the prefixes under the other two."""
 
@@ -167,18 +174,10 @@ def _features(texts: DataFrame, measure: Measure, sketch, bits: int, frequent: i
         counts = sketch.value
         for batch in batches:
             for first, tokens, begin in _token_sets(batch.column(1), measure):
-                seen = counts[_counter(tokens, bits)]
-                kind = np.where(seen < frequent, 0, 1 + np.log2(np.maximum(seen, 1) / frequent).astype(np.int64)).clip(0, 63)
-                ranks = [_rank(tokens, kind, o) for o in range(3)]
+                kind = counts[_counter(tokens, bits)]
                 out = []
-                for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
-                    n = b - a
-                    p = measure.prefix(n) if n else 0
-                    heads = []
-                    for r in ranks:
-                        r = r[a:b]
-                        head = np.argpartition(r, p - 1)[:p] if p < n else np.arange(n)
-                        heads.append(a + head[np.argsort(r[head])])
+                for n, heads in zip(np.diff(begin).tolist(), _heads(tokens, begin, kind, measure), strict=True):
+                    p = len(heads[0])
                     rare = kind[heads[0]] == 0
                     mine = tokens[heads[0]]
                     # fingerprints of 16 bits tell short prefixes apart, long ones get 32
@@ -337,7 +336,7 @@ def _filtered(pairs: DataFrame, features: DataFrame, measure: Measure) -> DataFr
 
 
 def _sets(texts: DataFrame, measure: Measure, bits: int = 64) -> DataFrame:
-    """(id, n, tokens): whole sets, sorted, of the first ``bits`` of each token."""
+    """(id, tokens): whole sets, sorted, of the first ``bits`` of each token."""
     kind = {64: np.uint64, 32: np.uint32}[bits]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,6 +349,23 @@ def _sets(texts: DataFrame, measure: Measure, bits: int = 64) -> DataFrame:
     return texts.mapInArrow(tk.released(run), "id long, tokens binary")
 
 
+def _marked_sets(texts: DataFrame, measure: Measure, sketch, bits: int) -> DataFrame:
+    """(id, tokens, marks): whole sets, and of each token in which orders' prefixes it is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, tokens, begin in _token_sets(batch.column(1), measure):
+                marks = np.zeros(len(tokens), np.uint8)
+                for heads in _heads(tokens, begin, sketch.value[_counter(tokens, bits)], measure):
+                    for order, head in enumerate(heads):
+                        marks[head] |= 1 << order
+                cuts = list(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True))
+                packed = [[x[a:b].tobytes() for a, b in cuts] for x in (tokens, marks)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(cuts)), *[pa.array(x, pa.binary()) for x in packed]], ["id", "tokens", "marks"])
+
+    return texts.mapInArrow(tk.released(run), "id long, tokens binary, marks binary")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, measure: Measure, bits: int) -> DataFrame:
     """The pairs that link, with ``sure``.
 
@@ -404,9 +420,49 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _block_links(large: DataFrame, roots: DataFrame, texts_of, scratch: Scratch, measure: Measure) -> DataFrame | None:
+Text = tuple[np.ndarray, np.ndarray]  # tokens and their marks
+
+
+def _sharing(left: list[Text], right: list[Text], measure: Measure) -> tuple[np.ndarray, np.ndarray]:
+    """Texts of either side that may link with one of the other: by length, and
+    by a prefix token of the other side under each of the orders in turn."""
+    kept = [np.arange(len(side)) for side in (left, right)]
+    for order in range(-1, 3):
+        sides = [[side[i] for i in some] for side, some in zip((left, right), kept, strict=True)]
+        if order < 0:
+            sizes = [np.array([len(t) for t, _ in side]) for side in sides]
+            good = [(100 * own >= measure.percent * other.min()) & (measure.percent * own <= 100 * other.max()) for own, other in (sizes, sizes[::-1])]
+        else:
+            heads = [[t[m >> order & 1 > 0] for t, m in side] for side in sides]
+            flat = [np.concatenate(h) for h in heads]
+            shared = np.intersect1d(*flat)
+            good = []
+            for h, f in zip(heads, flat, strict=True):
+                begin = np.concatenate([[0], np.cumsum([len(x) for x in h])])
+                hits = np.concatenate([[0], np.cumsum(np.isin(f, shared))])
+                good.append(hits[begin[1:]] > hits[begin[:-1]])
+        kept = [some[g] for some, g in zip(kept, good, strict=True)]
+        if not (len(kept[0]) and len(kept[1])):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return kept[0], kept[1]
+
+
+def _compared(left: tuple[np.ndarray, list[Text]], right: tuple[np.ndarray, list[Text]], measure: Measure) -> np.ndarray:
+    """Links between texts of two blocks as pairs of their labels."""
+    some = _sharing(left[1], right[1], measure)
+    labels = [side[0][x] for side, x in zip((left, right), some, strict=True)]
+    if not len(some[0]):
+        return np.zeros((0, 2), np.int64)
+    sides = [[side[1][i][0] for i in x] for side, x in zip((left, right), some, strict=True)]
+    shared = _overlaps(*sides)
+    sizes = [np.array([len(t) for t in side], np.float64) for side in sides]
+    union = sizes[0][:, None] + sizes[1][None, :] - shared
+    i, j = np.nonzero((100.0 * shared >= measure.percent * union) & (labels[0][:, None] != labels[1][None, :]))
+    return np.unique(np.stack([labels[0][i], labels[1][j]], 1), axis=0)
+
+
+def _block_links(large: DataFrame, roots: DataFrame, texts_of, sketch, bits: int, scratch: Scratch, measure: Measure) -> DataFrame | None:
     """Links between the components that large groups still hold."""
-    percent = measure.percent
     labelled = large.join(roots.select(F.col("id").alias("a"), "root"), "a", "left").select("token", "a", "n", F.coalesce("root", "a").alias("label"))
     labelled = scratch.save(labelled, "labelled")
     mixed = scratch.save(labelled.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("token"), "mixed")
@@ -415,21 +471,24 @@ def _block_links(large: DataFrame, roots: DataFrame, texts_of, scratch: Scratch,
     rows = scratch.save(labelled.join(mixed, "token", "left_semi"), "mixed-rows")
     docs = scratch.save(rows.groupBy("a", "n", "label").agg(F.min("token").alias("token")), "mixed-docs")
     sizes = scratch.save(docs.groupBy("label").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= OWN_BLOCKS), "mixed-labels")
-    # a large component has blocks of its own, other texts are packed by their first token
-    docs = docs.join(sizes, "label", "left").select("a", "n", "label", F.when(F.col("size").isNotNull(), F.col("label")).alias("own"), F.when(F.col("size").isNull(), F.col("token")).alias("cell"))
+    # a large component has blocks of its own, other texts are packed by their first token; all by length
+    band = F.floor(F.log(100 / measure.percent if measure.percent < 100 else 2.0, F.col("n").cast("double"))).cast("int")
+    docs = docs.join(sizes, "label", "left").select("a", "n", "label", band.alias("band"), F.when(F.col("size").isNotNull(), F.col("label")).alias("own"), F.when(F.col("size").isNull(), F.col("token")).alias("cell"))
     docs = scratch.save(docs, "cells")
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_TEXTS, F.sum("n") / BLOCK_TOKENS)).cast("long")
-    cells = scratch.save(docs.groupBy(F.col("own").alias("o"), F.col("cell").alias("c")).agg(parts.alias("parts")), "cell-sizes")
-    placed = docs.join(cells, docs.own.eqNullSafe(cells.o) & docs.cell.eqNullSafe(cells.c))
-    placed = placed.select("a", "n", "label", "own", F.xxhash64("own", "cell", F.pmod(F.xxhash64("a"), F.col("parts"))).alias("block"))
+    cells = scratch.save(docs.groupBy(F.col("own").alias("o"), F.col("cell").alias("c"), F.col("band").alias("l")).agg(parts.alias("parts")), "cell-sizes")
+    placed = docs.join(cells, docs.own.eqNullSafe(cells.o) & docs.cell.eqNullSafe(cells.c) & (docs.band == cells.l))
+    placed = placed.select("a", "n", "label", "own", F.xxhash64("own", "cell", "band", F.pmod(F.xxhash64("a"), F.col("parts"))).alias("block"))
     placed = scratch.save(placed, "placed")
-    seen = scratch.save(rows.select("token", "a").join(placed.select("a", "block", "own"), "a").select("token", "block", "own").distinct(), "block-tokens")
-    other = seen.select("token", F.col("block").alias("block2"), F.col("own").alias("own2"))
-    meet = seen.join(other, "token").filter("block <= block2 AND NOT coalesce(own = own2, false)").select("block", "block2").distinct()
+    seen = rows.select("token", "a").join(placed.select("a", "n", "block", "own"), "a").groupBy("token", "block", "own").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    seen = scratch.save(seen, "block-tokens")
+    other = seen.select("token", *[F.col(c).alias(f"{c}2") for c in ("block", "own", "low", "high")])
+    fits = (100 * F.col("high") >= measure.percent * F.col("low2")) & (100 * F.col("high2") >= measure.percent * F.col("low"))
+    meet = seen.join(other, "token").filter(fits & F.expr("block <= block2 AND NOT coalesce(own = own2, false)")).select("block", "block2").distinct()
     meet = scratch.save(meet, "meet")
-    whole = _sets(texts_of(placed.select(F.col("a").alias("id")), "placed-ids"), measure)
-    packed = placed.select(F.col("a").alias("id"), "label", "block").join(whole, "id").groupBy("block").agg(F.collect_list(F.struct("label", "tokens")).alias("texts"))
-    packed = scratch.save(packed.select("block", F.col("texts.label").alias("labels"), F.col("texts.tokens").alias("tokens")), "blocks")
+    whole = _marked_sets(texts_of(placed.select(F.col("a").alias("id")), "placed-ids"), measure, sketch, bits)
+    packed = placed.select(F.col("a").alias("id"), "label", "block").join(whole, "id").groupBy("block").agg(F.collect_list(F.struct("label", "tokens", "marks")).alias("texts"))
+    packed = scratch.save(packed.select("block", *[F.col(f"texts.{c}").alias(c if c != "label" else "labels") for c in ("label", "tokens", "marks")]), "blocks")
 
     n_groups = -(-packed.count() // GROUP_BLOCKS) or 1
     group = [F.pmod(F.xxhash64(x, F.lit(7)), F.lit(n_groups)).cast("int") for x in ("block", "block2")]
@@ -437,36 +496,29 @@ def _block_links(large: DataFrame, roots: DataFrame, texts_of, scratch: Scratch,
     lists = meet.groupBy("g", "h").agg(F.collect_list("block").alias("left"), F.collect_list("block2").alias("right"))
     needed = meet.select("g", "h", "block").unionByName(meet.select("g", "h", F.col("block2").alias("block"))).distinct()
     # the list of a pair of groups comes before its blocks
-    sent = needed.join(packed, "block").select("g", "h", "block", "labels", "tokens", F.lit(None).cast("array<long>").alias("right"))
-    sent = sent.unionByName(lists.select("g", "h", F.lit(None).cast("long").alias("block"), F.col("left").alias("labels"), F.lit(None).cast("array<binary>").alias("tokens"), "right"))
-
-    def compared(pairs: list[tuple[int, int]], held: dict[int, tuple[np.ndarray, list[np.ndarray]]]) -> pa.RecordBatch:
-        found = [np.zeros((0, 2), np.int64)]
-        for x, y in pairs:
-            (labels, left), (labels2, right) = held[x], held[y]
-            shared = _overlaps(left, right)
-            sizes = [np.array([len(t) for t in side], np.float64) for side in (left, right)]
-            union = sizes[0][:, None] + sizes[1][None, :] - shared
-            i, j = np.nonzero((100.0 * shared >= percent * union) & (labels[:, None] != labels2[None, :]))
-            found.append(np.unique(np.stack([labels[i], labels2[j]], 1), axis=0))
-        links = np.unique(np.concatenate(found), axis=0)
+    none = F.lit(None).cast("array<binary>")
+    sent = needed.join(packed, "block").select("g", "h", "block", "labels", "tokens", "marks", F.lit(None).cast("array<long>").alias("right"))
+    sent = sent.unionByName(lists.select("g", "h", F.lit(None).cast("long").alias("block"), F.col("left").alias("labels"), none.alias("tokens"), none.alias("marks"), "right"))
+
+    def found(pairs: list[tuple[int, int]], held: dict[int, tuple[np.ndarray, list[Text]]]) -> pa.RecordBatch:
+        links = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *[_compared(held[x], held[y], measure) for x, y in pairs]]), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(links[:, 0], pa.int64()), pa.array(links[:, 1], pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, pairs, held = None, [], {}
         for batch in batches:
             for i in range(batch.num_rows):
-                g, h, block, labels, tokens, right = (batch.column(k)[i].as_py() for k in range(6))
+                g, h, block, labels, tokens, marks, right = (batch.column(k)[i].as_py() for k in range(7))
                 if (g, h) != at:
                     if held:
-                        yield compared(pairs, held)
+                        yield found(pairs, held)
                     at, pairs, held = (g, h), [], {}
                 if block is None:
                     pairs = list(zip(labels, right, strict=True))
                 else:
-                    held[block] = np.array(labels), [np.frombuffer(x, np.uint64) for x in tokens]
+                    held[block] = np.array(labels), [(np.frombuffer(x, np.uint64), np.frombuffer(m, np.uint8)) for x, m in zip(tokens, marks, strict=True)]
         if held:
-            yield compared(pairs, held)
+            yield found(pairs, held)
 
     dealt = sent.repartition("g", "h").sortWithinPartitions("g", "h", F.col("block").asc_nulls_first())
     return scratch.save(dealt.mapInArrow(tk.released(run), "a long, b long"), "block-links")
@@ -477,11 +529,6 @@ def join(docs: DataFrame, measure: Measure = Measure(), row_id: str = "doc_id",
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram_join")
 
-    def settle() -> None:
-        """Let Spark delete the shuffle files of what is done."""
-        gc.collect()
-        spark._jvm.System.gc()
-
     integer = isinstance(docs.schema[row_id].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     n_docs, n_ids, n_distinct = docs.agg(F.count(F.lit(1)), F.count(row_id), F.count_distinct(row_id)).first()
     own = integer and n_docs == n_ids == n_distinct
@@ -491,10 +538,8 @@ def join(docs: DataFrame, measure: Measure = Measure(), row_id: str = "doc_id",
         rows = scratch.save(docs.select(F.col(row_id).alias("ref"), F.monotonically_increasing_id().alias("id"), F.col(text).alias("text")), "rows")
     bits = int(np.clip(np.ceil(np.log2(max(n_docs, 1) * COUNTERS_PER_TEXT)), LEAST_COUNTERS, MOST_COUNTERS))
     profiles = scratch.save(_profiles(rows, measure, bits), "profiles")
-    counts = _sketch(profiles, bits)
+    sketch = spark.sparkContext.broadcast(_sketch(profiles, bits))
     profiles = profiles.filter("chunk IS NULL").drop("chunk", "counts")
-    # what shares counters counts along with a token, so their mean load is in the threshold
-    frequent = 24 + int(2 * counts.mean())
     classes = scratch.save(profiles.filter("n > 0").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     texts = rows.select("id", "text")
     reps = classes.select(F.col("rep").alias("id"))
@@ -512,33 +557,27 @@ def join(docs: DataFrame, measure: Measure = Measure(), row_id: str = "doc_id",
     def both_ids(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
 
-    features = scratch.save(_features(of_reps, measure, spark.sparkContext.broadcast(counts), bits, frequent), "features")
-    settle()
+    features = scratch.save(_features(of_reps, measure, sketch, bits), "features")
     n_rare = features.agg(F.sum(F.octet_length("rare"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, n_rare // 8 // BUCKET_TOKENS)
     raw = scratch.save(_candidates(_postings(features, buckets), measure), "raw")
-    settle()
     large = raw.filter("token IS NOT NULL").select("token", "a", "n").unionByName(_frequent_postings(features))
     large = scratch.save(large, "large")
     pairs = raw.filter("token IS NULL").select("a", "b").unionByName(_star_pairs(large, scratch, measure)).distinct()
     likely = scratch.save(_filtered(pairs, features, measure), "likely")
-    settle()
     scratch.drop("raw", "features")
     sets = scratch.save(_sets(texts_of(both_ids(likely), "likely-ids"), measure, 32), "sets")
     links = scratch.save(_verified(likely, sets, measure, 32), "links")
     scratch.drop("sets", "likely")
-    settle()
     unsure = links.filter("NOT sure").select("a", "b")
     exact = _verified(unsure, scratch.save(_sets(texts_of(both_ids(unsure), "unsure-ids"), measure), "exact-sets"), measure, 64)
     links = scratch.save(links.filter("sure").select("a", "b").unionByName(exact.select("a", "b")), "all-links")
-    settle()
     roots = components(links, scratch, "first")
-    more = _block_links(large, roots, texts_of, scratch, measure)
+    more = _block_links(large, roots, texts_of, sketch, bits, scratch, measure)
     if more is not None:
         roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more), scratch, "second")
         scratch.drop("blocks")
     scratch.drop("large", "links", "all-links", "exact-sets")
-    settle()
     known = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("root", "rep").alias("component"))
     known = scratch.save(known, "components")
     # a class with a third of all rows is a skewed key of this join, which Spark splits

@@ -16,19 +16,19 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; where none is set, one that this sets.
+    """The session's checkpoint folder.
 
-    In local mode that is a temporary folder of the one machine there is, else
-    a folder in the warehouse, which all executors reach.
+    Where none is set, in local mode a temporary folder of the one machine
+    there is.  A cluster has to name a folder that all its executors reach:
+    any other would lose what they write.
     """
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
-        folder = "file://" + tempfile.mkdtemp(prefix="changeflow-")
-        atexit.register(_remove_local, folder)
-    else:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_changeflow"
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise ValueError(f"set {SETTING} to a folder that the driver and all executors share")
+    folder = "file://" + tempfile.mkdtemp(prefix="changeflow-")
+    atexit.register(_remove_local, folder)
     spark.conf.set(SETTING, folder)
     return folder
 
@@ -39,17 +39,21 @@ def _remove_local(folder: str) -> None:
     shutil.rmtree(folder.removeprefix("file://"), ignore_errors=True)
 
 
-#: Bytes of an Arrow batch between the JVM and Python workers, and the setting with its default.
-BATCH_BYTES, BATCH_SETTING, BATCH_DEFAULT = "8m", "spark.sql.execution.arrow.maxBytesPerBatch", ("64MB", "64m", "67108864", "67108864b")
+#: Bytes of an Arrow batch between the JVM and Python workers, and the setting.
+BATCH_BYTES, BATCH_SETTING = "8m", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Smaller Arrow batches than the session's default: texts are long, and
-    both sides hold whole batches.  A value that the user set stays."""
-    if spark.conf.get(BATCH_SETTING, BATCH_DEFAULT[0]) in BATCH_DEFAULT:
+    """Smaller Arrow batches than Spark's default: texts are long, and both
+    sides hold whole batches.  Whatever the user set stays."""
+    if not spark._jsparkSession.sessionState().conf().contains(BATCH_SETTING):
         spark.conf.set(BATCH_SETTING, BATCH_BYTES)
 
 
+#: Whether Spark deletes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """The tables of one run of an operator, each under a name of its own."""
 
@@ -66,12 +70,18 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, df: DataFrame, name: str, **options) -> DataFrame:
-        """Write ``df`` as Parquet and return what was written."""
-        writer = df.write
-        for key, value in options.items():
-            writer = writer.option(key, value)
-        writer.parquet(self.path(name))
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as Parquet and return what was written.
+
+        Its shuffle files go as soon as it is written; executors that are lost
+        while it is being written are made up for as ever.
+        """
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(self.path(name))
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

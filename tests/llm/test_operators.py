@@ -175,7 +175,7 @@ def test_chat_equals_sql(spark):
         for turn in range(25):
             lines = []
             for _ in range(draw.randrange(7)):
-                lines.append(draw.choice(["", "", "> ", ">", ">> ", "> > ", " >>>"]) + draw.choice(said) + draw.choice(["", "", "\r"]))
+                lines.append(draw.choice(["", "", "> ", ">", ">> ", "> > ", " >>>", ">" * draw.randrange(1, 40)]) + draw.choice(said) + draw.choice(["", "", "\r"]))
             rows.append((conv, turn if draw.random() < 0.95 else None, "u", "\n".join(lines) if draw.random() < 0.95 else None))
             if draw.random() < 0.1:
                 rows.append(rows[-1])
@@ -191,6 +191,18 @@ def test_chat_equals_sql(spark):
     assert ours.n_linked.sum() > 50 and ours.reply_to.notna().sum() > 20
 
 
+def test_chat_deep_quotes(spark):
+    """A level for each of many lines, and a line of very many marks: only lines count."""
+    import time
+
+    body = [f"line {i} of it" for i in range(3000)]
+    rows = [(1, 0, "u", "\n".join(body)), (1, 1, "a", "\n".join(">" * (i + 1) + x for i, x in enumerate(body)) + "\nyes"), (1, 2, "u", ">" * 200_000 + " yes\nno"), (1, 3, "a", "> " * 100_000 + "\nword " * 100_000)]
+    begun = time.monotonic()
+    got = {r.turn: r for r in chat.link(messages(spark, rows)).collect()}
+    assert time.monotonic() - begun < 60
+    assert [got[t].reply_to for t in range(4)] == [None, 0, 1, None] and got[1].n_linked == 3000 and got[2].text == "no"
+
+
 def test_chat_query_keeps_messages(spark, data):
     out = queries.op2_chat_formatting(spark, data)
     assert out.count() == spark.read.parquet(f"{data}/conversations.parquet").count()
