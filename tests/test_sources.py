@@ -167,9 +167,53 @@ def test_live_source(spark, tmp_path):
     assert [(r.lsn, bytes(r.data)) for r in spark.table("live").orderBy("lsn").collect()] == [(3, b"x3"), (4, b"x4"), (5, b"x5")]
 
 
+def test_jdbc_client(spark):
+    """On the embedded database that comes with Spark."""
+    client = replication.JdbcClient(spark, "jdbc:derby:memory:slots;create=true", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    client.execute("CREATE TABLE pg_publication (pubname VARCHAR(20))")
+    assert not replication.publication_exists(client, "p")
+    client.execute("INSERT INTO pg_publication VALUES ($1), ($2)", ("p", "q"))
+    assert replication.publication_exists(client, "p") and client.query("SELECT pubname FROM pg_publication WHERE pubname <> $2 OR pubname = $1 ORDER BY 1", ("q", "p")) == [("q",)]
+    with pytest.raises(Exception, match="NOT_THERE"):
+        client.query("SELECT * FROM not_there")
+
+
+def test_acknowledge_and_pending_messages(spark):
+    calls = []
+
+    class Recorder:
+        def execute(self, sql, params=()):
+            calls.append((sql, params))
+
+    replication.acknowledge(Recorder(), "s", 0x1_0000_00FF)
+    assert calls == [("SELECT pg_replication_slot_advance($1, $2::pg_lsn)", ("s", "1/FF"))]
+    with pytest.raises(Exception):  # no server here: the driver's class is asked for
+        replication.pending_messages(spark, connection.parse("postgres://u:p@localhost:1/d?sslmode=require"), "s", "p")
+
+
+def test_live_batches_end_with_transactions():
+    log = [(1, b"B"), (1, b"I1"), (2, b"I2"), (3, b"C"), (4, b"B"), (5, b"I3"), (6, b"C"), (7, b"B")]
+    reader = replication.LogReader({"feed": "x:y", "maxMessages": "2"})
+    reader._feed = lambda after, until=None: ((n, d) for n, d in log if n > after and (until is None or n <= until))
+    at, seen = {"lsn": 0}, []
+    for _ in range(3):
+        rows, at = reader.read(at)
+        seen.append((list(rows), at["lsn"]))
+    assert [x for _, x in seen] == [3, 6, 7] and [r for rows, _ in seen for r in rows] == log
+
+
 def test_fake_rows(spark):
-    r = fake.rows(spark, {"id": "int", "user_uuid": "uuid", "email": "text", "deleted_at": "timestamptz", "n": "numeric", "flag": "bool", "x": "json"}, 50, "id", "int", 3)
-    assert r.count() == 50 and r.filter("email NOT LIKE '%@example.com' OR length(user_uuid) <> 36 OR id NOT BETWEEN -100000 AND 100000").count() == 0
+    columns = {"k": "int", "small": "smallint not null", "u": "uuid", "t": "varchar(9) null", "long": "char(70)", "d": "numeric(6,2)", "n": "numeric", "f": "double precision", "b": "bool", "at": "timestamptz", "day": "date", "j": "jsonb", "a": "_int4", "x": "text[]", "raw": "bytea", "odd": "some_type?"}
+    made = lambda seed, parts=1: fake.rows(spark, columns, 400, "k", "int", seed).repartition(parts).orderBy("k")
+    r = made(3).persist()
+    assert made(3, 4).collect() == r.collect() and made(4).collect() != r.collect()
+    assert r.select("k").distinct().count() == 400 and r.filter("k < 0").count() > 50
+    good = (
+        "small BETWEEN -32768 AND 32767 AND u RLIKE '^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$' AND (t IS NULL OR length(t) <= 9) AND length(long) BETWEEN 33 AND 70 AND abs(d) < 10000 AND "
+        "b IS NOT NULL AND to_timestamp(at) IS NOT NULL AND to_date(day) IS NOT NULL AND get_json_object(j, '$.n') IS NOT NULL AND size(a) <= 3 AND size(x) <= 3 AND length(raw) = 16 AND odd IS NOT NULL AND f IS NOT NULL AND n IS NOT NULL"
+    )
+    assert r.filter(good).count() == 400 and 20 < r.filter("t IS NULL").count() < 90 and r.filter("small < -16384").count() > 50
+    assert dict(r.dtypes)["a"] == "array<bigint>" or dict(r.dtypes)["a"] == "array<int>"
 
 
 def test_log_between(spark, data):
