@@ -148,10 +148,10 @@ class Commands:
         self.say(f"failed events: {self.state.all_failures().count()}")
         return rows
 
-    def backfill(self, name: str, parts: int = 1, resume: bool = False) -> scan.Progress:
+    def backfill(self, name: str, parts: int = 1, resume: bool = False, batch_size: int | None = None) -> scan.Progress:
         m = self.mapping(name)
         self.check()
-        done = pipelines.backfill(self.table(m), m, self.store, self.state, self.functions().get(name), parts, resume)
+        done = pipelines.backfill(self.table(m), m, self.store, self.state, self.functions().get(name), parts, resume, batch_size=batch_size)
         self.say(done.line())
         return done
 
@@ -170,11 +170,11 @@ class Commands:
             self.say(f"{k}: {v}")
         return row
 
-    def dlq_retry(self, mapping: str | None = None) -> int:
+    def dlq_retry(self, mapping: str | None = None, key: str | None = None) -> int:
         root = self.project.environment["LOG_PATH"]
         log = self.spark.read.parquet(root)
         mappings = [m for m in self.mappings() if mapping in (None, m.name)]
-        done = pipelines.retry_failures(log, mappings, self.store, self.state, mapping, self.functions())
+        done = pipelines.retry_failures(log, mappings, self.store, self.state, mapping, self.functions(), key)
         self.say(f"{done} of the failed events went through")
         return done
 
@@ -230,13 +230,16 @@ def parser() -> argparse.ArgumentParser:
     b = sub.add_parser("backfill")
     b.add_argument("mapping")
     b.add_argument("--parts", type=int, default=1)
+    b.add_argument("--batch-size", type=int)
     b.add_argument("--resume", action="store_true")
     d = sub.add_parser("dlq").add_subparsers(dest="action", required=True)
     one = d.add_parser("list")
     one.add_argument("--mapping")
     one.add_argument("--limit", type=int, default=50)
     d.add_parser("show").add_argument("id")
-    d.add_parser("retry").add_argument("--mapping")
+    one = d.add_parser("retry")
+    one.add_argument("--mapping")
+    one.add_argument("--id")
     one = d.add_parser("clear")
     one.add_argument("--mapping")
     one.add_argument("--all", action="store_true")
@@ -252,11 +255,11 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None, envir
         project = config.project(a.project, environment)
         c = Commands(spark or SparkSession.builder.appName("changeflow").getOrCreate(), project)
         if a.command == "dlq":
-            {"list": lambda: c.dlq_list(a.mapping, a.limit), "show": lambda: c.dlq_show(a.id), "retry": lambda: c.dlq_retry(a.mapping), "clear": lambda: c.dlq_clear(a.mapping, a.all)}[a.action]()
+            {"list": lambda: c.dlq_list(a.mapping, a.limit), "show": lambda: c.dlq_show(a.id), "retry": lambda: c.dlq_retry(a.mapping, a.id), "clear": lambda: c.dlq_clear(a.mapping, a.all)}[a.action]()
         else:
             {
                 "setup": c.setup, "status": c.status, "reset": c.reset, "dangerously-delete-config": c.delete_config, "dangerously-reset-namespaces": c.reset_namespaces,
-                "new": lambda: c.new(a.name), "migrate": lambda: c.migrate(a.dry_run), "run": lambda: c.run(a.skip_migrate), "backfill": lambda: c.backfill(a.mapping, a.parts, a.resume),
+                "new": lambda: c.new(a.name), "migrate": lambda: c.migrate(a.dry_run), "run": lambda: c.run(a.skip_migrate), "backfill": lambda: c.backfill(a.mapping, a.parts, a.resume, a.batch_size),
             }[a.command]()
     except (ConfigError, migrations.MigrationError, scan.RelationError, KeyError) as problem:
         print(f"error: {problem}", file=sys.stderr)

@@ -30,60 +30,39 @@ def pack_rows(rows: DataFrame, group: list[str], order: list[str], max_rows: int
 
 
 def pack(rows: DataFrame, group: list[str], order: list[str], size: Column, limits: Batching = Batching()) -> DataFrame:
-    """``batch``: greedy packing under both limits.
+    """``batch``: greedy packing under both limits, by an expression for the size.
 
     A batch is closed before a row that would exceed either limit; a row that
-    is too large alone has a batch of its own.  Greedy cuts depend on all rows
-    before, so a group is folded in order: in one row per group that holds
-    sizes only, no documents.  A group is one namespace and transaction.
+    is too large alone has a batch of its own.
     """
-    keyed = rows.withColumn("_size", size).withColumn("_order", F.struct(*order)).withColumn("_id", F.monotonically_increasing_id())
-    # by position: the fold sees sizes, the cuts come back by a generator over the same order
-    lists = keyed.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_order", "_id", "_size"))).alias("_rows"))
-    start = F.struct(F.lit(0).cast("long").alias("batch"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bytes"), F.array().cast("array<long>").alias("cuts"))
-
-    def step(state: Column, row: Column) -> Column:
-        s = row["_size"]
-        full = (state["n"] > 0) & ((state["n"] >= limits.max_rows) | (state["bytes"] + s > limits.max_bytes))
-        batch = state["batch"] + full.cast("long")
-        return F.struct(
-            batch.alias("batch"), F.when(full, F.lit(1).cast("long")).otherwise(state["n"] + 1).alias("n"),
-            F.when(full, s).otherwise(state["bytes"] + s).alias("bytes"),
-            F.when(full, F.concat(state["cuts"], F.array(row["_id"]))).otherwise(state["cuts"]).alias("cuts"),
-        )
-
-    # only the first row of each further batch is kept in the state, so it stays small
-    folded = lists.select(*group, F.col("_rows"), F.aggregate("_rows", start, step)["cuts"].alias("_cuts"))
-    opened = folded.select(*group, F.col("_rows"), F.transform("_cuts", lambda c: F.array_position(F.transform("_rows", lambda r: r["_id"]), c)).alias("_first"))
-    numbered = opened.select(F.posexplode("_rows").alias("_at", "_row"), "_first")
-    batch = F.size(F.filter("_first", lambda p: p <= F.col("_at") + 1)).cast("long")
-    numbers = numbered.select(F.col("_row._id").alias("_id"), batch.alias("batch"))
-    return keyed.join(numbers, "_id").drop("_id", "_size", "_order")
+    return pack_groups(rows.withColumn("_size", size.cast("long")), group, order, "_size", limits).drop("_size")
 
 
 def pack_groups(rows: DataFrame, group: list[str], order: list[str], size_column: str, limits: Batching = Batching()) -> DataFrame:
-    """The same for groups of any size: rows stream through in order, and the
-    state is two numbers.  Groups are spread by key and sorted on disk."""
+    """The same by a column of sizes, for groups of any size: greedy cuts
+    depend on all rows before, so rows stream through in order, and the state
+    is three numbers.  Groups are spread by key and sorted on disk."""
     from pyspark.sql import types as T
 
     spec = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
 
-    def run(frames):
-        import pandas as pd
+    def run(batches):
+        import pyarrow as pa
 
-        key, batch, n, size = None, 0, 0, 0
-        for pdf in frames:
+        key, batch, n, total = None, 0, 0, 0
+        for part in batches:
             out = []
-            for k, s in zip(pdf[group].itertuples(index=False, name=None), pdf[size_column], strict=True):
+            for *k, s in zip(*[part.column(c).to_pylist() for c in [*group, size_column]], strict=True):
+                s = s or 0
                 if k != key:
-                    key, batch, n, size = k, 0, 0, 0
-                if n and (n >= limits.max_rows or size + s > limits.max_bytes):
-                    batch, n, size = batch + 1, 0, 0
-                n, size = n + 1, size + s
+                    key, batch, n, total = k, 0, 0, 0
+                elif n >= limits.max_rows or total + s > limits.max_bytes:
+                    batch, n, total = batch + 1, 0, 0
+                n, total = n + 1, total + s
                 out.append(batch)
-            yield pdf.assign(batch=pd.array(out, "int64"))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.int64())], names=spec.names)
 
-    return rows.repartition(*group).sortWithinPartitions(*group, *order).mapInPandas(run, spec)
+    return rows.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(run, spec)
 
 
 def requests(actions: DataFrame, group: list[str] = ["namespace", "txid", "batch"]) -> DataFrame:  # noqa: B006

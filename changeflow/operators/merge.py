@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Columns of a stored namespace.  A deleted document stays as a tombstone, so
 #: that an older upsert that comes late does not bring it back.
 STORED = "namespace string, id_kind string, id string, version long, deleted boolean, doc string, distance_metric string"
 
-#: The same with when a row was stored and whether its version counts.
-ARRIVED = STORED + ", arrived long, versioned boolean"
+#: A position in the log.
+PLACE = "struct<lsn:long,seq:int>"
+
+#: The same with when a row was stored, whether its version counts, and for
+#: versions taken from a column where the log had the row (``place``) and the
+#: last delete before it (``epoch``); both are null for versions by lsn.
+ARRIVED = STORED + f", arrived long, versioned boolean, place {PLACE}, epoch {PLACE}"
 
 
 def net_change(actions: DataFrame) -> DataFrame:
@@ -22,10 +27,31 @@ def net_change(actions: DataFrame) -> DataFrame:
     return last.select("namespace", "_last.*")
 
 
+def net_change_by_version(actions: DataFrame) -> DataFrame:
+    """The same where a column gives the versions (``version`` of ``actions``).
+
+    Deletes count in the order of the log whatever the version of what they
+    delete; of the upserts behind the last delete of a document the highest
+    version stays, of equal ones the first.  ``epoch`` is the place of that
+    delete.
+    """
+    keys = ["namespace", "_k", "_t"]
+    place = F.struct(F.col("lsn").cast("long").alias("lsn"), F.col("seq").cast("int").alias("seq"))
+    rows = actions.withColumns({"_k": F.col("id.kind"), "_t": F.col("id.text"), "place": place})
+    row = F.struct("type", "id", "doc", "distance_metric", "lsn", "seq", "txid", "mapping", "version", "place")
+    gone = rows.filter("type = 'delete'").groupBy(*keys).agg(F.max_by(row, "place").alias("_last"))
+    epochs = gone.select(*keys, F.col("_last.place").alias("epoch"))
+    behind = rows.filter("type = 'upsert'").join(epochs, keys, "left").filter("epoch IS NULL OR place > epoch")
+    best = behind.groupBy(*keys).agg(F.max_by(row, F.struct("version", -F.col("lsn"), -F.col("seq"))).alias("_last"), F.max("epoch").alias("epoch"))
+    alone = gone.join(best.select(*keys), keys, "left_anti").select(*keys, "_last", F.col("_last.place").alias("epoch"))
+    never = F.struct(F.lit(-1).cast("long").alias("lsn"), F.lit(0).alias("seq"))
+    return best.unionByName(alone).select("namespace", "_last.*", F.coalesce("epoch", never).alias("epoch"))
+
+
 def as_stored(changes: DataFrame, version: str = "lsn") -> DataFrame:
     return changes.select(
         "namespace", F.col("id.kind").alias("id_kind"), F.col("id.text").alias("id"), F.col(version).cast("long").alias("version"),
-        (F.col("type") == "delete").alias("deleted"), "doc", "distance_metric",
+        (F.col("type") == "delete").alias("deleted"), "doc", "distance_metric", *[c for c in ("place", "epoch") if c in changes.columns],
     )
 
 
@@ -52,17 +78,26 @@ def merge(stored: DataFrame, incoming: DataFrame, versioned: bool = True, preser
     return out.select("namespace", "id_kind", "id", "_best.version", "_best.deleted", doc.alias("doc"), "_best.distance_metric")
 
 
-def best(rows: DataFrame) -> DataFrame:
+def best(rows: DataFrame, epochs: bool = False) -> DataFrame:
     """The row that counts of each document, of all that were stored.
 
     With versions the newest, and of equal versions the one stored first;
-    a row stored without versions replaces all that were there before.
+    a row stored without versions replaces all that were there before.  With
+    ``epochs`` (versions from a column) rows that lie before the last delete of
+    their document don't count, and a delete counts if nothing lies behind it.
     """
+    keys = ["namespace", "id_kind", "id"]
     order = F.struct(
         F.when(F.col("versioned"), F.col("version")).otherwise(F.lit(2**63 - 1)).alias("v"), F.when(F.col("versioned"), -F.col("arrived")).otherwise(F.col("arrived")).alias("a")
     )
-    found = rows.groupBy("namespace", "id_kind", "id").agg(F.max_by(F.struct("version", "deleted", "doc", "distance_metric", "arrived", "versioned"), order).alias("b"))
-    return found.select("namespace", "id_kind", "id", "b.version", "b.deleted", "b.doc", "b.distance_metric", "b.arrived", "b.versioned")
+    if epochs:
+        last = F.max("epoch").over(Window.partitionBy(*keys))  # a document has a row in each folder at most
+        rows = rows.withColumn("_last", last).filter("epoch IS NULL OR epoch = _last OR place > _last").drop("_last")
+        # a tombstone of this kind gives way to any row that counts besides it
+        order = F.struct((~F.col("deleted") | F.col("epoch").isNull()).alias("there"), *[order[c].alias(c) for c in ("v", "a")])
+    names = ["version", "deleted", "doc", "distance_metric", "arrived", "versioned", "place"]
+    found = rows.groupBy(*keys).agg(F.max_by(F.struct(*names), order).alias("b"), F.max("epoch").alias("epoch"))
+    return found.select(*keys, *[f"b.{c}" for c in names], "epoch")
 
 
 def exit_deletes(events: DataFrame, was: str, now: str) -> DataFrame:

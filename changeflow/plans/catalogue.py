@@ -8,16 +8,17 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import ids, lsn, text, values
-from ..model import Batching, Mapping, Membership
+from ..model import Batching, Mapping, Membership, Versioning
 from ..operators import batch, merge, predicate, project, route, transform
 from ..sources import changelog, fake, pgoutput, replication, scan
-from ..streaming import namespace
+from ..streaming import namespace, run
 from . import migrations, state
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,6 +263,23 @@ def versioned_merge(spark: SparkSession, folder: str) -> DataFrame:
     return merge.merge(old, new).select("id", "version", "doc")
 
 
+@query(f"""WITH {LOG}, gone AS (SELECT user_id, max(lsn) AS lsn FROM log WHERE op = 'delete' GROUP BY user_id),
+  behind AS (SELECT l.* FROM log l LEFT JOIN gone g USING (user_id) WHERE op <> 'delete' AND (g.lsn IS NULL OR l.lsn > g.lsn))
+  SELECT user_id::VARCHAR AS id, max(k) AS version, first(event_type ORDER BY k DESC, lsn) AS event_type FROM behind GROUP BY user_id""")
+def column_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The namespace of a mapping whose versions are a column's values, after three batches: deletes
+    count in the order of the log, and what comes behind one starts anew."""
+    versioned = replace(USERS, name="versioned", columns=("event_type", "k"), versioning=Versioning("column", "k"))
+    made = project.writes(project.identity_actions(log(spark, folder), versioned))
+    parts = None
+    for at, part in enumerate(("lsn <= 150", "lsn > 150 AND lsn <= 400", "lsn > 400")):
+        ((rows, _),) = run.stored_changes(made.filter(part), [versioned])
+        rows = rows.withColumn("arrived", F.lit(at).cast("long")).withColumn("versioned", F.lit(True))
+        parts = rows if parts is None else parts.unionByName(rows)
+    stored = merge.live(merge.best(parts, epochs=True))
+    return stored.select("id", "version", F.get_json_object("doc", "$.event_type").alias("event_type"))
+
+
 @query(f"WITH {LOG} SELECT count(DISTINCT user_id) AS n_ids, count(*) FILTER (WHERE op = 'delete') AS n_deletes FROM log")
 def action_counts(spark: SparkSession, folder: str) -> DataFrame:
     made = project.writes(project.identity_actions(log(spark, folder), USERS))
@@ -359,7 +377,7 @@ def readback_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def fake_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return fake.rows(spark, {"id": "integer", "email": "text", "status": "text", "price": "numeric", "created_at": "timestamptz", "is_active": "bool", "tags": "_text", "note": "varchar"}, 1000, "id", "uint", seed=7)
+    return fake.rows(spark, {"key": "bigint", "small": "smallint", "code": "varchar(12)", "note": "text null", "weight": "numeric(10,2)", "made": "timestamptz", "flag": "boolean", "parts": "uuid[]"}, 1000, "key", "uint", seed=7)
 
 
 # The server's messages
@@ -388,7 +406,8 @@ def _messages(frames: Iterator) -> Iterator:
                 out.append((at, -1, relation))
             full = struct.pack(">h", 3) + cell(int(r.user_id)) + cell(r.event_type) + cell(repr(float(r.value)))
             key = struct.pack(">h", 3) + cell(int(r.user_id)) + b"n" + b"n"
-            body = {"signup": b"I" + struct.pack(">I", 1) + b"N" + full, "error": b"D" + struct.pack(">I", 1) + b"K" + key}.get(r.event_type, b"U" + struct.pack(">I", 1) + b"N" + full)
+            before = b"K" + key if r.event_type == "click" else b""  # some updates send what they replace
+            body = {"signup": b"I" + struct.pack(">I", 1) + b"N" + full, "error": b"D" + struct.pack(">I", 1) + b"K" + key}.get(r.event_type, b"U" + struct.pack(">I", 1) + before + b"N" + full)
             out.append((at, int(r.event_id % 10), body))
             if r.event_id % 10 == 9:
                 out.append((at, 10, b"C" + struct.pack(">BQQq", 0, r.event_id // 10 + 1, at, int(r.event_id) * 1000)))
@@ -396,13 +415,13 @@ def _messages(frames: Iterator) -> Iterator:
         yield pd.DataFrame(out, columns=["lsn", "seq", "data"])
 
 
-@query(f"WITH {LOG} SELECT op, lsn, seq, txid, user_id, event_type, value FROM log WHERE txid < (SELECT count(*) // 10 FROM events)")
+@query(f"WITH {LOG} SELECT op, lsn, seq, txid, user_id, event_type, value, CASE WHEN op = 'delete' OR event_type = 'click' THEN user_id END AS old_user FROM log WHERE txid < (SELECT count(*) // 10 FROM events)")
 def replication_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Encoded, decoded, put into transactions and typed; an open transaction is left out."""
     messages = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value").mapInPandas(_messages, "lsn long, seq int, data binary")
     rows = pgoutput.as_rows(pgoutput.events(pgoutput.decoded(messages)), "public", "users", T._parse_datatype_string("user_id long, event_type string, value double"))
     row = F.coalesce("new", "old")
-    return rows.select("op", "lsn", "seq", "txid", *[row.getField(c).alias(c) for c in ("user_id", "event_type", "value")])
+    return rows.select("op", "lsn", "seq", "txid", *[row.getField(c).alias(c) for c in ("user_id", "event_type", "value")], F.col("old.user_id").alias("old_user"))
 
 
 @query("""SELECT event_id, 'int' AS k20, CASE event_type WHEN 'view' THEN true ELSE false END AS as_bool, user_id AS as_int, value AS as_float, NULL::BIGINT AS not_int FROM events""")
@@ -495,7 +514,8 @@ def missing_tables(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT DISTINCT 'ns_' || source AS namespace FROM documents")
 def distinct_namespaces(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(F.concat(F.lit("ns_"), "source").alias("namespace")).distinct()
+    made = table(spark, folder, "documents").select(F.concat(F.lit("ns_"), "source").alias("namespace"))
+    return namespace.distinct_namespaces(made)
 
 
 @query("SELECT n_name AS path FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900)")

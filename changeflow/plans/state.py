@@ -200,5 +200,17 @@ class State:
     def delete_failures(self, keys: list[str]) -> int:
         return self._remove("dlq", F.col("id").isin(*keys))
 
+    def settle_failures(self, outcome: DataFrame) -> int:
+        """Of the ids of a table those ``done`` go, the others count a retry; how many went."""
+        old = self._read("dlq")
+        marked = old.join(outcome.select("id", F.col("done").alias("_done")), "id", "left").persist()
+        try:
+            gone = marked.filter("_done").count()
+            left = marked.filter("NOT coalesce(_done, false)").withColumn("retry_count", F.col("retry_count") + F.col("_done").isNotNull().cast("int"))
+            self._replace("dlq", left.select(*old.columns))
+            return gone
+        finally:
+            marked.unpersist()
+
     def clear_failures(self, mapping: str | None = None) -> int:
         return self._remove("dlq", F.lit(True) if mapping is None else F.col("mapping_name") == mapping)

@@ -25,6 +25,8 @@ BINARY = "<binary>"
 
 COLUMN = "struct<flags:int,name:string,type_oid:long,modifier:int>"
 CELL = "struct<kind:string,text:string>"
+#: Up to so many relation messages are broadcast.
+FEW_RELATIONS = 10_000
 SCHEMA = (
     "lsn long, seq int, kind string, error string, xid long, final_lsn long, end_lsn long, time long, flags int, oid long, schema string, table string, identity string, "
     f"columns array<{COLUMN}>, old_kind string, old array<{CELL}>, new array<{CELL}>, relations array<long>, prefix string, content binary"
@@ -165,13 +167,36 @@ def _row_map(cells: Column, columns: Column) -> Column:
     return F.map_from_entries(F.transform(sent, entry))
 
 
+#: Positions of the log within which a running value is carried by one task.
+STRETCH = 1 << 24
+
+
+def _latest(rows: DataFrame, marks: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``rows`` with the ``value`` of the latest of ``marks`` before them, with equal keys.
+
+    An as-of join on the log's order: the log is cut into stretches, a value
+    runs on within one, and what earlier ones end with is carried over.  So a
+    table or a log of any length is spread over its stretches.
+    """
+    kind = marks.schema[value].dataType
+    pads = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns if c not in ("lsn", "seq", *keys)]
+    both = rows.select("*", F.lit(None).cast(kind).alias(value), F.lit(True).alias("_row")).unionByName(marks.select("lsn", "seq", *keys, *pads, value, F.lit(False).alias("_row")))
+    both = both.withColumn("_stretch", F.floor(F.col("lsn") / STRETCH))
+    inside = Window.partitionBy(*keys, "_stretch").orderBy("lsn", "seq", F.col("_row").asc()).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    ends = both.groupBy(*keys, "_stretch").agg(F.max_by(value, F.when(~F.col("_row"), F.struct("lsn", "seq"))).alias("_end"))
+    carried = ends.select(*keys, "_stretch", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    near = both.withColumn("_near", F.last(value, ignorenulls=True).over(inside)).filter("_row")
+    return near.join(carried, [*keys, "_stretch"]).withColumn(value, F.coalesce("_near", "_carried")).drop("_near", "_carried", "_stretch", "_row")
+
+
 def events(messages: DataFrame) -> DataFrame:
     """Row events of decoded messages, ``new`` and ``old`` as maps of JSON values.
 
     The relation of a row is the latest one sent for its number before it; the
-    transaction is that of the latest begin.  Both are carried forward by
-    windows: relations per number, transactions over ranges of the log that
-    end with a commit, so nothing but a running value is held.
+    transaction is that of the latest begin.  Relations are few and rows of one
+    are many: up to ``FEW_RELATIONS`` are counted and broadcast with the part of
+    the log that they hold for, more are joined by stretches of the log.
     """
     order = ["lsn", "seq"]
     log = messages.filter("error IS NULL")
@@ -179,22 +204,17 @@ def events(messages: DataFrame) -> DataFrame:
     begins = log.filter("kind = 'begin'").select(F.struct(*order).alias("from"), "xid", "final_lsn", "time")
     commits = log.filter("kind = 'commit'").select(F.struct(*order).alias("to"), F.col("final_lsn").alias("c_final"))
     whole = begins.join(commits, begins.final_lsn == commits.c_final).select("from", "to", "xid", "time")
-    rows = log.filter(F.col("kind").isin("insert", "update", "delete", "relation"))
-    per_relation = Window.partitionBy("oid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    relation = F.last(F.when(F.col("kind") == "relation", F.struct("schema", "table", "columns")), ignorenulls=True).over(per_relation)
-    known = rows.withColumn("relation", relation).filter("kind <> 'relation' AND relation IS NOT NULL")
+    rows = log.filter(F.col("kind").isin("insert", "update", "delete")).select(*order, "kind", "oid", "old_kind", "old", "new")
+    relations = log.filter("kind = 'relation'").select(*order, "oid", F.struct("schema", "table", "columns").alias("relation"))
+    if not messages.isStreaming and relations.count() <= FEW_RELATIONS:
+        until = F.lead(F.struct(*order)).over(Window.partitionBy("oid").orderBy(*order))
+        spans = relations.select(F.col("oid").alias("r_oid"), F.struct(*order).alias("since"), until.alias("until"), "relation")
+        place = F.struct(F.col("lsn"), F.col("seq"))
+        known = rows.join(F.broadcast(spans), (F.col("oid") == F.col("r_oid")) & (place > F.col("since")) & (F.col("until").isNull() | (place < F.col("until")))).drop("r_oid", "since", "until")
+    else:
+        known = _latest(rows, relations, ["oid"], "relation").filter("relation IS NOT NULL")
     marks = whole.select(F.col("from.lsn").alias("lsn"), F.col("from.seq").alias("seq"), F.struct("from", "to", "xid", "time").alias("tx"))
-    # an as-of join on the log's order: range-sorted union, last transaction before each row
-    both = known.withColumn("tx", F.lit(None).cast(marks.schema["tx"].dataType)).select("lsn", "seq", "kind", "oid", "old_kind", "old", "new", "relation", "tx")
-    pads = [F.lit(None).cast(both.schema[c].dataType).alias(c) for c in ("kind", "oid", "old_kind", "old", "new", "relation")]
-    union = both.unionByName(marks.select("lsn", "seq", *pads, "tx"))
-    stretch = F.floor(F.col("lsn") / STRETCH)
-    inside = Window.partitionBy("stretch").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    union = union.withColumn("stretch", stretch)
-    ends = union.groupBy("stretch").agg(F.max_by("tx", F.when(F.col("tx").isNotNull(), F.struct(*order))).alias("end"))
-    carried = ends.select("stretch", F.last("end", ignorenulls=True).over(Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
-    seen = union.withColumn("near", F.last("tx", ignorenulls=True).over(inside)).filter("kind IS NOT NULL").join(carried, "stretch")
-    seen = seen.withColumn("tx", F.coalesce("near", "carried")).filter(F.col("tx").isNotNull() & (F.struct(*order) < F.col("tx.to")))
+    seen = _latest(known, marks, [], "tx").filter(F.col("tx").isNotNull() & (F.struct(*order) < F.col("tx.to")))
     gone = F.filter(F.zip_with(F.col("relation.columns"), F.coalesce("new", "old"), lambda c, v: F.when(v["kind"] == "u", c["name"])), lambda x: x.isNotNull())
     return seen.select(
         F.col("kind").alias("op"), F.col("relation.schema").alias("schema"), F.col("relation.table").alias("table"),
@@ -204,10 +224,6 @@ def events(messages: DataFrame) -> DataFrame:
     )
 
 
-#: Positions of the log within which a running value is carried by one task.
-STRETCH = 1 << 24
-
-
 def as_rows(mixed: DataFrame, schema: str, table: str, row: T.StructType) -> DataFrame:
     """The events of one relation with typed rows: JSON values by the row's schema.
 

@@ -1,23 +1,28 @@
 """Control of replication slots and publications, and the live log as a data source.
 
 The control plane runs outside Spark on a connection object with
-``query(sql, params) -> rows`` and ``execute(sql, params)``; any driver of the
-database can be wrapped so.
+``query(sql, params) -> rows`` and ``execute(sql, params)``: ``JdbcClient``, or
+any other driver of the database wrapped so.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, InputPartition, SimpleDataSourceStreamReader
 
 from ..functions.text import quoted, quoted_table, table_parts
+from .connection import Connection
 
 PLUGIN = "pgoutput"
+PARAMETER = re.compile(r"\$([0-9]+)")
+#: Messages after which a micro-batch of the live source ends with its transaction.
+MAX_MESSAGES = 100_000
 
 
 class Client(Protocol):
@@ -26,6 +31,66 @@ class Client(Protocol):
     def execute(self, sql: str, params: tuple = ()) -> None: ...
 
 
+class JdbcClient:
+    """The client over JDBC, on the driver's virtual machine: any database that
+    Spark can read, encrypted as the URL says.  Parameters are ``$1``, ``$2`` ...;
+    each call has a connection of its own, so none goes stale between polls."""
+
+    def __init__(self, spark: SparkSession, url: str, user: str | None = None, password: str | None = None, driver: str | None = None):
+        self.jvm, self.url, self.user, self.password = spark._jvm, url, user, password
+        if driver:
+            self.jvm.java.lang.Class.forName(driver, True, self.jvm.java.lang.Thread.currentThread().getContextClassLoader())
+
+    def _run(self, sql: str, params: tuple, read: Callable):
+        properties = self.jvm.java.util.Properties()
+        for key, value in (("user", self.user), ("password", self.password)):
+            if value is not None:
+                properties.setProperty(key, value)
+        connection = self.jvm.java.sql.DriverManager.getConnection(self.url, properties)
+        try:
+            order = [int(n) for n in PARAMETER.findall(sql)]
+            statement = connection.prepareStatement(PARAMETER.sub("?", sql))
+            for at, n in enumerate(order, 1):
+                statement.setObject(at, params[n - 1])
+            return read(statement)
+        finally:
+            connection.close()
+
+    def query(self, sql: str, params: tuple = ()) -> list[tuple]:
+        def read(statement) -> list[tuple]:
+            found, rows = statement.executeQuery(), []
+            width = found.getMetaData().getColumnCount()
+            while found.next():
+                rows.append(tuple(found.getObject(i) for i in range(1, width + 1)))
+            return rows
+
+        return self._run(sql, params, read)
+
+    def execute(self, sql: str, params: tuple = ()) -> None:
+        self._run(sql, params, lambda statement: statement.execute())
+
+
+def client_of(spark: SparkSession, connection: Connection) -> JdbcClient:
+    """The client of a connection string (``connection.parse``)."""
+    options = connection.jdbc("")
+    return JdbcClient(spark, options["url"], options["user"], options["password"], options["driver"])
+
+
+def pending_messages(spark: SparkSession, connection: Connection, slot_name: str, publication: str, most: int = MAX_MESSAGES) -> DataFrame:
+    """The next messages of a slot as (lsn, seq, data), read by Spark's JDBC
+    source: about ``most``, whole transactions.  They stay in the slot until
+    ``acknowledge`` is called, so a batch that fails is read again."""
+    literal = lambda x: "'" + x.replace("'", "''") + "'"
+    changes = f"pg_logical_slot_peek_binary_changes({literal(slot_name)}, NULL, {int(most)}, 'proto_version', '1', 'publication_names', {literal(publication)})"
+    polled = f"(SELECT (lsn - '0/0'::pg_lsn)::bigint AS lsn, row_number() OVER ()::int AS seq, data FROM {changes}) AS polled"
+    return spark.read.format("jdbc").options(**connection.jdbc(polled)).load()
+
+
+def acknowledge(client: Client, slot_name: str, lsn: int) -> None:
+    """Let the server forget what is done."""
+    client.execute("SELECT pg_replication_slot_advance($1, $2::pg_lsn)", (slot_name, f"{lsn >> 32:X}/{lsn & 0xFFFFFFFF:X}"))
+
+
 class ReplicationError(RuntimeError):
     """A slot or publication is not there."""
 
@@ -150,8 +215,9 @@ class LogSource(DataSource):
 
     Options: ``feed``, the import path ``module:function`` of a function
     (options, after lsn) -> iterable of (lsn, bytes) of whole transactions,
-    and ``startingLsn``.  The offset is the last lsn; Spark keeps it in its
-    offset log and gives it back after a restart.
+    ``startingLsn``, and ``maxMessages``: a micro-batch ends with the first
+    transaction that reaches so many.  The offset is the last lsn; Spark keeps
+    it in its offset log and gives it back after a restart.
     """
 
     @classmethod
@@ -182,7 +248,14 @@ class LogReader(SimpleDataSourceStreamReader):
         return {"lsn": int(self.options.get("startinglsn", self.options.get("startingLsn", 0)))}
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows = list(self._feed(start["lsn"]))
+        most = int(self.options.get("maxmessages", self.options.get("maxMessages", MAX_MESSAGES)))
+        rows, open_transaction = [], False
+        for lsn, data in self._feed(start["lsn"]):
+            # offsets are positions, so a batch may end where the position changes and no transaction is open
+            if len(rows) >= most and not open_transaction and lsn != rows[-1][0]:
+                break
+            open_transaction = {b"B": True, b"C": False}.get(data[:1], open_transaction)
+            rows.append((lsn, data))
         return iter(rows), {"lsn": rows[-1][0] if rows else start["lsn"]}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:  # noqa: N802

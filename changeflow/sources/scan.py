@@ -66,9 +66,19 @@ def last_cursor(rows: DataFrame, key: str) -> str | None:
     return found[0]
 
 
-def id_ranges(table: DataFrame, key: str, parts: int) -> list[tuple[object, object]]:
-    """Bounds (above, up to) that cut a table into about equal parts by key;
-    a backfill that records them resumes by part."""
+def cursor_of(spark: SparkSession, value, dtype) -> str | None:
+    """The cursor text of a key."""
+    if value is None:
+        return None
+    return spark.range(1).select(cursor(F.lit(value).cast(dtype), dtype)).first()[0]
+
+
+def id_ranges(table: DataFrame, key: str, parts: int, batch_size: int | None = None, rows: int | None = None) -> list[tuple[object, object]]:
+    """Bounds (above, up to) that cut a table into about equal parts by key,
+    as many as asked for or as hold ``batch_size`` of ``rows`` rows; a backfill
+    that records them resumes by part."""
+    if batch_size:
+        parts = max(parts, -(-(rows or 0) // batch_size))
     if parts < 2:
         return [(None, None)]
     dtype = table.schema[key].dataType
@@ -85,8 +95,11 @@ def id_ranges(table: DataFrame, key: str, parts: int) -> list[tuple[object, obje
 
 
 def estimate(table: DataFrame, counted: int | None = None) -> int | None:
-    """The number of rows, from statistics if given; not positive is unknown."""
-    n = table.count() if counted is None else counted
+    """The number of rows, from statistics if given or known to the optimizer, else counted; not positive is unknown."""
+    n = counted
+    if n is None:
+        known = table._jdf.queryExecution().optimizedPlan().stats().rowCount()  # of tables that were analysed, and ranges
+        n = int(known.get().toString()) if known.isDefined() else table.count()
     return n if n > 0 else None
 
 

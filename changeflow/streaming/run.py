@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..model import Mapping
 from ..operators import merge, project, route, transform
 from ..plans.state import State
 from ..sources import scan
-from .namespace import Store
+from .namespace import Remote, Store
 
 Functions = dict[str, Callable]
 
@@ -54,13 +54,25 @@ def with_versions(changes: DataFrame, mappings: Iterable[Mapping]) -> DataFrame:
     return changes.withColumn("version", version)
 
 
+def stored_changes(writes: DataFrame, mappings: list[Mapping]) -> list[tuple[DataFrame, bool]]:
+    """Net changes of mappings in the stored form, by how their versions count."""
+    out = []
+    for mode in ("source_lsn", "column", "none"):
+        group = [m for m in mappings if m.versioning.mode == mode]
+        if group:
+            own = writes.filter(F.col("mapping").isin(*[m.name for m in group])) if len(group) < len(mappings) else writes
+            changes = merge.net_change_by_version(with_versions(own, group)) if mode == "column" else with_versions(merge.net_change(own), group)
+            out.append((merge.as_stored(changes, "version"), mode != "none"))
+    return out
+
+
 def failures_of(actions: DataFrame) -> DataFrame:
     return project.failures(actions).select(
         F.col("mapping").alias("mapping_name"), "lsn", F.to_json(F.struct("id", "txid", "seq")).alias("event_json"), "error_message", "error_kind"
     )
 
 
-def apply_batch(events: DataFrame, mappings: list[Mapping], store: Store, state: State, functions: Functions | None = None) -> dict[str, int]:
+def apply_batch(events: DataFrame, mappings: list[Mapping], store: Store | Remote, state: State, functions: Functions | None = None) -> dict[str, int]:
     """One micro-batch: documents first, then failures, then checkpoints.
 
     The actions are computed once (a transform may not give the same result
@@ -68,15 +80,10 @@ def apply_batch(events: DataFrame, mappings: list[Mapping], store: Store, state:
     """
     actions = actions_of(events, mappings, functions).persist()
     try:
-        versioned = {m.name: m.versioning.mode != "none" for m in mappings}
-        groups = [[m for m in mappings if versioned[m.name] == flag] for flag in (True, False)]
         came: dict[str, int] = {}
-        for group, flag in zip(groups, (True, False), strict=True):
-            if group:
-                own = project.writes(actions).filter(F.col("mapping").isin(*[m.name for m in group]))
-                changes = with_versions(merge.net_change(own), group)
-                for namespace, n in store.apply(merge.as_stored(changes, "version"), flag).items():
-                    came[namespace] = came.get(namespace, 0) + n
+        for changes, versioned in stored_changes(project.writes(actions), mappings):
+            for namespace, n in store.apply(changes, versioned).items():
+                came[namespace] = came.get(namespace, 0) + n
         failed = failures_of(actions)
         if failed.limit(1).count():
             state.add_failures(failed)
@@ -94,15 +101,17 @@ def apply_batch(events: DataFrame, mappings: list[Mapping], store: Store, state:
         actions.unpersist()
 
 
-def mirror(log: DataFrame, mappings: list[Mapping], store: Store, state: State, checkpoint: str, functions: Functions | None = None, available_now: bool = True, interval_ms: int | None = None):
+def mirror(log: DataFrame, mappings: list[Mapping], store: Store | Remote, state: State, checkpoint: str, functions: Functions | None = None, available_now: bool = True, interval_ms: int | None = None):
     """Start mirroring a streaming log; the query stops by itself with ``available_now``."""
     writer = log.writeStream.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{interval_ms or min(m.batching.flush_interval_ms for m in mappings)} milliseconds")
     return writer.foreachBatch(lambda batch, _: apply_batch(batch, mappings, store, state, functions)).start()
 
 
-def backfill(table: DataFrame, mapping: Mapping, store: Store, state: State, function: Callable | None = None, parts: int = 1, resume: bool = False, apply_membership: bool = False) -> scan.Progress:
-    """Write a table's documents into the namespace, in ``parts`` ranges of ids.
+def backfill(table: DataFrame, mapping: Mapping, store: Store | Remote, state: State, function: Callable | None = None, parts: int = 1, resume: bool = False, apply_membership: bool = False, batch_size: int | None = None, rows: int | None = None) -> scan.Progress:
+    """Write a table's documents into the namespace, in ``parts`` ranges of ids,
+    or in as many as hold about ``batch_size`` rows.  ``rows`` is the table's
+    size where statistics have it; else it is counted.
 
     After each range the progress is recorded; ``resume`` goes on behind the
     last id recorded.  Rows get version 0, so documents that the log wrote
@@ -114,30 +123,34 @@ def backfill(table: DataFrame, mapping: Mapping, store: Store, state: State, fun
         after, done = (row.last_id, row.processed_rows) if row else (None, 0)
     else:
         state.clear_backfill(mapping.name)
-    total = scan.estimate(table)
+    total = scan.estimate(table, rows)
     dtype = table.schema[mapping.id_column].dataType
     key = F.col(mapping.id_column)
     left = table if after is None else table.filter(key > F.lit(after).cast(dtype))
     upserted, last = 0, after
-    for low, high in scan.id_ranges(left, mapping.id_column, parts):
+    for low, high in scan.id_ranges(left, mapping.id_column, parts, batch_size, total):
         part = left
         if low is not None:
             part = part.filter(key > F.lit(low))
         if high is not None:
             # rows without an id are in the first range: they fail, and are recorded, whatever the number of parts
             part = part.filter((key <= F.lit(high)) | key.isNull() if low is None else key <= F.lit(high))
+        # rows and the last id are counted while they are read for their documents
+        seen = Observation()
+        part = part.select(*scan.needed_columns(mapping, part)).observe(seen, F.count(F.lit(1)).alias("n"), F.max(key).alias("last"))
         events = scan.scan(part, mapping)
         if apply_membership:
             events = events.filter(route.belongs(mapping, events))
         made = (transform.transform_actions(events, mapping, function) if function else project.identity_actions(events, mapping)).persist()
-        changes = merge.as_stored(with_versions(merge.net_change(made.filter("type = 'upsert'")), [mapping]), "version")
-        upserted += sum(store.apply(changes, mapping.versioning.mode != "none").values())
+        for changes, versioned in stored_changes(made.filter("type = 'upsert'"), [mapping]):
+            upserted += sum(store.apply(changes, versioned).values())
         failed = failures_of(made)
         if failed.limit(1).count():
             state.add_failures(failed)
         made.unpersist()
-        done += part.count()
-        last = scan.last_cursor(part, mapping.id_column) or last
+        n, top = seen.get["n"], seen.get["last"]
+        done += n
+        last = scan.cursor_of(table.sparkSession, top, dtype) or last
         state.save_backfill(mapping.name, last, total, done, "in_progress")
     state.save_backfill(mapping.name, last, total, done, "completed")
     import time
@@ -145,28 +158,26 @@ def backfill(table: DataFrame, mapping: Mapping, store: Store, state: State, fun
     return scan.Progress(done, upserted, time.monotonic() - begun, total, last)
 
 
-def retry_failures(log: DataFrame, mappings: list[Mapping], store: Store, state: State, mapping: str | None = None, functions: Functions | None = None) -> int:
+def retry_failures(log: DataFrame, mappings: list[Mapping], store: Store | Remote, state: State, mapping: str | None = None, functions: Functions | None = None, key: str | None = None) -> int:
     """Put the failed events, found again in the log by lsn, through their mappings once more.
 
-    Those that work are removed, the others count a retry.
+    Those that work are removed, the others count a retry; ``key`` is the id
+    of a single one.  Ids stay in tables: no list of them comes to the driver.
     """
     entries = state.all_failures()
     if mapping is not None:
         entries = entries.filter(F.col("mapping_name") == mapping)
-    entries = entries.withColumn("_seq", F.get_json_object("event_json", "$.seq").cast("int"))
+    if key is not None:
+        entries = entries.filter(F.col("id") == key)
+    entries = entries.withColumn("seq", F.get_json_object("event_json", "$.seq").cast("int"))
     retried = 0
     for m in mappings:
-        own = entries.filter(F.col("mapping_name") == m.name)
-        again = log.join(own.select("lsn", F.col("_seq").alias("seq")).distinct(), ["lsn", "seq"], "left_semi")
+        own = entries.filter(F.col("mapping_name") == m.name).select("id", "lsn", "seq")
+        again = log.join(own.select("lsn", "seq").distinct(), ["lsn", "seq"], "left_semi")
         made = actions_of(again, [m], functions).persist()
-        store.apply(merge.as_stored(with_versions(merge.net_change(project.writes(made)), [m]), "version"), m.versioning.mode != "none")
-        good = project.writes(made).select("lsn", F.col("seq").alias("_seq")).distinct()
-        done = [r.id for r in own.join(good, ["lsn", "_seq"], "left_semi").select("id").collect()]
-        rest = [r.id for r in own.join(good, ["lsn", "_seq"], "left_anti").select("id").collect()]
+        for changes, versioned in stored_changes(project.writes(made), [m]):
+            store.apply(changes, versioned)
+        good = project.writes(made).select("lsn", "seq", F.lit(True).alias("done")).distinct()
+        retried += state.settle_failures(own.join(good, ["lsn", "seq"], "left").select("id", F.coalesce("done", F.lit(False)).alias("done")))
         made.unpersist()
-        if done:
-            state.delete_failures(done)
-        if rest:
-            state.mark_retried(rest)
-        retried += len(done)
     return retried

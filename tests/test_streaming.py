@@ -95,6 +95,59 @@ def test_column_versions(spark, tmp_path):
     assert [(r.id, r.version) for r in store.documents("users").orderBy("id").collect()] == [("1", 9), ("2", 2)]
 
 
+def test_column_versions_and_deletes(spark, tmp_path):
+    """Whatever batches the log comes in, and again, a delete counts where it stands."""
+    m = Mapping("users", "users", "public", "users", "user_id", columns=("user_id", "value"), versioning=Versioning("column", "value"))
+    row = "struct<user_id:bigint,value:bigint>"
+    steps = [  # op, id, value, lsn
+        ("insert", 1, 3, 1000), ("delete", 1, None, 1010), ("insert", 1, 4, 1020),  # back with a higher version
+        ("insert", 2, 9, 1030), ("delete", 2, None, 1040), ("insert", 2, 1, 1050), ("update", 2, 0, 1055),  # with a lower one; a still lower one is late
+        ("insert", 3, 5, 1060), ("update", 3, 2, 1070), ("insert", 4, 1, 1080), ("delete", 4, None, 1090),
+    ]
+    rows = [(op, "public", "users", (i, v) if op != "delete" else None, (i, None), lsn, 0, lsn, []) for op, i, v, lsn in steps]
+    events = spark.createDataFrame(rows, f"op string, schema string, table string, new {row}, old {row}, lsn long, seq int, txid long, missing array<string>")
+    for size in (1, 2, 3, 11):
+        store, state = namespace.Store(spark, str(tmp_path / f"s{size}"), fanout=3), State(spark, str(tmp_path / f"t{size}"))
+        parts = [events.filter(F.col("lsn").isin(*[s[3] for s in steps[k : k + size]])) for k in range(0, len(steps), size)]
+        for part in [*parts, parts[0], parts[-1]]:
+            run.apply_batch(part, [m], store, state)
+        assert [(r.id, r.version) for r in store.documents("users").orderBy("id").collect()] == [("1", 4), ("2", 1), ("3", 5)], size
+        store.drop_tombstones("users", 10**9)
+        assert store.rows("users").count() == 3
+
+
+def test_one_write_for_all_namespaces(spark, tmp_path):
+    schema = "namespace string, id_kind string, id string, version long, deleted boolean, doc string, distance_metric string"
+    store = namespace.Store(spark, str(tmp_path / "s"))
+    names = ["a", "b c", "d=e", "ü%"]
+    came = store.apply(spark.createDataFrame([(n, "string", str(i), 1, False, "{}", None) for i, n in enumerate(names * 3)], schema))
+    assert came == {n: 3 for n in names} and sorted(store.namespaces()) == sorted(names)
+    assert all(store.documents(n).count() == 3 for n in names) and store.apply(spark.createDataFrame([], schema)) == {}
+
+
+def test_retry_of_one_failure(spark, tmp_path):
+    state, store = State(spark, str(tmp_path / "t")), namespace.Store(spark, str(tmp_path / "s"))
+    row = "struct<user_id:bigint,event_type:string>"
+    rows = [("insert", "public", "users", (x, "e"), None, i + 1, 0, i, []) for i, x in enumerate([1, None, 3])]
+    events = spark.createDataFrame(rows, f"op string, schema string, table string, new {row}, old {row}, lsn long, seq int, txid long, missing array<string>")
+    failed = events.select(F.lit("users").alias("mapping_name"), "lsn", F.to_json(F.struct("txid", "seq")).alias("event_json"), F.lit("m").alias("error_message"), F.lit("timeout").alias("error_kind"))
+    state.add_failures(failed)
+    mapping = Mapping("users", "users", "public", "users", "user_id", id_type="uint", columns=("user_id", "event_type"))
+    one = state.all_failures().filter("lsn = 1").first().id
+    assert run.retry_failures(events, [mapping], store, state, key=one) == 1
+    assert sorted((r.lsn, r.retry_count) for r in state.all_failures().collect()) == [(2, 0), (3, 0)]
+    assert run.retry_failures(events, [mapping], store, state) == 1
+    assert [(r.lsn, r.retry_count) for r in state.all_failures().collect()] == [(2, 1)] and store.documents("users").count() == 2
+
+
+def test_backfill_by_batch_size(spark, tmp_path):
+    table = spark.range(1, 1001).select(F.col("id").alias("user_id"), F.lit("x").alias("event_type"), F.lit("not read").alias("other"))
+    store, state = namespace.Store(spark, str(tmp_path / "s")), State(spark, str(tmp_path / "t"))
+    done = run.backfill(table, USERS, store, state, batch_size=300)
+    assert (done.processed, done.upserted, done.last_id, done.total) == (1000, 1000, "1000", 1000) and store.documents("users").count() == 1000
+    assert len([f for f in store._folders("users")]) == 4
+
+
 def test_store_levels(spark, tmp_path):
     """Changes are appended and merged by level; reading gives the same at any time."""
     store = namespace.Store(spark, str(tmp_path / "s"), fanout=3)
@@ -141,6 +194,62 @@ def test_remote_writer(spark, log, tmp_path):
     assert all(set(d) == {"user_id", "event_type", "id", "__source_lsn"} for d in docs) and sum(len(f[2]) for f in found) == sum(r.n_deletes for r in sent)
 
 
+class Service:
+    """A vector service on this machine that turns away what lacks the token and fails at first."""
+
+    def __enter__(self):
+        import json
+        import threading
+        from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+        service, self.documents, self.failed, self.requests = self, {}, 0, 0
+
+        class Handler(BaseHTTPRequestHandler):
+            def do_POST(self):  # noqa: N802
+                body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+                service.requests += 1
+                ok = self.headers["Authorization"] == "Bearer t0ken"
+                if ok and service.failed < 2:
+                    service.failed, ok = service.failed + 1, None
+                if ok:
+                    own = service.documents.setdefault(self.path, {})
+                    own.update({d["id"]: d for d in body.get("upserts", [])})
+                    for i in body.get("deletes", []):
+                        own.pop(i, None)
+                self.send_response(200 if ok else 401 if ok is False else 503)
+                self.end_headers()
+
+            def log_message(self, *args):
+                pass
+
+        self.server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        return self
+
+    def __exit__(self, *error):
+        self.server.shutdown()
+
+
+def test_mirror_and_backfill_into_a_service(spark, log, expected, tmp_path):
+    import json
+
+    with Service() as service:
+        writer = namespace.HttpWriter(f"http://127.0.0.1:{service.server.server_port}/v1/{{namespace}}", "t0ken")
+        remote, state = namespace.Remote(writer, upload_rows=7), State(spark, str(tmp_path / "state"))
+        changelog.write_log(log, str(tmp_path / "log"), 2)
+        stream = changelog.read_log(spark, str(tmp_path / "log"), log.schema["new"].dataType, stream=True, max_files=1)
+        run.mirror(stream, [USERS], remote, state, str(tmp_path / "stream")).awaitTermination()
+        got = service.documents["/v1/users"]
+        assert sorted((str(i), d["__source_lsn"], d["event_type"]) for i, d in got.items()) == [(i, v, json.loads(doc)["event_type"]) for i, v, doc in expected]
+        assert service.failed == 2 and service.requests > len(got) / 7 and state.checkpoint("users")[0] == log.count()
+        service.documents.clear()
+        table = spark.range(1, 51).select(F.col("id").alias("user_id"), F.lit("x").alias("event_type"))
+        assert run.backfill(table, USERS, remote, state).upserted == 50
+        assert len(service.documents["/v1/users"]) == 50 and all(d["__backfill"] for d in service.documents["/v1/users"].values())
+        with pytest.raises(Exception, match="401"):
+            namespace.Remote(namespace.HttpWriter(writer.url, "wrong"), retries=1, first_delay=0.01).apply(spark.createDataFrame([("users", "uint", "1", 1, False, "{}", None)], "namespace string, id_kind string, id string, version long, deleted boolean, doc string, distance_metric string"))
+
+
 def test_retries():
     waits, tries = [], []
 
