@@ -10,7 +10,10 @@ so each worker keeps the results of a bounded number of them.  Decoding
 concatenates the byte strings of the ids.
 
 ``transcode`` returns a row for each row: the id column, ``ids`` and
-``decoded``.  A null text counts as empty: no ids, an empty decoded text.
+``decoded``.  A null text counts as empty: no ids, an empty decoded text.  A
+text of any length is coded whole, in the memory of its row (a few times its
+bytes); a word of n bytes takes n log n steps.  Pairs of equal rank are merged
+from the left.
 Rows are independent, so repeated rows repeat, an empty table stays empty, and
 extra columns are ignored whatever their names.
 """
@@ -178,12 +181,16 @@ def transcode(docs: DataFrame, vocabulary: str, row_id: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = _vocabulary(content.value)
+        text, of, back = "", v.encode(""), ""
         for batch in batches:
             texts, start, ids, decoded, chars = batch.column(1), 0, [], [], 0
             for at in range(batch.num_rows):
-                of = v.encode(texts[at].as_py() or "")
+                now = texts[at].as_py() or ""
+                if now != text:  # rows that repeat the one before them, as a mix makes them, are coded once
+                    text, of = now, v.encode(now)
+                    back = v.decode(of.tolist())
                 ids.append(of)
-                decoded.append(v.decode(of.tolist()))
+                decoded.append(back)
                 chars += len(decoded[-1])
                 if chars >= OUT_CHARS or at == batch.num_rows - 1:
                     ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)

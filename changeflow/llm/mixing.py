@@ -10,7 +10,8 @@ sums (few beside the rows) are accumulated over each source's bins, and rows
 accumulate within their bin only.  So a source with a third of all rows is
 spread over many tasks, and reruns cut at the same row.
 
-A size is the number of words ``[^\x20\x09-\x0D]+`` (null text: 0).  A null
+A size is the number of words ``[^\x20\x09-\x0D]+`` of a whole text, however
+long (null text: 0); only sizes are shuffled.  A null
 source is a source, the last in order.  Rows with the same id and size are
 interchangeable: ties of the key fall to id, then size.  A null id has a key
 like any other.  Other columns are ignored; an empty table gives an empty

@@ -6,7 +6,9 @@ an empirical beta prior, and the verdict on the host is joined back to its
 documents.
 
 Words are runs of ``[^\x20\x09-\x0D]``.  A null text counts as empty: no
-words, so it fails.  A null host is a host of its own.  Other columns of the
+words, so it fails.  A text of any length is judged whole, in the memory of its
+row.  A rate that equals the limit does not turn a host down.  A null host is a
+host of its own.  Other columns of the
 input are ignored, whatever their names; repeated rows are kept, each with its
 figures.  An empty table gives an empty result.
 """
@@ -155,15 +157,16 @@ def filter_documents(docs: DataFrame, rules: Rules = Rules(), text: str = "text"
     """The rows of ``docs`` whose base verdict and host verdict are both good,
     with their columns as they were.
 
-    Texts are not shuffled: the base rules see them once for the hosts' counts
-    and again when they are filtered, and the hosts that are turned down are
-    broadcast where they are few.
+    The base rules see each text once: what they keep is written whole, of what
+    they turn down only the host.  Hosts are counted from that table, and those
+    that are turned down are broadcast where they are few; no text is shuffled.
     """
     scratch = Scratch(docs.sparkSession, "quality_filter")
-    judged = docs.select(F.col(host).alias("host"), base_failed(F.col(text), rules).alias("base_failed"))
-    counted = scratch.save(judged.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f")), "hosts")
-    figures = counted.select("host", F.col("n").alias("n_docs"), F.col("f").alias("n_failed"))
-    rejected = scratch.save(shrunk(figures).filter(F.col("shrunk_rate") > rules.max_host_rate).select("host"), "rejected")
-    good = docs.filter(~base_failed(F.col(text), rules))
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    judged = docs.select(F.col(f"`{host}`").alias("host"), F.inline(F.array(F.struct(base_failed(F.col(f"`{text}`"), rules).alias("failed")))), row.alias("row"))
+    judged = scratch.save(judged.select("host", "failed", F.when(~F.col("failed"), F.col("row")).alias("row")), "judged")
+    figures = judged.groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("failed").cast("long")).alias("n_failed"))
+    rejected = scratch.save(shrunk(scratch.save(figures, "hosts")).filter(F.col("shrunk_rate") > rules.max_host_rate).select(F.col("host").alias("bad")), "rejected")
     few = rejected.count() <= BROADCAST_HOSTS
-    return good.join(F.broadcast(rejected) if few else rejected, good[host].eqNullSafe(rejected["host"]), "left_anti")
+    good = judged.filter("NOT failed").join(F.broadcast(rejected) if few else rejected, F.col("host").eqNullSafe(F.col("bad")), "left_anti")
+    return good.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -111,6 +111,12 @@ def test_bpe_odd(spark):
     assert bpe.transcode(docs.limit(0), queries.byte_bpe()).count() == 0
 
 
+def test_bpe_repeated_rows(spark):
+    rows = [(i, t) for i, t in enumerate(["a b", "a b", None, "", "a b", "c", "c", None, None, "c"])]
+    got = {r.doc_id: r.decoded for r in bpe.transcode(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), queries.byte_bpe()).collect()}
+    assert got == {i: t or "" for i, t in rows}
+
+
 def test_bpe_memory():
     m = bpe._Memory(lambda w: (len(w),))
     limit, bpe.REMEMBERED = bpe.REMEMBERED, 3
@@ -244,6 +250,30 @@ def test_host_verdict(spark):
     assert quality_rules.filter_documents(docs.limit(0)).count() == 0
 
 
+def test_rules_filter_reads_texts_once(spark):
+    """The filter writes what it keeps: same rows as the verdicts, odd columns and all."""
+    rows = [(i, " ".join(f"w{k}" for k in range(i % 37)), f"h{i % 5}" if i % 7 else None) for i in range(400)]
+    docs = odd_docs(spark, rows).withColumn("row", F.lit("r")).withColumn("failed", F.lit("f")).withColumn("bad", F.lit("b")).withColumn("c0", F.array(F.lit(1)))
+    kept = quality_rules.filter_documents(docs)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    expected = {r.doc_id for r in quality_rules.judge(docs).filter("kept").collect()}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(expected) and kept.filter("failed <> 'f' OR c0[0] <> 1").count() == 0
+
+
+def test_very_long_texts(spark):
+    """Texts of some megabytes, read whole."""
+    words = " ".join(f"w{i % 5000}x" for i in range(300_000))
+    docs = spark.createDataFrame([(1, words, "s"), (2, words + " end", "s"), (3, None, "s"), (4, "y" * 2_000_000, "s")], "doc_id long, text string, source string")
+    ids = {r.doc_id: r for r in bpe.digests(bpe.transcode(docs, queries.byte_bpe())).collect()}
+    assert ids[1].decoded_sha256 == hashlib.sha256(words.encode()).hexdigest() and ids[2].n_tokens == ids[1].n_tokens + 1 and ids[3].n_tokens == 0
+    assert ids[4].decoded_sha256 == hashlib.sha256(b"y" * 2_000_000).hexdigest()
+    figures = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert (figures[1].n_words, figures[1].n_repeat_words, figures[2].n_words) == (300_000, 300_000, 300_001)
+    assert {r.doc_id: r["size"] for r in mixing.mix(docs).collect()} == {1: 300_000, 2: 300_001, 3: 0, 4: 1}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.join(docs).collect()}
+    assert got[1][0] == 5000 and got[2] == (5001, 1) and got[4] == (1, 4)
+
+
 # 4 Licences
 
 
