@@ -5,6 +5,13 @@ columns of ``documents``.  Rules and classifier drop documents, the join keeps
 one of each group of near copies, mixing drops and repeats whole documents,
 and the last stage encodes every text: ``doc_id``, ``n_tokens``, ``ids`` and
 the digests of ids and decoded text.
+
+In every stage a null text counts as empty (and falls to the rules), a null
+source is a source of its own, texts are read whole whatever their length, and
+other columns than those a stage reads pass through.  Rows that repeat are near
+copies of each other: the first stays.  Ties go to the smaller id.  An empty
+table gives an empty result; labels that are missing or of one class only give
+every text one score, their share.
 """
 
 from __future__ import annotations
