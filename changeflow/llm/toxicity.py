@@ -76,10 +76,15 @@ class Words:
 
     of: np.ndarray  # number of the distinct word, for each word in turn
     first: np.ndarray  # per text the number of its first word
-    word: np.ndarray  # per distinct word its row
+    hash: np.ndarray  # per distinct word all its bytes' hash
     grams: np.ndarray  # per distinct word its n-grams' rows, -1 where it is too short
     length: np.ndarray
 
+    @property
+    def word(self) -> np.ndarray:
+        """Per distinct word its row."""
+        return (self.hash >> np.uint64(64 - WORD_BITS)).astype(np.int32)
+
 
 def _words(buf: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
     """Also the first bytes and the ends of all words; ``buf`` is in lower case."""
@@ -92,7 +97,7 @@ def _words(buf: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.
         long = length >= n
         lane = lanes[(ends[at[long]] - n) if tail else starts[at[long]]] & tk.KEEP[n]
         grams[long, k] = (tk.mix(lane ^ np.uint64((n + 100 * tail) << 56 | n * 0x1F3)) >> np.uint64(64 - GRAM_BITS)).astype(np.int32)
-    return Words(of.astype(np.int32), first, (h >> np.uint64(64 - WORD_BITS)).astype(np.int32), grams, length), starts, ends
+    return Words(of.astype(np.int32), first, h, grams, length), starts, ends
 
 
 @dataclass
@@ -339,6 +344,33 @@ def _evidence(words: Words, texts: np.ndarray, labels: np.ndarray) -> tuple[np.n
     return p["word"].astype(np.float32), p["grams"].astype(np.float32)
 
 
+def _sampled(texts: pa.Array) -> Words:
+    """The words of whole texts, a segment at a time: four bytes a word are kept, and the distinct words."""
+    data, offsets = tk.raw(texts)
+    counts, parts = np.zeros(len(texts), np.int64), []
+
+    def add(at: int, buf: np.ndarray, places: np.ndarray) -> None:
+        words, _, _ = _words(_lowered(buf), places)
+        counts[at : at + len(places) - 1] += np.diff(words.first)
+        parts.append(words)
+
+    at = 0
+    for i in [*np.flatnonzero(np.diff(offsets) > SEGMENT).tolist(), len(texts)]:
+        for a, _, buf, places in tk.pieces(texts.slice(at, i - at), SEGMENT):
+            add(at + a, buf, places)
+        if i < len(texts):
+            begin, end = offsets[i], offsets[i + 1]
+            while begin < end:
+                stop = min(_boundary(data[:end], min(begin + SEGMENT, end)), end)
+                add(i, np.concatenate([data[begin:stop], np.zeros(8, np.uint8)]), np.array([0, stop - begin]))
+                begin = stop
+        at = i + 1
+    h, first, which = np.unique(np.concatenate([p.hash for p in parts]), return_index=True, return_inverse=True)
+    cuts = np.cumsum([0, *(len(p.hash) for p in parts)])
+    of = np.concatenate([which[a : a + len(p.hash)][p.of].astype(np.int32) for a, p in zip(cuts, parts, strict=False)])
+    return Words(of, np.concatenate([[0], np.cumsum(counts)]), h, np.concatenate([p.grams for p in parts])[first], np.concatenate([p.length for p in parts])[first])
+
+
 class _Rows:
     """Steps for the rows of a table that a batch uses, each sized by the row's own past slopes."""
 
@@ -360,9 +392,8 @@ def train(texts: list[str], labels: np.ndarray) -> Scorer | Constant:
     labels = np.asarray(labels, np.int64)
     if min(labels.sum(), len(labels) - labels.sum()) < FOLDS:
         return Constant(float(labels.mean()) if len(labels) else 0.0)
-    ((_, _, buf, offsets),) = tk.pieces(pa.array(texts, pa.large_string()), 2**62)
-    words, _, _ = _words(_lowered(buf), offsets)
-    del buf
+    words = _sampled(pa.array(texts, pa.large_string()))
+    word_row = words.word
     start, end, begin = _windows(words.first)
     # folds of equal shares of both classes
     place = np.empty(len(labels), np.int64)
@@ -370,15 +401,15 @@ def train(texts: list[str], labels: np.ndarray) -> Scorer | Constant:
         place[labels == c] = np.arange((labels == c).sum())
     fold = place % FOLDS
     text_of = np.repeat(np.arange(len(labels)), np.diff(begin))
-    tables, none = Tables.drawn(), len(words.word)
+    tables, none = Tables.drawn(), len(word_row)
     known = [_evidence(words, np.flatnonzero(fold != k), labels) for k in range(FOLDS)]
 
     def inputs(some: np.ndarray, k: np.ndarray) -> np.ndarray:
         """Of words as texts of fold k see them."""
-        out = tables.inputs(words.word[some], words.grams[some], words.length[some])
+        out = tables.inputs(word_row[some], words.grams[some], words.length[some])
         for j in range(FOLDS):
             own = np.flatnonzero(k == j)
-            out[own, 0] = known[j][0][words.word[some[own]]]
+            out[own, 0] = known[j][0][word_row[some[own]]]
             out[own, WORD_SIZE] = known[j][1][words.grams[some[own]]].sum(1)
         return out
 
@@ -412,7 +443,7 @@ def train(texts: list[str], labels: np.ndarray) -> Scorer | Constant:
             if len(which):
                 slope, by_input = net.gradient(inputs(which, of_fold), windows, labels[part], np.ones(len(part)))
                 steps.step(slope)
-                word_rows.step(words.word[which], by_input[:, :WORD_SIZE])
+                word_rows.step(word_row[which], by_input[:, :WORD_SIZE])
                 grams = words.grams[which]
                 gram_rows.step(grams[grams >= 0], np.repeat(by_input[:, WORD_SIZE:-1], (grams >= 0).sum(1), axis=0))
     x = _summary(all_logits(net.forward).astype(np.float64), begin)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from changeflow.llm import bpe, chat, fitting, html_extract, licenses, mixing, ngram_join, quality_model, quality_rules, queries, toxicity, vafile
 from changeflow.llm import textkernel as tk
+from changeflow.llm.store import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = {c: c + 32 for c in range(65, 91)}
@@ -566,6 +567,17 @@ def test_mixing(spark, monkeypatch, rows_a_bin):
         assert abs(words[s] - target[s]) <= (5000 if s == "long" else 300) + 4
 
 
+def test_mixing_many_sources(spark):
+    """Targets by one sort equal those by rounds, with many sources at their cap, ties and empty ones."""
+    draw = random.Random(17)
+    sizes = {f"s{i:03d}": draw.choice([0, 1, 7, 7, 50, 400, 9000]) for i in range(300)} | {"huge": 2_000_000}
+    found = spark.createDataFrame([(1, s, n) for s, n in sizes.items()], "doc_id long, source string, size long").repartition(5)
+    got = {r.source: r.target for r in mixing.targets(found, Scratch(spark, "test")).collect()}
+    assert got == pytest.approx(plain_targets(sizes), rel=1e-12)
+    everything = mixing.targets(found, Scratch(spark, "test"), share=2.0).collect()
+    assert all(r.target == pytest.approx(2 * r.source_size) for r in everything)
+
+
 def test_mixing_empty(spark):
     assert mixing.mix(odd_docs(spark).limit(0)).count() == 0 and mixing.mix_rows(odd_docs(spark).limit(0)).count() == 0
     nothing = odd_docs(spark, [(1, None, "a"), (2, " ", None)])
@@ -718,6 +730,14 @@ def test_toxicity_reads_long_texts_in_segments(monkeypatch):
         monkeypatch.setattr(toxicity, "SEGMENT", size)
         assert np.allclose(scorer.summaries(pa.array(rows)), whole, atol=1e-4), size
         assert np.allclose(scorer.summaries(pa.array(["skip", *rows])[1:]), whole, atol=1e-4)
+    # the words of a sample, read in segments too
+    monkeypatch.undo()
+    once = toxicity._sampled(pa.array([r or "" for r in rows], pa.large_string()))
+    monkeypatch.setattr(toxicity, "SEGMENT", 100)
+    parts = toxicity._sampled(pa.array([r or "" for r in rows], pa.large_string()))
+    for name in ("of", "first", "hash", "grams", "length"):
+        assert (getattr(once, name) == getattr(parts, name)).all(), name
+    assert [once.first[i + 1] - once.first[i] for i in range(5)] == [0, 3, 31, 32, 33]
 
 
 def test_network_gradient():
