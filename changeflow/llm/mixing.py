@@ -58,28 +58,40 @@ def _numbered(sources: DataFrame, scratch: Scratch) -> DataFrame:
     return ranges.join(starts, "part").select("source", "source_size", "n_rows", (F.col("start") + F.row_number().over(within) - 1).alias("at"))
 
 
+def _level(numbered: DataFrame, cap: Column, share: float, scratch: Scratch) -> float:
+    """What a weight of 1 gets: with sources in the order of cap over weight,
+    those before some place are at their cap, the rest share what is left.
+
+    One sort; spent caps and weights accumulate over the ranges of the sorted
+    table, then within them, so no task sees more sources than its range holds.
+    """
+    ratio = cap / F.col("weight")
+    rows = numbered.select("at", "source_size", "weight", cap.alias("cap"), ratio.alias("ratio")).orderBy("ratio", "at").select("*", F.spark_partition_id().alias("part"))
+    rows = scratch.save(rows, "by-ratio")
+    total, weights = rows.agg(F.sum("source_size"), F.sum("weight")).first()
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("part").orderBy("ratio", "at").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("part").agg(F.sum("cap").alias("c"), F.sum("weight").alias("w"))
+    starts = sums.select("part", *[F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(f"{x}0") for x in ("c", "w")])
+    rows = rows.join(starts, "part")
+    spent, gone = (F.col(f"{x}0") + F.coalesce(F.sum(y).over(within), F.lit(0)) for x, y in (("c", "cap"), ("w", "weight")))
+    level = (F.lit(share) * F.lit(total or 0) - spent) / (F.lit(weights or 0.0) - gone)
+    found = rows.select("ratio", "at", level.alias("level")).filter("level < ratio").agg(F.min_by("level", F.struct("ratio", "at"))).first()[0]
+    return float("inf") if found is None else found
+
+
 def targets(sizes: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
     """Per source: ``source_size``, ``n_rows`` and ``target``.
 
     A source's target is the smaller of ``epochs`` times its size and its
     weight times a level that all share.  Sources at their cap leave the rest
     to the others, which raises the level, until no more reach their cap.
-    Each round is one sum over the sources and brings two numbers back.
     """
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("at") % len(weights) + 1).cast("int"))
     numbered = scratch.save(_numbered(sources, scratch).withColumn("weight", weight), "sources")
     cap = F.lit(epochs) * F.col("source_size")
-    level, capped = 0.0, -1
-    while True:
-        full = cap <= F.lit(level) * F.col("weight") if capped >= 0 else F.lit(False)
-        total, spent, open_weight, now = numbered.agg(
-            F.sum("source_size"), F.sum(F.when(full, cap).otherwise(0)), F.sum(F.when(full, 0.0).otherwise(F.col("weight"))), F.sum(full.cast("long"))
-        ).first()
-        if not total or not open_weight or now == capped:
-            break
-        level, capped = (share * total - spent) / open_weight, now
-    target = F.least(cap.cast("double"), F.lit(float(level)) * F.col("weight"))
+    target = F.least(cap.cast("double"), F.lit(_level(numbered, cap, share, scratch)) * F.col("weight"))
     return numbered.select("source", "source_size", "n_rows", target.alias("target"))
 
 
