@@ -93,7 +93,7 @@ def summed(parts: DataFrame, size: int, finish: Callable[[np.ndarray], np.ndarra
     once = parts.repartition("chunk", F.pmod(F.hash("numbers"), F.lit(16))).mapInArrow(tk.released(add), "chunk int, numbers binary")
     sums = once.repartition("chunk").mapInArrow(tk.released(end), "chunk int, numbers binary")
     out = np.zeros(size, dtype)
-    for chunk, numbers in sums.toLocalIterator():
+    for chunk, numbers in sums.collect():  # a table of a fixed size, packed
         out[chunk * CHUNK : chunk * CHUNK + CHUNK] = np.frombuffer(zlib.decompress(numbers), dtype)
     return out
 
