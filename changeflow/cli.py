@@ -9,6 +9,7 @@ up in the catalogue), BASE_NAMESPACE, MAX_RETRIES, UPLOAD_BATCH_SIZE.
 from __future__ import annotations
 
 import argparse
+import re
 import shutil
 import sys
 from pathlib import Path
@@ -20,7 +21,7 @@ from .functions import text
 from .model import ConfigError, Mapping
 from .plans import config, migrations
 from .plans.state import State, with_error_facts
-from .sources import changelog, scan
+from .sources import changelog, fake, scan
 from .streaming import run as pipelines
 from .streaming.namespace import Store
 
@@ -126,7 +127,22 @@ class Commands:
         self.say(("would apply: " if dry_run else "applied: ") + (", ".join(names) or "nothing"))
         return names
 
-    def run(self, skip_migrate: bool = False) -> None:
+    def try_transform(self, name: str, rows: int = 5, seed: int = 0) -> list:
+        """The actions that a mapping makes of rows drawn from its table's types; nothing is written."""
+        m = self.mapping(name)
+        fields = self.table(m).schema.fields
+        kinds = {f.name: re.sub(r"^array<(.*)>$", r"\1[]", f.dataType.simpleString()) for f in fields}
+        made = fake.rows(self.spark, kinds, rows, m.id_column, m.id_type, seed)
+        made = made.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+        function, events = self.functions().get(name), scan.scan(made, m)
+        actions = pipelines.transform.transform_actions(events, m, function, pipelines.transform.Context(m.name, m.version, m.namespace)) if function else pipelines.project.identity_actions(events, m)
+        found = actions.select("type", F.col("id.text").alias("id"), "doc", "error_message").collect()  # ``rows`` rows
+        for r in found:
+            self.say(f"{r.type} {r.id}: {r.error_message or r.doc}")
+        return found
+
+    def run(self, skip_migrate: bool = False, follow: bool = False) -> None:
+        """Mirror what the log has, or with ``follow`` go on until the query is stopped."""
         if skip_migrate:
             migrations.Tracker(self.state).validate_or_fail(self.check(), allow_pending=True)
         else:
@@ -135,8 +151,11 @@ class Commands:
         mappings = self.mappings()
         row = self.spark.read.parquet(root).schema["new"].dataType
         log = changelog.read_log(self.spark, root, row, stream=True)
-        query = pipelines.mirror(log, mappings, self.store, self.state, f"{self.state.root}/stream", self.functions())
-        query.awaitTermination()
+        query = pipelines.mirror(log, mappings, self.store, self.state, f"{self.state.root}/stream", self.functions(), available_now=not follow)
+        try:
+            query.awaitTermination()
+        except KeyboardInterrupt:  # batches are whole: what was written is acknowledged
+            query.stop()
         self.status()
 
     def status(self) -> list:
@@ -226,7 +245,13 @@ def parser() -> argparse.ArgumentParser:
         sub.add_parser(name)
     sub.add_parser("new").add_argument("name")
     sub.add_parser("migrate").add_argument("--dry-run", action="store_true")
-    sub.add_parser("run").add_argument("--skip-migrate", action="store_true")
+    r = sub.add_parser("run")
+    r.add_argument("--skip-migrate", action="store_true")
+    r.add_argument("--follow", action="store_true")
+    t = sub.add_parser("try")
+    t.add_argument("mapping")
+    t.add_argument("--rows", type=int, default=5)
+    t.add_argument("--seed", type=int, default=0)
     b = sub.add_parser("backfill")
     b.add_argument("mapping")
     b.add_argument("--parts", type=int, default=1)
@@ -259,7 +284,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None, envir
         else:
             {
                 "setup": c.setup, "status": c.status, "reset": c.reset, "dangerously-delete-config": c.delete_config, "dangerously-reset-namespaces": c.reset_namespaces,
-                "new": lambda: c.new(a.name), "migrate": lambda: c.migrate(a.dry_run), "run": lambda: c.run(a.skip_migrate), "backfill": lambda: c.backfill(a.mapping, a.parts, a.resume, a.batch_size),
+                "new": lambda: c.new(a.name), "migrate": lambda: c.migrate(a.dry_run), "run": lambda: c.run(a.skip_migrate, a.follow), "try": lambda: c.try_transform(a.mapping, a.rows, a.seed), "backfill": lambda: c.backfill(a.mapping, a.parts, a.resume, a.batch_size),
             }[a.command]()
     except (ConfigError, migrations.MigrationError, scan.RelationError, KeyError) as problem:
         print(f"error: {problem}", file=sys.stderr)

@@ -51,6 +51,19 @@ class Context:
         """
         return self.tables.get(table, {}).get(key)
 
+    def fetch(self, url: str, method: str = "GET", body: bytes | str | None = None, headers: dict | None = None, timeout: float = 30.0) -> dict:
+        """Ask a service: ``status``, ``headers`` and ``body`` (text) of its answer, whatever the status."""
+        from urllib.error import HTTPError
+        from urllib.request import Request, urlopen
+
+        data = body.encode() if isinstance(body, str) else body
+        try:
+            answer = urlopen(Request(url, data, headers or {}, method=method), timeout=timeout)
+        except HTTPError as refused:
+            answer = refused
+        with answer:
+            return {"status": answer.status, "headers": dict(answer.headers), "body": answer.read().decode("utf-8", "replace")}
+
 
 def _identity(value, default: dict) -> dict:
     if isinstance(value, bool) or value is None:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from ..functions import values
 #: The first byte of each kind of message.
 KINDS = {"B": "begin", "C": "commit", "R": "relation", "Y": "type", "I": "insert", "U": "update", "D": "delete", "T": "truncate", "O": "origin", "M": "message"}
 BINARY = "<binary>"
+#: What a row's value can be.
+TEXT, BYTES, NO_VALUE = ord("t"), ord("b"), b"nu"
 
 COLUMN = "struct<flags:int,name:string,type_oid:long,modifier:int>"
 CELL = "struct<kind:string,text:string>"
@@ -68,17 +71,26 @@ class _Bytes:
     def letter(self) -> str:
         return chr(self.number(">B"))
 
-    def cells(self) -> list[dict]:
-        out = []
-        for _ in range(self.number(">h")):
-            kind = self.letter()
-            if kind not in "nutb":
-                raise DecodeError(f"unknown kind of value: {kind!r}")
-            text = None
-            if kind in "tb":
-                raw = self.take(self.number(">i"))
-                text = raw.decode("utf-8") if kind == "t" else BINARY
-            out.append({"kind": kind, "text": text})
+    def cells(self) -> list[tuple[str, str | None]]:
+        """(kind, text) of each value of a row."""
+        data, count, out = self.data, self.number(">h"), []
+        at, end = self.at, len(self.data)
+        for _ in range(count):
+            if at >= end:
+                raise DecodeError("message ends early")
+            kind = data[at]
+            at += 1
+            if kind == TEXT or kind == BYTES:
+                size = int.from_bytes(data[at : at + 4], "big", signed=True)
+                if size < 0 or at + 4 + size > end:
+                    raise DecodeError("message ends early")
+                out.append(("t", data[at + 4 : at + 4 + size].decode("utf-8")) if kind == TEXT else ("b", BINARY))
+                at += 4 + size
+            elif kind in NO_VALUE:
+                out.append((chr(kind), None))
+            else:
+                raise DecodeError(f"unknown kind of value: {chr(kind)!r}")
+        self.at = at
         return out
 
 
@@ -89,6 +101,11 @@ def _signed(n: int) -> int:
 
 def decode(data: bytes) -> dict:
     """One message as a dict with ``kind`` and the fields of its kind."""
+    found = _decode(data)
+    return found | {k: [{"kind": kind, "text": text} for kind, text in found[k]] for k in ("old", "new") if k in found}
+
+
+def _decode(data: bytes) -> dict:
     if not data:
         raise DecodeError("empty message")
     b, out = _Bytes(data[1:]), {}
@@ -140,17 +157,26 @@ def decoded(messages: DataFrame) -> DataFrame:
 
     names = [f.name for f in schema.fields][2:]
 
+    def rows_of(cells: list, kind: pa.DataType) -> pa.Array:
+        """Lists of cells from flat columns; no object per cell."""
+        sizes = [len(c) if c is not None else None for c in cells]
+        ends = np.cumsum([0, *(n or 0 for n in sizes)], dtype=np.int32)
+        flat = [x for c in cells if c is not None for x in c]
+        values = pa.StructArray.from_arrays([pa.array([x[k] for x in flat], pa.string()) for k in (0, 1)], fields=list(kind.value_type))
+        return pa.ListArray.from_arrays(pa.array(ends), values, type=kind, mask=pa.array([n is None for n in sizes]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = to_arrow_schema(schema)
         for batch in batches:
-            rows = []
-            for data in batch.column(2):
+            found: dict[str, list] = {n: [None] * batch.num_rows for n in names}
+            for at, data in enumerate(batch.column(2).to_pylist()):
                 try:
-                    rows.append(decode(data.as_py() or b""))
+                    for name, value in _decode(data or b"").items():
+                        found[name][at] = value
                 except (DecodeError, UnicodeDecodeError) as bad:
-                    rows.append({"error": str(bad)})
-            columns = [batch.column(0), batch.column(1), *[pa.array([r.get(n) for r in rows], target.field(n).type) for n in names]]
-            yield pa.RecordBatch.from_arrays(columns, schema=target)
+                    found["error"][at] = str(bad)
+            columns = [rows_of(found[n], target.field(n).type) if n in ("old", "new") else pa.array(found[n], target.field(n).type) for n in names]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema=target)
 
     return messages.select(F.col("lsn").cast("long"), F.col("seq").cast("int"), "data").mapInArrow(run, schema)
 

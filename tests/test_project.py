@@ -141,6 +141,41 @@ def test_commands(project, spark):
     assert not project.project.migrations.exists()
 
 
+def test_try_a_transform(project):
+    """On rows drawn from the table's types; nothing is written."""
+    got = project.try_transform("users", rows=4)
+    assert [r.type for r in got] == ["upsert"] * 4 and all("event_type" in r.doc for r in got) and len({r.id for r in got}) == 4
+    assert [tuple(r) for r in project.try_transform("users", rows=4)] == [tuple(r) for r in got]
+    toml = MINIMAL + '[transform]\ntype = "js"\npath = "transforms/users.py"\n'
+    (project.project.migrations / "0001_users.toml").write_text(toml)
+    Path(project.project.transforms / "users.py").write_text("def transform(rows, context):\n    return [{'type': 'skip'} if i % 2 else {'type': 'oops'} for i in range(len(rows))]\n")
+    assert {r.type for r in project.try_transform("users", rows=2)} == {"error"} and project.store.namespaces() == []
+
+
+def test_fetch():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from changeflow.operators.transform import Context
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            body = self.rfile.read(int(self.headers["Content-Length"]))
+            self.send_response(200 if self.headers["X-Key"] == "k" else 403)
+            self.end_headers()
+            self.wfile.write(body.upper())
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/embed"
+    assert {k: v for k, v in Context().fetch(url, "POST", "text", {"X-Key": "k"}).items() if k != "headers"} == {"status": 200, "body": "TEXT"}
+    assert Context().fetch(url, "POST", b"x")["status"] == 403
+    server.shutdown()
+
+
 def test_checks(project):
     (project.project.transforms / "loose.py").write_text("x = 1\n")
     with pytest.raises(ConfigError, match="loose"):
