@@ -9,6 +9,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +56,27 @@ def small_batches(spark: SparkSession) -> None:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: What is being collected by ``dropped``, innermost last.
+_collected: list[list[Scratch]] = []
+
+
+@contextmanager
+def dropped() -> Iterator[None]:
+    """Deletes the tables that operators write inside, at the end.
+
+    For callers that save an operator's result themselves, with a ``Scratch``
+    made outside; a result that is read later needs its tables.
+    """
+    mine: list[Scratch] = []
+    _collected.append(mine)
+    try:
+        yield
+    finally:
+        _collected.remove(mine)
+        for scratch in mine:
+            scratch.remove()
+
+
 class Scratch:
     """The tables of one run of an operator, each under a name of its own."""
 
@@ -66,6 +89,8 @@ class Scratch:
         files = path.getFileSystem(spark._jsc.hadoopConfiguration())
         files.mkdirs(path)
         files.deleteOnExit(path)
+        if _collected:
+            _collected[-1].append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -86,10 +111,16 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""
-        jvm = self.spark._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(self.path(name))
+
+    def remove(self) -> None:
+        """Delete all tables."""
+        self._delete(self.root)
+
+    def _delete(self, place: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:

@@ -1,12 +1,14 @@
 """The queries against their SQL, and the pipeline against its parts."""
 
+import os
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from changeflow.llm import ngram_join, quality_rules, queries
+from changeflow.llm import ngram_join, quality_rules, queries, store
 
 from ..test_catalogue import TABLES, plain
 
@@ -56,6 +58,47 @@ def test_pipeline(spark, data, tmp_path):
     assert len(last) == len(mixed) and all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() and r.n_tokens == len(r.ids) for r in last)
     ran = corpus_pipeline.run(spark, data)
     assert sorted((r.doc_id, r.ids_sha256) for r in ran.collect()) == sorted((r.doc_id, r.ids_sha256) for r in last)
+    # only the last table is left
+    folder = os.path.dirname(os.path.dirname(ran.inputFiles()[0].removeprefix("file://")))
+    assert [n for n in os.listdir(folder) if not n.startswith(".")] == ["bpe"]
+
+
+def test_tables_are_dropped(spark):
+    keep = store.Scratch(spark, "keep")
+    with store.dropped():
+        inner = store.Scratch(spark, "inner")
+        kept = keep.save(inner.save(spark.range(9).toDF("x"), "a").filter("x > 3"), "b")
+        with pytest.raises(ZeroDivisionError), store.dropped():
+            deeper = store.Scratch(spark, "deeper")
+            deeper.save(spark.range(1).toDF("x"), "c")
+            1 / 0
+        assert not os.path.exists(deeper.root.removeprefix("file://")) and os.path.exists(inner.path("a").removeprefix("file://"))
+    assert kept.count() == 5 and not os.path.exists(inner.root.removeprefix("file://"))
+
+
+def test_settings_stay(spark):
+    """Nothing of the user's session is changed for good."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, cleanup = spark.conf.get(key), spark.conf.get(store.CLEANUP)
+    spark.conf.set(key, "64MB")
+    store.Scratch(spark, "x").save(spark.range(1).toDF("x"), "a")
+    assert spark.conf.get(key) == "64MB" and spark.conf.get(store.CLEANUP) == cleanup
+    spark.conf.set(key, before)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):  # noqa: N802
+            return {}
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        store.shared_folder(Session())
 
 
 def test_stages_on_nothing(spark, data):
