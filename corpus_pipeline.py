@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from changeflow.llm import bpe, fitting, mixing, ngram_join, quality_model, quality_rules
 from changeflow.llm.queries import byte_bpe
-from changeflow.llm.store import Scratch, read
+from changeflow.llm.store import Scratch, dropped, read
 
 #: SQL can't train the classifier or merge by rank.
 ORACLE_SQL = None
@@ -58,8 +58,15 @@ STAGES = [("quality rules", rules), ("quality classifier", classifier), ("n-gram
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage.  What a stage reads and what it writes
+    besides its result is deleted when the result is written."""
     scratch = Scratch(spark, "pipeline")
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        table = name.replace(" ", "_")
+        with dropped():
+            docs = scratch.save(stage(spark, docs, sf_dir), table)
+        if before:
+            scratch.drop(before)
+        before = table
     return docs
