@@ -418,8 +418,8 @@ def _messages(frames: Iterator) -> Iterator:
 @query(f"WITH {LOG} SELECT op, lsn, seq, txid, user_id, event_type, value, CASE WHEN op = 'delete' OR event_type = 'click' THEN user_id END AS old_user FROM log WHERE txid < (SELECT count(*) // 10 FROM events)")
 def replication_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Encoded, decoded, put into transactions and typed; an open transaction is left out."""
-    messages = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value").mapInPandas(_messages, "lsn long, seq int, data binary")
-    rows = pgoutput.as_rows(pgoutput.events(pgoutput.decoded(messages)), "public", "users", T._parse_datatype_string("user_id long, event_type string, value double"))
+    messages = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value").repartition(F.floor(F.col("event_id") / 1000)).mapInPandas(_messages, "lsn long, seq int, data binary")
+    rows = pgoutput.as_rows(pgoutput.events_of(messages), "public", "users", T._parse_datatype_string("user_id long, event_type string, value double"))
     row = F.coalesce("new", "old")
     return rows.select("op", "lsn", "seq", "txid", *[row.getField(c).alias(c) for c in ("user_id", "event_type", "value")], F.col("old.user_id").alias("old_user"))
 

@@ -216,8 +216,21 @@ def _latest(rows: DataFrame, marks: DataFrame, keys: list[str], value: str) -> D
     return near.join(carried, [*keys, "_stretch"]).withColumn(value, F.coalesce("_near", "_carried")).drop("_near", "_carried", "_stretch", "_row")
 
 
+def events_of(messages: DataFrame) -> DataFrame:
+    """Row events of messages (lsn, seq, data).  The first byte tells what a
+    message is, so rows are decoded once and only the few others again."""
+    tag = F.substring("data", 1, 1)
+    some = lambda tags: decoded(messages.filter(tag.isin(*[F.lit(t.encode()) for t in tags])))
+    return _events(some("BCR"), some("IUD"))
+
+
 def events(messages: DataFrame) -> DataFrame:
-    """Row events of decoded messages, ``new`` and ``old`` as maps of JSON values.
+    """Row events of decoded messages, ``new`` and ``old`` as maps of JSON values."""
+    return _events(messages, messages)
+
+
+def _events(control: DataFrame, changes: DataFrame) -> DataFrame:
+    """Row events of the changes among some messages, by transactions and relations among others.
 
     The relation of a row is the latest one sent for its number before it; the
     transaction is that of the latest begin.  Relations are few and rows of one
@@ -225,14 +238,14 @@ def events(messages: DataFrame) -> DataFrame:
     the log that they hold for, more are joined by stretches of the log.
     """
     order = ["lsn", "seq"]
-    log = messages.filter("error IS NULL")
+    log = control.filter("error IS NULL")
     # transactions: begin and commit carry the same final lsn, rows lie between
     begins = log.filter("kind = 'begin'").select(F.struct(*order).alias("from"), "xid", "final_lsn", "time")
     commits = log.filter("kind = 'commit'").select(F.struct(*order).alias("to"), F.col("final_lsn").alias("c_final"))
     whole = begins.join(commits, begins.final_lsn == commits.c_final).select("from", "to", "xid", "time")
-    rows = log.filter(F.col("kind").isin("insert", "update", "delete")).select(*order, "kind", "oid", "old_kind", "old", "new")
+    rows = changes.filter("error IS NULL").filter(F.col("kind").isin("insert", "update", "delete")).select(*order, "kind", "oid", "old_kind", "old", "new")
     relations = log.filter("kind = 'relation'").select(*order, "oid", F.struct("schema", "table", "columns").alias("relation"))
-    if not messages.isStreaming and relations.count() <= FEW_RELATIONS:
+    if not control.isStreaming and relations.count() <= FEW_RELATIONS:
         until = F.lead(F.struct(*order)).over(Window.partitionBy("oid").orderBy(*order))
         spans = relations.select(F.col("oid").alias("r_oid"), F.struct(*order).alias("since"), until.alias("until"), "relation")
         place = F.struct(F.col("lsn"), F.col("seq"))
