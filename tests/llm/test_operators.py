@@ -261,6 +261,34 @@ def test_rules_filter_reads_texts_once(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(expected) and kept.filter("failed <> 'f' OR c0[0] <> 1").count() == 0
 
 
+def test_rules_write_few_files(spark, tmp_path, monkeypatch):
+    """Figures go to few files whatever the number of splits, all rows of them; a large table gets more, up to a shuffle's."""
+    draw = random.Random(5)
+    rows = [(i, " ".join(draw.choice("abc") for _ in range(i % 60)), f"h{i % 3}") for i in range(400)]
+    odd_docs(spark, rows).repartition(20).write.parquet(str(tmp_path / "docs"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "8k")
+    try:
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        out = quality_rules.judge(docs)
+        assert len(docs.inputFiles()) == 20 and docs.rdd.getNumPartitions() >= 10 and len(out.inputFiles()) == 1
+        texts = {i: text for i, text, _ in rows}
+        got = [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in out.collect()]
+        assert sorted(got) == sorted((i, *plain_figures(text)) for i, text in texts.items())
+        parts = lambda: quality_rules.gathered(docs, docs).rdd.getNumPartitions()
+        monkeypatch.setattr(quality_rules, "SMALL_BYTES", 1)
+        assert parts() == spark.sparkContext.defaultParallelism
+        monkeypatch.setattr(quality_rules, "LARGE_BYTES", 1)
+        spark.conf.set("spark.sql.shuffle.partitions", "11")
+        assert parts() == 11
+        crossed = docs.crossJoin(spark.createDataFrame([(1,)], "n long"))  # nothing is known of its size
+        assert quality_rules.gathered(crossed, crossed) is crossed
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_very_long_texts(spark):
     """Texts of some megabytes, read whole."""
     words = " ".join(f"w{i % 5000}x" for i in range(300_000))
